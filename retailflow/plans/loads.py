@@ -1,0 +1,35 @@
+"""Loads outside the streams: city coordinates and the daily report."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, functions as F
+
+from retailflow.operators.coordinates import new_coordinates
+from retailflow.plans.reports import daily_summary, export_row
+from retailflow.sources.reference import read_coordinates, usable_coordinates
+from retailflow.tables import Tables
+
+
+def load_coordinates(tables: Tables, csv_path: str) -> int:
+    """Insert the cities of a CSV that are not stored yet; the number inserted.
+
+    Loading a file again inserts nothing, so the load needs no gate; one that must
+    only ever run once can ask ``tables.committed("coordinates") < 0`` first.
+    """
+    load = tables.committed("coordinates") + 1
+    incoming = usable_coordinates(read_coordinates(tables.spark, csv_path))
+    rows = new_coordinates(incoming, tables.read("us_coordinates"))
+    tables.write_batch("coordinate_loads", rows, load)
+    inserted = tables.read_batch("coordinate_loads", load).count()
+    tables.commit("coordinates", load)
+    return inserted
+
+
+def export_daily_summary(tables: Tables, transactions: DataFrame, as_of: datetime) -> DataFrame:
+    """Store the day's summary row, replacing that day's, and return it."""
+    row = export_row(daily_summary(transactions, as_of))
+    day = as_of.strftime("%Y-%m-%d")
+    row.write.mode("overwrite").parquet(f"{tables.path('daily_reports')}/day={day}")
+    return tables.read("daily_summary").filter(F.col("date") == day)
