@@ -12,14 +12,16 @@ from retailflow.schemas import EVENTS, Field, columns, json_schema
 def parse_events(raw: DataFrame, kind: str) -> DataFrame:
     """Typed event columns, the record's text as ``value`` and ``reject_reason``.
 
-    Works the same on a batch and on a stream. Each record is parsed once; a good
-    record has a NULL ``reject_reason`` and no ``value``, so the text is only kept
-    where somebody has to look at it.
+    Works the same on a batch and on a stream. A good record has a NULL
+    ``reject_reason`` and no ``value``, so the text is only kept where somebody has
+    to look at it.
+
+    The struct is flattened by ``inline``: a filter on its fields stops there. Below
+    a plain projection, the filter would repeat from_json for each field it names.
     """
-    parsed = (
-        raw.select(F.col("value").cast("string").alias("value"))
-        .select("value", F.from_json("value", json_schema(kind)).alias("data"))
-        .select("value", "data.*")
+    record = F.from_json("value", json_schema(kind))
+    parsed = raw.select(F.col("value").cast("string").alias("value")).select(
+        "value", F.inline(F.array(record))
     )
     times = [f.name for f in EVENTS[kind] if f.type == "timestamp"]
     typed = parsed.withColumns({f"_{name}": F.col(name) for name in times}).withColumns(

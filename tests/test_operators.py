@@ -1,0 +1,142 @@
+"""Totals, latest rows, global numbering and coordinates."""
+
+from datetime import datetime
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+from samples import events, found
+
+from retailflow.operators import latest, totals
+from retailflow.operators.coordinates import new_coordinates
+from retailflow.operators.numbering import numbered
+from retailflow.sources.reference import read_coordinates, usable_coordinates
+
+
+def test_totals_of_each_dimension(spark):
+    rows = events(
+        spark,
+        {"quantity": 2},
+        {"quantity": 5, "city": "Waco"},
+        {"quantity": 7, "category": "Toys", "payment_method": "COD", "shipping_method": "Standard"},
+    )
+    assert found(totals.quantity_by(rows, "category")) == [("Books", 7), ("Toys", 7)]
+    assert found(totals.quantity_by(rows, "city")) == [("Austin", "TX", 9), ("Waco", "TX", 5)]
+    assert found(totals.quantity_by(rows, "payment")) == [("COD", 7), ("PayPal", 7)]
+    assert found(totals.quantity_by(rows, "shipping")) == [("Free", 7), ("Standard", 7)]
+    together = totals.quantity_totals(rows)
+    for name, keys in totals.DIMENSIONS.items():
+        one = together.filter(F.col("dimension") == name).select(*keys, "quantity")
+        assert found(one) == found(totals.quantity_by(rows, name))
+
+
+def test_totals_of_nothing_and_of_nulls(spark):
+    empty = events(spark, {}).limit(0)
+    assert totals.quantity_by(empty, "category").count() == 0
+    assert totals.quantity_totals(empty).count() == 0
+    nulls = events(spark, {"quantity": None}, {"quantity": None})
+    assert found(totals.quantity_by(nulls, "category")) == [("Books", None)]
+
+
+def test_total_beyond_int(spark):
+    rows = events(spark, {"quantity": 2**31 - 1}, {"quantity": 2**31 - 1})
+    assert found(totals.quantity_by(rows, "category")) == [("Books", 2 * (2**31 - 1))]
+
+
+def test_distinct(spark):
+    rows = events(spark, {}, {}, {"price": 9}, {"user_name": "Bob"})
+    assert latest.distinct_users(rows).count() == 2
+    assert latest.distinct_products(rows).count() == 2
+
+
+def test_latest_takes_time_then_order_then_values(spark):
+    early, late = datetime(2024, 3, 1), datetime(2024, 3, 2)
+    rows = events(
+        spark,
+        {"timestamp": late, "order_id": "a", "user_name": "A", "price": 1},
+        {"timestamp": late, "order_id": "b", "user_name": "B", "price": 2},
+        {"timestamp": late, "order_id": "b", "user_name": "C", "price": 3},
+        {"timestamp": early, "order_id": "z", "user_name": "Z", "price": 9},
+    )
+    now = F.lit(late)
+    assert found(latest.latest_users(rows, now)) == [("u1", "C", "ann@example.com", late)]
+    assert found(latest.latest_products(rows, now)) == [("p1", "Books", Decimal("3.00"), late)]
+
+
+def test_latest_of_a_hot_key(spark):
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("batch_id"),
+        (F.col("id") * 2).alias("v"),
+    )
+    result = latest.latest(rows, ["k"], ["v"], ["batch_id"])
+    assert result.count() == 200_001
+    assert result.filter("k = -1").first()["v"] == 2 * 299_997
+
+
+def test_numbered_is_gapless_and_ordered(spark, folder):
+    rows = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("v"))
+    result = numbered(rows.repartition(7), ["v"], folder)
+    assert result.count() == 20_000
+    assert result.filter("n <> v").count() == 0
+
+
+def test_numbered_spreads_equal_rows(spark, folder):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("v")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        result = numbered(rows.repartition(8), ["v"], folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r["n"] for r in result.select("n").orderBy("n").collect()] == list(range(60_000))
+    sizes = spark.read.parquet(folder).groupBy(F.shiftright("_place", 33)).count().collect()
+    assert max(row["count"] for row in sizes) < 20_000
+
+
+def test_numbered_of_nothing(spark, folder):
+    assert numbered(spark.range(0), ["id"], folder).count() == 0
+
+
+def write_csv(tmp_path, name, text):
+    path = tmp_path / name
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_coordinates_by_header_name(spark, tmp_path):
+    path = write_csv(
+        tmp_path,
+        "c.csv",
+        'zip,state,city,longitude,latitude\n1,TX,"Austin, ""Capital""",-97.75,30.25\n',
+    )
+    (row,) = read_coordinates(spark, path).collect()
+    assert (row["city"], row["state"]) == ('Austin, "Capital"', "TX")
+    assert (row["latitude"], row["longitude"]) == (Decimal("30.25"), Decimal("-97.75"))
+
+
+def test_unusable_coordinates_are_left_out(spark, tmp_path):
+    path = write_csv(
+        tmp_path,
+        "c.csv",
+        "city,state,latitude,longitude\nA,TX,north,1\nB,TX,1,\n,TX,1,1\nC,TX,1,1\nD,TX,100,1\n",
+    )
+    assert found(usable_coordinates(read_coordinates(spark, path)), "city") == [("C",)]
+
+
+def test_first_line_of_a_city_wins_across_splits(spark, tmp_path):
+    lines = [f"city{i % 500},TX,{i % 90}.125,-{i // 500}.5" for i in range(50_000)]
+    text = "city,state,latitude,longitude\n" + "\n".join(lines) + "\n"
+    path = write_csv(tmp_path, "c.csv", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        rows = read_coordinates(spark, path)
+        assert rows.rdd.getNumPartitions() > 8
+        stored = rows.limit(0)
+        result = new_coordinates(usable_coordinates(rows), stored).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(result) == 500
+    assert {row["longitude"] for row in result} == {Decimal("-0.50000000")}
