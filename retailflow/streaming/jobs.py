@@ -161,6 +161,23 @@ def start_running_totals(
     )
 
 
+def start_all(
+    tables: Tables,
+    sources: dict[str, Source],
+    running: Iterable[str] = (),
+    clock: Clock = utc_now,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """Start the query of every topic in ``sources`` and the asked-for running totals."""
+    started = [
+        start_events(tables, kind, source, clock, trigger) for kind, source in sources.items()
+    ]
+    return started + [
+        start_running_totals(tables, name, sources["transactions"], clock, trigger)
+        for name in running
+    ]
+
+
 def wait(queries: Iterable[StreamingQuery], seconds: float | None = None) -> None:
     """Wait for all queries, or stop them after ``seconds``; any failure stops all."""
     queries = list(queries)

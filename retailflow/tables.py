@@ -168,6 +168,16 @@ class Tables:
             changes = changes.unionByName(self.snapshot(name))
         return table.fold(changes)
 
+    def running(self, dimension: str) -> DataFrame:
+        """The newest all-time total of each key, as logged by its stateful stream."""
+        stream = f"running_{dimension}"
+        return latest(
+            self.read_stored(stream, stream),
+            DIMENSIONS[dimension],
+            ["quantity", "processed_at"],
+            ["batch_id"],
+        )
+
     def compact(self, name: str) -> None:
         """Publish the current rows as a new snapshot, so reads stop at its batch.
 

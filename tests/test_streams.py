@@ -1,0 +1,191 @@
+"""Streaming jobs: drains, restarts, failures, running totals, waiting."""
+
+import json
+import time
+
+import pytest
+from conftest import NOW
+from samples import CLICK, STOCK, found, order
+
+from retailflow import files
+from retailflow.schemas import TOPICS, columns
+from retailflow.sources.events import kafka_options, read_files
+from retailflow.streaming import jobs
+
+
+def land(path, name, values):
+    path.mkdir(exist_ok=True)
+    (path / name).write_text("\n".join(values) + "\n")
+
+
+def start(tables, kind, path, **options):
+    return jobs.start_events(tables, kind, lambda s: read_files(s, str(path)), lambda: NOW, **options)
+
+
+def drain(tables, kind, path):
+    query = start(tables, kind, path)
+    jobs.wait([query])
+    return query
+
+
+def test_batches_and_restart(tables, tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "1", [order(quantity=2), order(quantity=3), "{bad"])
+    query = drain(tables, "transactions", inbox)
+    metrics = query.recentProgress[0].observedMetrics["transactions_quality"]
+    assert (metrics["accepted"], metrics["rejected"]) == (2, 1)
+    land(inbox, "2", [order(quantity=5, category="Toys"), order(quantity=1)])
+    drain(tables, "transactions", inbox)
+    drain(tables, "transactions", inbox)
+    assert found(tables.read("batch_details"), "batch_id", "category", "quantity") == [
+        (0, "Books", 5),
+        (1, "Books", 1),
+        (1, "Toys", 5),
+    ]
+    assert found(tables.read("sales_per_city"), "total_quantity") == [(11,)]
+    assert tables.read("rejects").count() == 1
+
+
+def test_files_per_batch(tables, tmp_path):
+    inbox = tmp_path / "in"
+    for number in range(3):
+        land(inbox, str(number), [order(quantity=number + 1)])
+        time.sleep(0.02)
+    query = jobs.start_events(
+        tables,
+        "transactions",
+        lambda s: read_files(s, str(inbox), maxFilesPerTrigger="1"),
+        lambda: NOW,
+    )
+    jobs.wait([query])
+    assert found(tables.read("batch_details"), "batch_id", "quantity") == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_crash_between_writes_and_marker(tables, tmp_path, monkeypatch):
+    inbox = tmp_path / "in"
+    land(inbox, "1", [order(quantity=2)])
+
+    def fail(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(tables), "commit", fail)
+        with pytest.raises(Exception, match="lost"):
+            drain(tables, "transactions", inbox)
+    assert tables.read("transaction_data").count() == 0
+    drain(tables, "transactions", inbox)
+    assert found(tables.read("sales_per_city"), "total_quantity") == [(2,)]
+    assert tables.read("transaction_data").count() == 1
+
+
+def test_crash_after_marker(tables, tmp_path):
+    """Spark repeats a batch whose own commit was lost; the marker makes it a no-op."""
+    inbox = tmp_path / "in"
+    land(inbox, "1", [order(quantity=2)])
+    drain(tables, "transactions", inbox)
+    (commit,) = [
+        name
+        for name in files.names(tables.spark, tables.checkpoint("transactions") + "/commits")
+        if name == "0"
+    ]
+    files.delete(tables.spark, f"{tables.checkpoint('transactions')}/commits/{commit}")
+    land(inbox, "2", [order(quantity=3)])
+    drain(tables, "transactions", inbox)
+    assert found(tables.read("sales_per_city"), "total_quantity") == [(5,)]
+
+
+def test_lost_checkpoint_is_refused(tables, tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "1", [order()])
+    drain(tables, "transactions", inbox)
+    files.delete(tables.spark, tables.checkpoint("transactions"))
+    with pytest.raises(RuntimeError, match="checkpoint is gone"):
+        start(tables, "transactions", inbox)
+
+
+def test_click_and_inventory_logs(tables, tmp_path):
+    clicks, stock = tmp_path / "clicks", tmp_path / "stock"
+    land(clicks, "1", [json.dumps(CLICK), json.dumps({"event_id": "e2"}), json.dumps({"x": 1})])
+    land(stock, "1", [json.dumps(STOCK), json.dumps({**STOCK, "quantity_change": "3"})])
+    jobs.wait([start(tables, "clickstream", clicks), start(tables, "inventory", stock)])
+    rows = found(tables.read("clickstream_logs"), *columns("clickstream"))
+    assert [row[:4] for row in rows] == [
+        ("e1", "u1", "/home", "view"),
+        ("e2", None, None, None),
+    ]
+    assert found(tables.read("inventory_updates"), "product_id", "quantity_change") == [("p1", 3)]
+    assert found(tables.read("rejects"), "kind", "reject_reason") == [
+        ("clickstream", "unreadable"),
+        ("inventory", "missing:quantity_change"),
+    ]
+
+
+@pytest.mark.parametrize("dimension", ["category", "city", "payment", "shipping"])
+def test_running_totals_are_not_batch_totals(tables, tmp_path, dimension):
+    inbox = tmp_path / "in"
+    source = lambda s: read_files(s, str(inbox))
+    stream = f"running_{dimension}"
+    for name, quantity in (("1", 2), ("2", 5)):
+        land(inbox, name, [order(quantity=quantity), order(quantity=None)])
+        jobs.wait([jobs.start_running_totals(tables, dimension, source, lambda: NOW, partitions=2)])
+    rows = found(tables.read_stored(stream, stream), "batch_id", "quantity")
+    assert rows == [(0, 2), (1, 7)]
+    assert found(tables.running(dimension), "quantity") == [(7,)]
+
+
+def test_running_and_batch_streams_side_by_side(tables, tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "1", [order(quantity=2)])
+    source = lambda s: read_files(s, str(inbox))
+    started = jobs.start_all(
+        tables, {"transactions": source}, running=("category", "payment"), clock=lambda: NOW
+    )
+    assert len({query.id for query in started}) == 3
+    jobs.wait(started)
+    assert found(tables.running("payment"), "quantity") == [(2,)]
+    assert found(tables.read("sales_by_payment"), "quantity") == [(2,)]
+
+
+def test_any_failure_stops_all(tables, tmp_path, monkeypatch):
+    inbox = tmp_path / "in"
+    land(inbox, "1", [json.dumps(CLICK)])
+    endless = start(tables, "clickstream", inbox, trigger={"processingTime": "1 second"})
+    land(tmp_path / "orders", "1", [order()])
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(jobs, "derive_tables", fail)
+    broken = start(tables, "transactions", tmp_path / "orders")
+    with pytest.raises(Exception, match="lost"):
+        jobs.wait([endless, broken])
+    assert not endless.isActive and not broken.isActive
+
+
+def test_wait_stops_after_the_given_time(tables, tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "1", [json.dumps(CLICK)])
+    query = start(tables, "clickstream", inbox, trigger={"processingTime": "100 milliseconds"})
+    jobs.wait([query], seconds=8)
+    assert not query.isActive
+    assert tables.read("clickstream_logs").count() == 1
+
+
+def test_kafka_options():
+    options = kafka_options("transactions", "broker:9092", maxOffsetsPerTrigger="1000")
+    assert options == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "ecommerce-transactions",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "1000",
+    }
+    assert [kafka_options(kind, "b")["subscribe"] for kind in TOPICS] == list(TOPICS.values())
+    assert kafka_options("inventory", "b", topic="t", startingOffsets="latest")["subscribe"] == "t"
+
+
+def test_file_formats(spark, tmp_path):
+    spark.createDataFrame([(order(),)], "value string").write.parquet(str(tmp_path / "p"))
+    assert read_files(spark, str(tmp_path / "p"), "parquet", stream=False).count() == 1
+    with pytest.raises(ValueError):
+        read_files(spark, "x", "orc")
