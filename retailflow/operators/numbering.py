@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits.
 PLACE_BITS = 33
@@ -12,19 +12,24 @@ def numbered(df: DataFrame, order: list[str], folder: str, name: str = "n") -> D
     """``df`` with its 0-based position in ``order``, every step spread over the cluster.
 
     A range sort spreads the rows, each task numbers its own, and the start of each
-    task's run comes from the row counts. The sorted rows are written once to
-    ``folder`` so the counts and the rows come from the same sort, and a lost
-    executor does not change it. The scan position ends the sort key, so equal rows
-    spread over tasks as well.
+    task's run comes from the row counts. ``df`` is written to ``folder`` first, as the
+    sort reads its input twice; the sorted rows are written too, so the counts and the
+    rows come from the same sort and a lost executor does not change it. The scan
+    position ends the sort key, so equal rows spread over tasks as well.
     """
-    staged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
+    spark = df.sparkSession
+    df.write.parquet(f"{folder}/rows")
+    (
+        spark.read.schema(df.schema)
+        .parquet(f"{folder}/rows")
+        .withColumn("_tie", F.monotonically_increasing_id())
         .orderBy(*order, "_tie")
         .drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
+        .write.parquet(f"{folder}/sorted")
     )
-    staged.write.parquet(folder)
-    rows = df.sparkSession.read.schema(staged.schema).parquet(folder)
+    schema = T.StructType([*df.schema, T.StructField("_place", T.LongType())])
+    rows = spark.read.schema(schema).parquet(f"{folder}/sorted")
     run = F.shiftright("_place", PLACE_BITS)
     # One row per sort task: at most spark.sql.shuffle.partitions of them.
     sizes = rows.groupBy(run.alias("_run")).agg(F.count(F.lit(1)).alias("_size"))

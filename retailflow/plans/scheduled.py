@@ -1,4 +1,4 @@
-"""Loads outside the streams: city coordinates and the daily report."""
+"""The jobs that run beside the streams: coordinates load, daily and hourly reports."""
 
 from __future__ import annotations
 
@@ -7,7 +7,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from retailflow.operators.coordinates import new_coordinates
-from retailflow.plans.reports import daily_summary, export_row
+from retailflow.plans.reports import (
+    LARGE_ORDER,
+    activity_message,
+    daily_summary,
+    export_row,
+    large_order_alert,
+    large_orders,
+)
+from retailflow.session import scratch_folder
 from retailflow.sources.reference import read_coordinates, usable_coordinates
 from retailflow.tables import Tables
 
@@ -33,3 +41,16 @@ def export_daily_summary(tables: Tables, transactions: DataFrame, as_of: datetim
     day = as_of.strftime("%Y-%m-%d")
     row.write.mode("overwrite").parquet(f"{tables.path('daily_reports')}/day={day}")
     return tables.read("daily_summary").filter(F.col("date") == day)
+
+
+def activity_update(tables: Tables, as_of: datetime) -> DataFrame:
+    """The hourly activity message over the stored tables."""
+    return activity_message(tables.read("transaction_data"), tables.changes("users"), as_of)
+
+
+def large_order_check(
+    tables: Tables, as_of: datetime, threshold: int = LARGE_ORDER
+) -> DataFrame:
+    """The hourly alert over the stored transactions."""
+    found = large_orders(tables.read("transaction_data"), as_of, threshold)
+    return large_order_alert(found, scratch_folder(tables.spark, "alert"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from retailflow import fixtures
 from retailflow.functions.parsing import accepted, parse_events, rejected
 from retailflow.operators import latest, totals
-from retailflow.plans import archive, loads, reports
+from retailflow.plans import archive, reports, scheduled
 from retailflow.schemas import columns
 from retailflow.session import configure, scratch_folder
 from retailflow.sources.events import read_files
@@ -71,7 +71,7 @@ def _summary_export(spark: SparkSession, sf: str) -> DataFrame:
     rows = fixtures.transactions(
         spark, sf, "order_id", "user_id", "quantity", "price", "timestamp"
     )
-    return loads.export_daily_summary(_tables(spark), rows, AS_OF)
+    return scheduled.export_daily_summary(_tables(spark), rows, AS_OF)
 
 
 def _times(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,14 +135,14 @@ def _coordinates(spark: SparkSession, sf: str, name: str) -> str:
 
 def _coordinates_load(spark: SparkSession, sf: str) -> DataFrame:
     tables = _tables(spark)
-    loads.load_coordinates(tables, _coordinates(spark, sf, "supplier"))
-    loads.load_coordinates(tables, _coordinates(spark, sf, "customer"))
+    scheduled.load_coordinates(tables, _coordinates(spark, sf, "supplier"))
+    scheduled.load_coordinates(tables, _coordinates(spark, sf, "customer"))
     return tables.read("us_coordinates")
 
 
 def _city_sales_geo(spark: SparkSession, sf: str) -> DataFrame:
     tables = _tables(spark)
-    loads.load_coordinates(tables, _coordinates(spark, sf, "supplier"))
+    scheduled.load_coordinates(tables, _coordinates(spark, sf, "supplier"))
     return reports.city_sales_geo(
         _quantity("city")(spark, sf), tables.read("us_coordinates")
     )

@@ -159,14 +159,14 @@ class Tables:
         folder = f"{self._snapshot(name)}/through={through}"
         return self.spark.read.schema(changes.schema).parquet(folder)
 
-    def current(self, name: str) -> DataFrame:
-        """Fold the last snapshot of a current table with the changes made since."""
-        table = CURRENT[name]
+    def changes(self, name: str) -> DataFrame:
+        """The last snapshot of a current table and the changes made since, not folded."""
         through = self.committed(f"{name}_snapshot")
-        changes = table.changes(self).filter(F.col("batch_id") > through)
-        if through >= 0:
-            changes = changes.unionByName(self.snapshot(name))
-        return table.fold(changes)
+        since = CURRENT[name].changes(self).filter(F.col("batch_id") > through)
+        return since if through < 0 else since.unionByName(self.snapshot(name))
+
+    def current(self, name: str) -> DataFrame:
+        return CURRENT[name].fold(self.changes(name))
 
     def running(self, dimension: str) -> DataFrame:
         """The newest all-time total of each key, as logged by its stateful stream."""

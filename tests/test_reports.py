@@ -9,7 +9,7 @@ from samples import events, found
 
 from retailflow.functions.timing import archive_cutoff, instant, older_than, since_today
 from retailflow.plans import reports
-from retailflow.plans.loads import export_daily_summary, load_coordinates
+from retailflow.plans.scheduled import export_daily_summary, load_coordinates
 
 DAY = datetime(2024, 3, 1)
 AS_OF = datetime(2024, 3, 1, 15, 30)
