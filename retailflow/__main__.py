@@ -11,10 +11,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retailflow import files
 from retailflow.plans import scheduled
 from retailflow.plans.archive import archive_transactions
 from retailflow.schemas import DIMENSIONS, EVENTS
-from retailflow.session import configure
+from retailflow.session import configure, scratch_folder
 from retailflow.sources.events import read_files, read_topic
 from retailflow.streaming import jobs
 from retailflow.tables import CURRENT, Tables
@@ -79,7 +80,10 @@ def main(words: list[str] | None = None) -> None:
         case "activity":
             show(scheduled.activity_update(tables, as_of))
         case "alert":
-            show(scheduled.large_order_check(tables, as_of, given.threshold).orderBy("part"))
+            folder = scratch_folder(spark, "alert")
+            alert = scheduled.large_order_check(tables, as_of, folder, given.threshold)
+            show(alert.orderBy("part"))
+            files.delete(spark, folder)
         case "archive":
             print(archive_transactions(tables, as_of))
         case "compact":

@@ -9,10 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from retailflow.functions.timing import day_start, since_today
 from retailflow.operators.numbering import numbered
 
+# The alert threshold and the texts of the two messages.
 LARGE_ORDER = 100
-LINES_PER_MESSAGE = 1000
+ACTIVITY_SUBJECT = "Hourly Activity Update"
+ACTIVITY_BODY = "New total orders today: %d <br> New user registrations today: %d"
+ALERT_LINE = "Order ID: %s, User ID: %s, Quantity: %d, Time: %s"
 NOTHING_FOUND = "No suspicious orders detected today."
 
+LINES_PER_MESSAGE = 1000
+
 
 def daily_summary(transactions: DataFrame, as_of: datetime) -> DataFrame:
     """One row: date, orders, total_quantity, total_revenue, users."""
@@ -72,10 +77,8 @@ def activity_message(transactions: DataFrame, users: DataFrame, as_of: datetime)
         )
     )
     return counts.agg(F.max("orders").alias("orders"), F.max("users").alias("users")).select(
-        F.lit("Hourly Activity Update").alias("subject"),
-        F.format_string(
-            "New total orders today: %d <br> New user registrations today: %d", "orders", "users"
-        ).alias("body"),
+        F.lit(ACTIVITY_SUBJECT).alias("subject"),
+        F.format_string(ACTIVITY_BODY, "orders", "users").alias("body"),
     )
 
 
@@ -100,11 +103,7 @@ def large_order_alert(
     saying so. ``folder`` is a scratch path for the sorted rows.
     """
     line = F.format_string(
-        "Order ID: %s, User ID: %s, Quantity: %d, Time: %s",
-        "order_id",
-        "user_id",
-        "quantity",
-        _time_text("timestamp"),
+        ALERT_LINE, "order_id", "user_id", "quantity", _time_text("timestamp")
     )
     lines = numbered(orders, ["timestamp", "order_id", "user_id", "quantity"], folder)
     if lines.isEmpty():

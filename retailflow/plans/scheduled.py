@@ -15,7 +15,6 @@ from retailflow.plans.reports import (
     large_order_alert,
     large_orders,
 )
-from retailflow.session import scratch_folder
 from retailflow.sources.reference import read_coordinates, usable_coordinates
 from retailflow.tables import Tables
 
@@ -49,8 +48,8 @@ def activity_update(tables: Tables, as_of: datetime) -> DataFrame:
 
 
 def large_order_check(
-    tables: Tables, as_of: datetime, threshold: int = LARGE_ORDER
+    tables: Tables, as_of: datetime, folder: str, threshold: int = LARGE_ORDER
 ) -> DataFrame:
-    """The hourly alert over the stored transactions."""
+    """The hourly alert over the stored transactions, from ``folder`` while it is there."""
     found = large_orders(tables.read("transaction_data"), as_of, threshold)
-    return large_order_alert(found, scratch_folder(tables.spark, "alert"))
+    return large_order_alert(found, folder)
