@@ -62,7 +62,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows for costly per-row work, such as JSON, on every core.
+
+    One file may be a single row group, which one task scans; a table of many files
+    is spread already and is not shuffled.
+    """
+    if len(rows.inputFiles()) > 1:
+        return rows
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def transactions(
+    spark: SparkSession, sf_dir: str, *names: str, costly: bool = False
+) -> DataFrame:
     """The asked-for columns (default: all event columns) of the joined tables.
 
     Only the tables those columns need are joined: every line item has its order,
@@ -71,6 +84,8 @@ def transactions(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     names = names or tuple(columns("transactions"))
     needed = {TRANSACTION[name][1] for name in names}
     rows = table(spark, sf_dir, "lineitem")
+    if costly:
+        rows = spread(rows)
     chain = [name for name, _ in CHAIN]
     reach = max((chain.index(name) + 1 for name in needed if name in chain), default=0)
     for name, on in CHAIN[:reach]:
@@ -81,14 +96,14 @@ def transactions(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         *[f"{expression} AS {name}" for name, expression in CLICK.items()]
     )
 
 
 def inventory(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     names = names or tuple(columns("inventory"))
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
         *[f"{INVENTORY[name]} AS {name}" for name in names]
     )
 
@@ -97,8 +112,12 @@ def events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """All event columns of a kind, and ``batch``: which of the streamed batches it is in."""
     if kind == "clickstream":
         return clicks(spark, sf_dir).withColumn("batch", F.lit(1))
-    view = transactions if kind == "transactions" else inventory
-    return view(spark, sf_dir, *columns(kind), "line_no").withColumnRenamed("line_no", "batch")
+    names = (*columns(kind), "line_no")
+    if kind == "transactions":
+        rows = transactions(spark, sf_dir, *names, costly=True)
+    else:
+        rows = inventory(spark, sf_dir, *names)
+    return rows.withColumnRenamed("line_no", "batch")
 
 
 def to_records(rows: DataFrame, kind: str, *keep: str) -> DataFrame:
@@ -179,4 +198,4 @@ def dirty_value() -> str:
 
 
 def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions(spark, sf_dir).selectExpr(f"{dirty_value()} AS value")
+    return transactions(spark, sf_dir, costly=True).selectExpr(f"{dirty_value()} AS value")

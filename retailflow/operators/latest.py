@@ -26,7 +26,7 @@ def latest(
     ``max`` of a struct combines per task before the shuffle, unlike a ranking
     window, so a key holding a third of the rows ships one row per task.
     """
-    picked = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in values]))
+    picked = F.max(F.struct(*dict.fromkeys([*order, *values])))
     return df.groupBy(*keys).agg(picked.alias("_last")).select(
         *keys, *[F.col("_last").getField(c).alias(c) for c in values]
     )

@@ -9,6 +9,7 @@ changes, folded on read and folded for good by :meth:`Tables.compact`.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -150,20 +151,20 @@ class Tables:
     def _snapshot(self, name: str) -> str:
         return f"{self.root}/{name}_snapshot"
 
-    def snapshot(self, name: str) -> DataFrame:
-        """The rows of the last compaction, one per key, straight from its files."""
-        through = self.committed(f"{name}_snapshot")
-        changes = CURRENT[name].changes(self)
+    def snapshot(self, name: str, through: int | None = None) -> DataFrame:
+        """The rows of a compaction, the last by default, straight from its files."""
+        if through is None:
+            through = self.committed(f"{name}_snapshot")
+        schema = CURRENT[name].changes(self).schema
         if through < 0:
-            return changes.limit(0)
-        folder = f"{self._snapshot(name)}/through={through}"
-        return self.spark.read.schema(changes.schema).parquet(folder)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self._snapshot(name)}/through={through}")
 
     def changes(self, name: str) -> DataFrame:
         """The last snapshot of a current table and the changes made since, not folded."""
         through = self.committed(f"{name}_snapshot")
         since = CURRENT[name].changes(self).filter(F.col("batch_id") > through)
-        return since if through < 0 else since.unionByName(self.snapshot(name))
+        return since if through < 0 else since.unionByName(self.snapshot(name, through))
 
     def current(self, name: str) -> DataFrame:
         return CURRENT[name].fold(self.changes(name))
@@ -179,16 +180,18 @@ class Tables:
         )
 
     def compact(self, name: str) -> None:
-        """Publish the current rows as a new snapshot, so reads stop at its batch.
+        """Publish the rows up to the last batch as a new snapshot, so reads stop there.
 
-        The changes and the snapshot before the previous one are dropped; the previous
-        ones stay for readers that have started.
+        The changes up to the previous snapshot and the snapshots before it are
+        dropped; younger ones stay for readers that have started.
         """
         snapshot = f"{name}_snapshot"
         last, previous = self.committed("transactions"), self.committed(snapshot)
         if last <= previous:
             return
-        folded = self.current(name).withColumn("batch_id", F.lit(last).cast("bigint"))
+        # A stream may commit meanwhile; its batch belongs to the next snapshot.
+        rows = self.changes(name).filter(F.col("batch_id") <= last)
+        folded = CURRENT[name].fold(rows)
         folded.write.mode("overwrite").parquet(f"{self._snapshot(name)}/through={last}")
         self.commit(snapshot, last)
         for old in files.matches(self.spark, f"{self._snapshot(name)}/through=*"):
@@ -199,22 +202,21 @@ class Tables:
                 files.delete(self.spark, folder)
 
 
+@dataclass(frozen=True)
 class _Current:
-    """How a current table is folded from its changes, and where these are stored."""
+    """A table read as snapshot and changes, all with the ``batch_id`` they come from.
+
+    ``fold`` brings rows to their final form and can be applied to folded rows again;
+    ``folders`` is where the changes are.
+    """
 
-    def __init__(
-        self,
-        changes: Callable[[Tables], DataFrame],
-        fold: Callable[[DataFrame], DataFrame],
-        folders: str,
-    ):
-        self.changes = changes
-        self.fold = fold
-        self.folders = folders
+    changes: Callable[[Tables], DataFrame]
+    fold: Callable[[DataFrame], DataFrame]
+    folders: str
 
 
 def _keyed(table: str, key: str) -> _Current:
-    values = [c for c in STORED[table].types if c != key]
+    values = [*(c for c in STORED[table].types if c != key), "batch_id"]
     return _Current(
         lambda tables: tables.read_stored(table, "transactions"),
         lambda rows: latest(rows, [key], values, ["batch_id"]),
@@ -222,20 +224,9 @@ def _keyed(table: str, key: str) -> _Current:
     )
 
 
-def _totals(dimension: str) -> Callable[[Tables], DataFrame]:
-    keys = DIMENSIONS[dimension]
-
-    def changes(tables: Tables) -> DataFrame:
-        rows = tables.read_stored("quantity_totals", "transactions")
-        return rows.filter(F.col("dimension") == dimension).select(
-            *keys, "quantity", "processed_at", "batch_id"
-        )
-
-    return changes
-
-
 def _city_changes(tables: Tables) -> DataFrame:
-    return _totals("city")(tables).select(
+    rows = tables.read_stored("quantity_totals", "transactions")
+    return rows.filter(F.col("dimension") == "city").select(
         "city",
         "state",
         F.col("quantity").alias("total_quantity"),
@@ -248,6 +239,15 @@ def _city_sum(rows: DataFrame) -> DataFrame:
     return rows.groupBy("city", "state").agg(
         F.sum("total_quantity").cast("bigint").alias("total_quantity"),
         F.max("last_updated").alias("last_updated"),
+        F.max("batch_id").alias("batch_id"),
+    )
+
+
+def _batch_totals(tables: Tables) -> DataFrame:
+    rows = tables.read_stored("quantity_totals", "transactions")
+    return rows.filter(F.col("dimension").isin("category", "payment", "shipping")).select(
+        "dimension", "category", "payment_method", "shipping_method", "quantity",
+        "processed_at", "batch_id",
     )
 
 
@@ -257,6 +257,12 @@ CURRENT: dict[str, _Current] = {
     "sales_per_city": _Current(
         _city_changes, _city_sum, "quantity_totals/batch_id=*/dimension=city"
     ),
+    # Every row is kept; compaction only gathers the small files of many batches.
+    "batch_totals": _Current(
+        _batch_totals,
+        lambda rows: rows,
+        "quantity_totals/batch_id=*/dimension={category,payment,shipping}",
+    ),
 }
 
 
@@ -276,18 +282,22 @@ def _rejects(tables: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _totals(tables: Tables, dimension: str) -> DataFrame:
+    return tables.current("batch_totals").filter(F.col("dimension") == dimension)
+
+
 def _methods(dimension: str) -> Callable[[Tables], DataFrame]:
     """Values seen so far; ``last_updated`` is when a value was first stored."""
-    key = DIMENSIONS[dimension][0]
+    (key,) = DIMENSIONS[dimension]
     return lambda tables: (
-        _totals(dimension)(tables).groupBy(key).agg(F.min("processed_at").alias("last_updated"))
+        _totals(tables, dimension).groupBy(key).agg(F.min("processed_at").alias("last_updated"))
     )
 
 
 def _batches(dimension: str) -> Callable[[Tables], DataFrame]:
-    keys = DIMENSIONS[dimension]
-    return lambda tables: _totals(dimension)(tables).select(
-        "batch_id", *keys, "quantity", "processed_at"
+    (key,) = DIMENSIONS[dimension]
+    return lambda tables: _totals(tables, dimension).select(
+        "batch_id", key, "quantity", "processed_at"
     )
 
 
@@ -308,9 +318,9 @@ READERS: dict[str, Callable[[Tables], DataFrame]] = {
     "sales_by_shipping": _batches("shipping"),
     "payment_methods": _methods("payment"),
     "shipping_methods": _methods("shipping"),
-    "users": lambda tables: tables.current("users"),
-    "products": lambda tables: tables.current("products"),
-    "sales_per_city": lambda tables: tables.current("sales_per_city"),
+    "users": lambda tables: tables.current("users").drop("batch_id"),
+    "products": lambda tables: tables.current("products").drop("batch_id"),
+    "sales_per_city": lambda tables: tables.current("sales_per_city").drop("batch_id"),
     "us_coordinates": lambda tables: tables.read_stored(
         "coordinate_loads", "coordinates"
     ).drop("batch_id"),

@@ -1,5 +1,6 @@
 """Stored tables: repeatable batches, committed reads, compaction, layout."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -9,7 +10,7 @@ from samples import found, order, raw
 from retailflow import files, schemas
 from retailflow.session import scratch_folder
 from retailflow.streaming import jobs
-from retailflow.tables import READERS, TRANSACTION_COLUMNS, Tables
+from retailflow.tables import CURRENT, READERS, TRANSACTION_COLUMNS, Tables
 
 
 def ingest(tables, *changes, now=NOW):
@@ -87,7 +88,7 @@ def test_empty_batch(tables):
 
 
 def test_compaction_keeps_the_rows(tables):
-    names = ("users", "products", "sales_per_city")
+    names = ("users", "products", "sales_per_city", "batch_details", "payment_methods")
     for batch in range(6):
         ingest(
             tables,
@@ -96,7 +97,7 @@ def test_compaction_keeps_the_rows(tables):
         )
         before = {name: found(tables.read(name)) for name in names}
         if batch in (1, 3, 4):
-            for name in names:
+            for name in CURRENT:
                 tables.compact(name)
                 tables.compact(name)
             assert {name: found(tables.read(name)) for name in names} == before
@@ -106,7 +107,31 @@ def test_compaction_keeps_the_rows(tables):
     ]
     kept = files.names(tables.spark, tables.path("user_changes"))
     assert sorted(name for name in kept if "=" in name) == [f"batch_id={b}" for b in (4, 5)]
-    assert tables.read("batch_details").count() == 6
+    kept = files.matches(tables.spark, tables.path("quantity_totals") + "/*/dimension=*")
+    assert len(kept) == 2 * 4
+    assert found(tables.read("batch_details"), "batch_id", "quantity") == [
+        (batch, batch + 3) for batch in range(6)
+    ]
+
+
+def test_a_batch_committed_during_compaction_counts_once(tables, monkeypatch):
+    ingest(tables, {"quantity": 2})
+    fold = CURRENT["sales_per_city"].fold
+    late = []
+
+    def fold_while_a_stream_commits(rows):
+        if not late:
+            late.append(ingest(tables, {"quantity": 5}))
+        return fold(rows)
+
+    slow = replace(CURRENT["sales_per_city"], fold=fold_while_a_stream_commits)
+    monkeypatch.setitem(CURRENT, "sales_per_city", slow)
+    tables.compact("sales_per_city")
+    assert late == [1]
+    assert tables.committed("sales_per_city_snapshot") == 0
+    assert found(tables.read("sales_per_city"), "total_quantity") == [(7,)]
+    tables.compact("sales_per_city")
+    assert found(tables.read("sales_per_city"), "total_quantity") == [(7,)]
 
 
 def test_views_answer_sql(tables):
