@@ -37,6 +37,7 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--running", nargs="*", choices=list(DIMENSIONS), default=[])
     stream.add_argument("--seconds", type=float, help="default: drain what is there and stop")
     stream.add_argument("--every", default="1 minute", help="batch interval with --seconds")
+    stream.add_argument("--limit", help="records (topics) or files per batch; bounds a backlog")
     load = commands.add_parser("load-coordinates", parents=[common])
     load.add_argument("--csv", required=True)
     for name in ("summary", "activity", "archive"):
@@ -50,8 +51,10 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
 def stream(tables: Tables, given: argparse.Namespace) -> None:
     def source(kind: str) -> jobs.Source:
         if given.servers:
-            return lambda spark: read_topic(spark, kind, given.servers)
-        return lambda spark: read_files(spark, f"{given.files}/{kind}")
+            limit = {"maxOffsetsPerTrigger": given.limit} if given.limit else {}
+            return lambda spark: read_topic(spark, kind, given.servers, **limit)
+        limit = {"maxFilesPerTrigger": given.limit} if given.limit else {}
+        return lambda spark: read_files(spark, f"{given.files}/{kind}", **limit)
 
     trigger = {"processingTime": given.every} if given.seconds else None
     sources = {kind: source(kind) for kind in given.kinds}

@@ -25,7 +25,7 @@ def parse_events(raw: DataFrame, kind: str) -> DataFrame:
     )
     times = [f.name for f in EVENTS[kind] if f.type == "timestamp"]
     typed = parsed.withColumns({f"_{name}": F.col(name) for name in times}).withColumns(
-        {name: F.col(name).try_cast("timestamp") for name in times}
+        {name: _timestamp(F.col(name)) for name in times}
     )
     reason = reject_reason(kind)
     return typed.withColumn("reject_reason", reason).select(
@@ -35,6 +35,11 @@ def parse_events(raw: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def _timestamp(text: Column) -> Column:
+    """NULL unless the text is a time with a full date; a cast fills in what is missing."""
+    return F.when(text.rlike(r"^\s*\d{4,6}-\d{1,2}-\d{1,2}([ T]|$)"), text.try_cast("timestamp"))
+
+
 def reject_reason(kind: str) -> Column:
     """NULL for a good record, else every broken rule, in field order."""
     fields = EVENTS[kind]

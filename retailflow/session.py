@@ -16,7 +16,13 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State outside the heap, committed as the changes of a batch, not as whole files.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -33,7 +39,8 @@ def stateful_session(spark: SparkSession, partitions: int) -> SparkSession:
     does not follow whatever the caller's session happens to use.
     """
     session = configure(spark.newSession())
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE.items():
+        session.conf.set(key, value)
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return session
 

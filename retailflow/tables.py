@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retailflow import files
-from retailflow.functions.timing import PERIODS, instant
+from retailflow.functions.timing import PERIODS, instant, period_start
 from retailflow.operators.latest import latest
 from retailflow.schemas import DIMENSIONS, STORED, Layout, columns
 
@@ -131,8 +131,11 @@ class Tables:
         run = self.archive_run()
         if run is not None:
             cutoff, through = run
-            taken = (F.col("timestamp") < instant(cutoff)) & (F.col("batch_id") <= through)
-            rows = rows.filter(~taken)
+            later = F.col("batch_id") > through
+            start = period_start(instant(cutoff), self.period)
+            # The first filter follows from the second; it spares opening archived folders.
+            rows = rows.filter((F.col(self.period_column) >= start) | later)
+            rows = rows.filter((F.col("timestamp") >= instant(cutoff)) | later)
         return rows
 
     def archive_run(self) -> tuple[datetime, int] | None:

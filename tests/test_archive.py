@@ -112,3 +112,13 @@ def test_retention_is_an_argument(tables):
     assert ids(tables, "archived_transaction_data") == ["o1"]
     assert tables.archive_run() == (NOW - timedelta(days=1), 0)
     assert isinstance(tables.archive_run()[0], datetime)
+
+
+def test_archived_folders_are_not_opened(tables):
+    ingest(tables, {"timestamp": "2023-01-01T00:00:00+00:00"}, {"order_id": "new"})
+    archive_transactions(tables, NOW)
+    rows = tables.live_transactions()
+    assert rows.count() == 1
+    rows.collect()
+    scan = rows._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 1

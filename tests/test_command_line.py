@@ -19,7 +19,8 @@ def test_a_day_of_jobs(spark, tmp_path, capsys):
         main([words[0], "--root", root, *words[1:]])
         return capsys.readouterr().out.strip()
 
-    run("stream", "--files", str(tmp_path / "inbox"), "--kinds", "transactions", "--running", "city")
+    inputs = ("--files", str(tmp_path / "inbox"), "--kinds", "transactions", "--limit", "1")
+    run("stream", *inputs, "--running", "city")
     assert run("load-coordinates", "--csv", str(places)) == "1"
     as_of = ("--as-of", "2024-03-01T15:00:00")
     assert run("summary", *as_of) == "2024-03-01\t1\t150\t1875.0\t1"

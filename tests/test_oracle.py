@@ -1,10 +1,13 @@
 """Every registered query against its SQL, and the driver contract."""
 
+import functools
+
 import compare
 import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry
+from retailflow import queries
 
 ORACLE = entry.oracle_sql()
 
@@ -14,6 +17,16 @@ def database():
     return compare.connect(SF_DIR)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_drain_per_topic():
+    """Queries that read what one and the same stream leaves behind share its run here."""
+    alone = queries._streamed
+    shared = functools.cache(alone)
+    queries._streamed = lambda spark, sf, kind: shared(spark, sf, kind)
+    yield
+    queries._streamed = alone
+
+
 def test_every_query_has_sql():
     assert set(ORACLE) == set(entry.queries())
 

@@ -45,6 +45,12 @@ def test_unreadable(spark, value):
         (order(street="é" * 501), "too_long:street"),
         (order(payment_method="x" * 101), "too_long:payment_method"),
         (order(timestamp="yesterday"), "invalid:timestamp"),
+        (order(timestamp="2024"), "invalid:timestamp"),
+        (order(timestamp="2024-03"), "invalid:timestamp"),
+        (order(timestamp="08:00:00"), "invalid:timestamp"),
+        (order(timestamp="2024-02-30T08:00:00"), "invalid:timestamp"),
+        (order(timestamp="2024-03-01"), None),
+        (order(timestamp="2024-03-01 08:00:00Z"), None),
         (order(timestamp=None), "missing:timestamp"),
         (
             order(user_email=None, quantity="x", order_id="o" * 256),
