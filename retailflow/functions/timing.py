@@ -12,12 +12,16 @@ RETENTION = timedelta(days=30)
 PERIODS = {"day": "event_date", "month": "event_month", "year": "event_year"}
 
 
+def in_utc(as_of: datetime) -> datetime:
+    """The same instant in UTC; a time without a zone is taken to be UTC."""
+    if as_of.tzinfo is None:
+        return as_of.replace(tzinfo=timezone.utc)
+    return as_of.astimezone(timezone.utc)
+
+
 def instant(as_of: datetime) -> Column:
     """A literal that means the same instant whatever zone the driver runs in."""
-    if as_of.tzinfo is None:
-        as_of = as_of.replace(tzinfo=timezone.utc)
-    text = as_of.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
-    return F.lit(text).cast("timestamp")
+    return F.lit(in_utc(as_of).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
 
 
 def day_start(as_of: datetime) -> Column:
@@ -65,6 +69,4 @@ def _partitions(df: DataFrame) -> list[tuple[str, str]]:
 
 
 def archive_cutoff(as_of: datetime, retention: timedelta = RETENTION) -> datetime:
-    if as_of.tzinfo is None:
-        as_of = as_of.replace(tzinfo=timezone.utc)
-    return as_of - retention
+    return in_utc(as_of) - retention

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from retailflow.functions.timing import in_utc
 from retailflow.operators.coordinates import new_coordinates
 from retailflow.plans.reports import (
     LARGE_ORDER,
@@ -37,7 +38,7 @@ def load_coordinates(tables: Tables, csv_path: str) -> int:
 def export_daily_summary(tables: Tables, transactions: DataFrame, as_of: datetime) -> DataFrame:
     """Store the day's summary row, replacing that day's, and return it."""
     row = export_row(daily_summary(transactions, as_of))
-    day = as_of.strftime("%Y-%m-%d")
+    day = in_utc(as_of).strftime("%Y-%m-%d")
     row.write.mode("overwrite").parquet(f"{tables.path('daily_reports')}/day={day}")
     return tables.read("daily_summary").filter(F.col("date") == day)
 

@@ -1,6 +1,6 @@
 """Reports at their edges."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -134,6 +134,14 @@ def test_export_replaces_the_day(spark, tables):
     ]
 
 
+def test_export_day_is_the_utc_day(spark, tables):
+    bangkok = timezone(timedelta(hours=7))
+    stored = export_daily_summary(
+        tables, events(spark, at(2024, 3, 1)), datetime(2024, 3, 2, 3, tzinfo=bangkok)
+    )
+    assert found(stored, "date", "orders") == [("2024-03-01", 1)]
+
+
 def test_coordinates_load_once(spark, tables, tmp_path):
     path = tmp_path / "c.csv"
     path.write_text("city,state,latitude,longitude\nA,TX,1,1\nA,TX,2,2\nB,TX,3,3\n")
