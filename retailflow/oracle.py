@@ -154,6 +154,7 @@ SQL: dict[str, str] = {
     "parse_clickstream": CLICKS,
     "parse_inventory": INVENTORY,
     "rejects": _rejects(),
+    "rejects_log": _rejects(),
     "accepted_records": _accepted(),
     **{f"{name}_quantity": _tx(_by(name)) for name in DIMENSIONS},
     "quantity_totals": _all_totals(),
@@ -212,6 +213,8 @@ WHERE timestamp >= {DAY} AND quantity > {LARGE}"""
     "shipping_batch_log": _tx(_batches("shipping")),
     "category_running_log": _running("category"),
     "city_running_log": _running("city"),
+    "payment_running": _tx(_by("payment")),
+    "shipping_running": _tx(_by("shipping")),
     "city_sales_stream": _tx(_by("city", "total_quantity")),
     "users_stream": _latest(
         "user_id", ["user_name", "user_email"], ["line_no", "timestamp", "order_id"]

@@ -148,6 +148,12 @@ def _city_sales_geo(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _rejects_log(spark: SparkSession, sf: str) -> DataFrame:
+    tables = _tables(spark)
+    jobs.ingest(tables, "transactions", fixtures.dirty_records(spark, sf), _clock)
+    return tables.read("rejects").select("value", "reject_reason")
+
+
 def _archived(spark: SparkSession, sf: str) -> Tables:
     tables = _tables(spark)
     raw = fixtures.records(spark, sf, "transactions")
@@ -179,47 +185,68 @@ def _from_stream(kind: str, name: str, *names: str) -> Query:
     return lambda spark, sf: _streamed(spark, sf, kind).read(name).select(*names)
 
 
-def _running(dimension: str) -> Query:
-    def query(spark: SparkSession, sf: str) -> DataFrame:
-        tables = _tables(spark)
-        for pattern in fixtures.land_batches(spark, sf, "transactions"):
-            started = jobs.start_running_totals(
-                tables, dimension, lambda s: read_files(s, pattern), _clock
-            )
-            jobs.wait([started])
-        stream = f"running_{dimension}"
-        return tables.read_stored(stream, stream).select(
-            "batch_id", *totals.DIMENSIONS[dimension], "quantity"
+def _run_totals(spark: SparkSession, sf: str, dimension: str) -> Tables:
+    tables = _tables(spark)
+    for pattern in fixtures.land_batches(spark, sf, "transactions"):
+        started = jobs.start_running_totals(
+            tables, dimension, lambda s: read_files(s, pattern), _clock
         )
+        jobs.wait([started])
+    return tables
 
-    return query
+
+def _running_log(dimension: str) -> Query:
+    """Every total the stateful stream emitted, with the batch that changed it."""
+    stream = f"running_{dimension}"
+    return lambda spark, sf: _run_totals(spark, sf, dimension).read_stored(stream, stream).select(
+        "batch_id", *totals.DIMENSIONS[dimension], "quantity"
+    )
+
+
+def _running(dimension: str) -> Query:
+    """The newest total of each key."""
+    return lambda spark, sf: _run_totals(spark, sf, dimension).running(dimension).select(
+        *totals.DIMENSIONS[dimension], "quantity"
+    )
 
 
 QUERIES: dict[str, Query] = {
+    # S1-S3, P1-P4, P6, P7
     "parse_transactions": _parsed("transactions"),
     "parse_clickstream": _parsed("clickstream"),
     "parse_inventory": _parsed("inventory"),
+    # F5
     "rejects": lambda spark, sf: rejected(_dirty(spark, sf)),
     "accepted_records": lambda spark, sf: accepted(_dirty(spark, sf)),
+    "rejects_log": _rejects_log,
+    # A1-A4, C1, C2
     "category_quantity": _quantity("category"),
     "city_quantity": _quantity("city"),
     "payment_quantity": _quantity("payment"),
     "shipping_quantity": _quantity("shipping"),
     "quantity_totals": _quantity_totals,
+    # P5, D1, D2
     "users_distinct": lambda spark, sf: latest.distinct_users(
         fixtures.transactions(spark, sf, *latest.USER)
     ),
     "products_distinct": lambda spark, sf: latest.distinct_products(
         fixtures.transactions(spark, sf, *latest.PRODUCT)
     ),
+    # K1, K2
     "users_current": _users,
     "products_current": _products,
+    # C3
     "payment_methods": _methods("payment_method"),
     "shipping_methods": _methods("shipping_method"),
+    # S4, S6, P13, K4, C9
     "coordinates_load": _coordinates_load,
+    # C4
     "city_sales_geo": _city_sales_geo,
+    # R1, F1, A5-A7, P10, P11
     "daily_summary": _summary,
+    # P17, W7
     "daily_summary_export": _summary_export,
+    # R2-R4, F2, A8, A9, P16
     "orders_today": lambda spark, sf: reports.orders_today(_times(spark, sf), AS_OF),
     "users_active_today": lambda spark, sf: reports.users_active_today(
         _user_changes(spark, sf), AS_OF
@@ -227,12 +254,15 @@ QUERIES: dict[str, Query] = {
     "activity_message": lambda spark, sf: reports.activity_message(
         _times(spark, sf), _user_changes(spark, sf), AS_OF
     ),
+    # R5, R6, F3, P14, P15
     "large_orders": lambda spark, sf: _large(spark, sf, LARGE),
     "large_order_alert": _alert(LARGE, reports.LINES_PER_MESSAGE),
     "large_order_alert_parts": _alert(LARGE, 25),
     "large_order_alert_none": _alert(reports.LARGE_ORDER, reports.LINES_PER_MESSAGE),
+    # R7, F4, P12, W6, C5
     "archive_moved": _archive_moved,
     "archive_live": _archive_live,
+    # T1, T3, T4, T6, W1, P8, P9, C1, C2, C7
     "category_batch_log": _from_stream(
         "transactions", "batch_details", "batch_id", "category", "quantity"
     ),
@@ -242,13 +272,19 @@ QUERIES: dict[str, Query] = {
     "shipping_batch_log": _from_stream(
         "transactions", "sales_by_shipping", "batch_id", "shipping_method", "quantity"
     ),
-    "category_running_log": _running("category"),
-    "city_running_log": _running("city"),
+    # T2, T5, W1
+    "category_running_log": _running_log("category"),
+    "city_running_log": _running_log("city"),
+    "payment_running": _running("payment"),
+    "shipping_running": _running("shipping"),
+    # K3, A10, C6
     "city_sales_stream": _from_stream(
         "transactions", "sales_per_city", "city", "state", "total_quantity"
     ),
+    # K1, K2 over batches
     "users_stream": _from_stream("transactions", "users", *latest.USER),
     "products_stream": _from_stream("transactions", "products", *latest.PRODUCT),
+    # W2-W4, T7, S5
     "transaction_log": _from_stream("transactions", "transaction_data", *TRANSACTION_COLUMNS),
     "click_log": _from_stream("clickstream", "clickstream_logs", *columns("clickstream")),
     "inventory_log": _from_stream("inventory", "inventory_updates", *columns("inventory")),
