@@ -7,7 +7,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry
-from retailflow import queries
+from retailflow import oracle, queries
 
 ORACLE = entry.oracle_sql()
 
@@ -28,10 +28,10 @@ def one_drain_per_topic():
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(entry.queries())
+    assert set(oracle.SQL) == set(queries.QUERIES)
 
 
-@pytest.mark.parametrize("name", list(ORACLE))
+@pytest.mark.parametrize("name", list(oracle.SQL))
 def test_query_equals_sql(spark, database, name):
     query = entry.queries()[name]
     assert compare.differences(spark, database, query, ORACLE[name], SF_DIR) == []
