@@ -1,0 +1,6 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def llm_tables():
+    return "/root/testdata/sf0.01"

@@ -1,0 +1,118 @@
+"""Packing against brute force, and the round trip of every token."""
+
+import functools
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from retailflow.llm import common, packing
+
+PATH = common.vocabulary("byte_bpe_50k.json")
+ODD = ["", " ", "\n\n", "a\x1cb !\x1c?", "x<|endoftext|> y", "é  　z\x85\xa0 w", "don't  \t stop", "ﷺ😀 😀"]
+
+
+@functools.cache
+def library():
+    return common.tokenizer(PATH)
+
+
+def plain(text):
+    return library().encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def test_cached_pieces_give_the_whole_texts_ids():
+    tokenizer = library()
+    cache = packing.PieceCache(tokenizer)
+    rng = random.Random(1)
+    alphabet = "ab é'st\n\t  .!\x1c\x85  😀1²"
+    texts = ODD + ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(3000)]
+    for text in texts:
+        whole = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packing.encode(text, cache), dtype="<u4").tolist() == whole
+
+
+def least(places, penalties, capacity):
+    at, best = [0, *places], [0]
+    for j in range(1, len(at)):
+        costs = [best[i] + capacity - at[j] + at[i] for i in range(j) if at[j] - at[i] <= capacity]
+        best.append(min(costs) + penalties[j - 1])
+    return best[-1]
+
+
+def test_cuts_have_the_least_cost():
+    rng = random.Random(2)
+    for _ in range(300):
+        capacity = rng.randrange(5, 40)
+        steps = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 40))]
+        places = np.cumsum(steps).tolist()
+        penalties = [rng.choice((0, 3, 9)) for _ in places]
+        cuts = packing.choose(places, penalties, capacity)
+        widths = np.diff([0, *cuts])
+        assert cuts[-1] == places[-1] and set(cuts) <= set(places) and max(widths) <= capacity
+        of = dict(zip(places, penalties, strict=True))
+        assert sum(capacity - w for w in widths) + sum(of[c] for c in cuts) == least(
+            places, penalties, capacity
+        )
+
+
+def checked(rows, texts, capacity):
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    for doc_id, text in texts.items():
+        ids = plain(text)
+        found = sorted(by_doc[doc_id], key=lambda r: r["start"])
+        assert b"".join(r["ids"] for r in found) == np.array(ids, dtype="<u4").tobytes()
+        at = 0
+        for r in found:
+            assert (r["start"], r["doc_tokens"]) == (at, len(ids))
+            at += r["length"]
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["offset"]):
+            assert r["offset"] == at and r["length"] * 4 == len(r["ids"]) > 0
+            at += r["length"]
+        assert at <= capacity
+
+
+@pytest.mark.parametrize("capacity", [64, 2048])
+def test_round_trip(spark, monkeypatch, capacity):
+    texts = dict(enumerate([*ODD, None, "word " * 9000, "x" * 30_000, "One two. Three! Four?\n" * 50]))
+    docs = spark.createDataFrame(
+        [(k, v, 7, "s") for k, v in texts.items()], "doc_id long, text string, ids int, start string"
+    )
+    rows = packing.pack(docs.repartition(3), capacity=capacity).collect()
+    checked(rows, texts, capacity)
+
+
+def test_repeated_and_missing_ids(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")
+    rows = packing.pack(docs.coalesce(1)).collect()
+    assert sorted((str(r["doc_id"]), r["length"]) for r in rows) == [("1", 3), ("1", 3), ("None", 2)]
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
+
+
+def test_empty_table(spark):
+    assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_query_over_the_table_wastes_little(spark, llm_tables):
+    import __spark_entry__
+
+    rows = __spark_entry__.queries()["op1_packing"](spark, llm_tables).collect()
+    docs = spark.read.parquet(f"{llm_tables}/documents.parquet").select("doc_id", "text").collect()
+    total = defaultdict(int)
+    for r in rows:
+        total[r["sequence_id"]] += r["length"]
+    assert sum(total.values()) == sum(len(plain(d["text"])) for d in docs)
+    assert sum(total.values()) > 0.97 * 2048 * len(total)
+    one = max(docs, key=lambda d: len(d["text"]))
+    ids = np.array(plain(one["text"]), dtype="<u4")
+    for r in rows:
+        if r["doc_id"] == one["doc_id"]:
+            part = ids[r["start"] : r["start"] + r["length"]]
+            assert zlib.crc32(part.tobytes()) == r["ids_crc32"]
