@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retailflow.llm import packing
+from retailflow.llm import language, packing, sharding, simhash, token_counts
 from retailflow.llm.common import documents
 
 
@@ -20,4 +20,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing}
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.train_on_documents(docs))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.interleave(documents(spark, sf_dir)).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op4_token_counts": op4_token_counts,
+    "op5_simhash": op5_simhash,
+    "op6_language": op6_language,
+    "op7_sharding": op7_sharding,
+}
