@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retailflow.llm import language, packing, sharding, simhash, token_counts
+from retailflow.llm import (
+    decontamination,
+    language,
+    line_dedup,
+    packing,
+    sharding,
+    simhash,
+    token_counts,
+)
 from retailflow.llm.common import documents
 
 
@@ -20,6 +28,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contamination(documents(spark, sf_dir), benchmark)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(documents(spark, sf_dir))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
@@ -47,6 +64,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_language": op6_language,
