@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from retailflow.llm import (
     decontamination,
     language,
+    licenses,
     line_dedup,
     packing,
+    quality,
+    secrets,
     sharding,
     simhash,
     token_counts,
@@ -62,6 +65,29 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir)).drop("blocks")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(documents(spark, sf_dir)).drop("lines_removed")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir))
+    base = secrets.joined(F.col("spans"), ["assign", "access", "hex"])
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.joined(F.col("spans"), list(secrets.KINDS)).alias("spans"),
+        "n_live",
+        "n_example",
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -70,4 +96,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_language": op6_language,
     "op7_sharding": op7_sharding,
+    "op8_licenses": op8_licenses,
+    "op9_quality": op9_quality,
+    "op10_secrets": op10_secrets,
 }
