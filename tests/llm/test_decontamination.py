@@ -1,0 +1,150 @@
+"""Decontamination against tiling by plain search over every pair."""
+
+import random
+import re
+
+import numpy as np
+
+from retailflow.llm import decontamination
+
+
+def plain_tiles(left, right, shortest):
+    """Greedy string tiling with lists; the same order of choices."""
+    free = [[True] * len(left), [True] * len(right)]
+    marked = []
+    while True:
+        best = None
+        for a in range(len(left)):
+            for b in range(len(right)):
+                n = 0
+                while (
+                    a + n < len(left) and b + n < len(right) and left[a + n] == right[b + n]
+                    and free[0][a + n] and free[1][b + n]
+                ):
+                    n += 1
+                if n >= shortest and (best is None or n > best[0]):
+                    best = (n, a, b)
+        if best is None:
+            return sorted(marked)
+        n, a, b = best
+        free[0][a : a + n] = [False] * n
+        free[1][b : b + n] = [False] * n
+        marked.append((a, b, n))
+
+
+def test_tiles():
+    rng = random.Random(6)
+    for _ in range(400):
+        left = [rng.randrange(1, 5) for _ in range(rng.randrange(0, 40))]
+        right = [rng.randrange(1, 5) for _ in range(rng.randrange(0, 25))]
+        found = decontamination.tiles(
+            np.array(left, dtype=np.uint64), np.array(right, dtype=np.uint64), 3
+        )
+        wanted = plain_tiles(left, right, 3)
+        for a, b, n in found:
+            assert left[a : a + n] == right[b : b + n] and n >= 3
+        assert len({p for a, _, n in found for p in range(a, a + n)}) == sum(n for *_, n in found)
+        assert len({p for _, b, n in found for p in range(b, b + n)}) == sum(n for *_, n in found)
+        # nothing of the least length is left, and the longest was taken
+        if wanted:
+            assert max(n for *_, n in found) == max(n for *_, n in wanted)
+        rest_l = [None if any(a <= k < a + n for a, _, n in found) else x for k, x in enumerate(left)]
+        rest_r = [0 if any(b <= k < b + n for _, b, n in found) else x for k, x in enumerate(right)]
+        assert plain_tiles(rest_l, rest_r, 3) == []
+
+
+def words(text):
+    return re.findall(r"\w+", (text or "").lower())
+
+
+def brute(docs, items):
+    found = {}
+    for row, (_, text) in enumerate(docs):
+        own = words(text)
+        grams = {tuple(own[k : k + 5]) for k in range(len(own) - 4)}
+        best = []
+        for item_id, item in items:
+            right = words(item)
+            if any(tuple(right[k : k + 5]) in grams for k in range(len(right) - 4)):
+                covered = sum(n for *_, n in plain_tiles(own, right, 5)) / len(right)
+                if covered >= decontamination.COVERAGE:
+                    best.append((-covered, "" if item_id is None else str(item_id)))
+        found[row] = (len(own), len(best), min(best, default=(0, None)))
+    return sorted(
+        str((docs[r][0], n, k, item or None, round(-c, 6), k > 0)) for r, (n, k, (c, item)) in found.items()
+    )
+
+
+def rows(frame):
+    columns = ["doc_id", "n_words", "n_items", "item_id", "coverage", "contaminated"]
+    return sorted(
+        str((*r[:4], round(r[4], 6) + 0, r[5])).replace("-0.0", "0.0").replace("0.0", "0")
+        for r in frame.select(*columns).collect()
+    )
+
+
+def wanted(docs, items):
+    return sorted(x.replace("-0.0", "0.0").replace("0.0", "0") for x in brute(docs, items))
+
+
+def test_messy_rows(spark, messy, messy_rows):
+    items = [(1, messy_rows[15][1][:300]), (2, None), (3, "one two"), (4, "\n".join(messy_rows[20][1].split("\n")[4:9])),
+             (4, "\n".join(messy_rows[20][1].split("\n")[4:9])), (None, "same line " * 9), (7, "word " * 30)]
+    benchmark = spark.createDataFrame(
+        [(i, t, "r", 3) for i, t in items], "item_id long, text string, row string, words int"
+    )
+    short = messy.filter("text IS NULL OR length(text) < 10000")
+    docs = [(r[0], r[1]) for r in messy_rows if len(r[1] or "") < 10000]
+    assert rows(decontamination.contamination(short, benchmark)) == wanted(docs, items)
+    assert decontamination.contamination(messy, benchmark).count() == len(messy_rows)
+    clean = decontamination.drop_contaminated(messy, benchmark)
+    assert clean.columns == messy.columns
+    left = decontamination.contamination(messy, benchmark).filter("NOT contaminated").count()
+    assert clean.count() == left < len(messy_rows)
+
+
+def test_reordered_and_cut_passages(spark):
+    rng = random.Random(8)
+    sentences = [" ".join(f"w{rng.randrange(400)}" for _ in range(9)) for _ in range(6)]
+    other = [" ".join(f"v{rng.randrange(400)}" for _ in range(9)) for _ in range(6)]
+    mixed = sentences[3:] + sentences[:3]
+    docs = [
+        (1, "start " + ". ".join(sentences) + " end"),
+        (2, " x ".join(m.upper() for m in mixed)),
+        (3, ", ".join(other)),
+        (4, ". ".join(other[:3] + sentences[:2])),
+        (5, " ".join(other + sentences[:4])),
+    ]
+    items = [(10, ". ".join(sentences))]
+    found = decontamination.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert {r["doc_id"] for r in found.collect() if r["contaminated"]} == {1, 2, 5}
+    assert rows(found) == wanted(docs, items)
+
+
+def test_a_small_filter_loses_nothing(spark, small_documents):
+    tables = "/root/testdata/sf0.001"
+    benchmark = spark.read.parquet(f"{tables}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    large, small = (
+        rows(decontamination.contamination(docs, benchmark, bits=bits)) for bits in (24, 15)
+    )
+    assert large == small
+
+
+def test_query(spark, small_documents):
+    import __spark_entry__
+
+    tables = "/root/testdata/sf0.001"
+    items = [tuple(r) for r in spark.read.parquet(f"{tables}/benchmark.parquet").select("item_id", "text").collect()]
+    found = __spark_entry__.queries()["op2_decontamination"](spark, tables)
+    assert rows(found) == wanted([(d["doc_id"], d["text"]) for d in small_documents], items)
+
+
+def test_empty_tables(spark, nothing, messy):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.contamination(nothing, none).count() == 0
+    assert decontamination.contamination(messy, none).filter("contaminated").count() == 0
+    assert decontamination.drop_contaminated(messy, none).count() == messy.count()

@@ -1,0 +1,74 @@
+"""License scans against words counted one by one."""
+
+import re
+
+from retailflow.llm import licenses
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def ascii_lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def brute(doc_id, text, share=licenses.CONTAINMENT):
+    words = WORD.findall(ascii_lower(text or ""))
+    places, base = [], set()
+    for phrase, label in licenses.PHRASES.items():
+        parts = phrase.split()
+        for k in range(len(words)):
+            if words[k : k + len(parts)] == parts:
+                places.append(k)
+                base.add(label)
+    labels, best = set(base), 1.0 if places else 0.0
+    for line in (text or "").split("\n"):
+        block = set(WORD.findall(line.lower()))
+        for label, texts in licenses.TEMPLATES.items():
+            for template in texts:
+                wanted = set(template.split())
+                held = len(block & wanted) / len(wanted)
+                if held >= share - 1e-9:
+                    labels.add(label)
+                    best = max(best, held)
+    ends = (min(places), max(places)) if places else (None, None)
+    return (
+        doc_id, len(words), len(places), *ends,
+        ",".join(sorted(base)), ",".join(sorted(labels)), round(best, 9),
+    )
+
+
+COLUMNS = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+
+
+def rows(frame):
+    return sorted(str((*r[:7], round(r[7], 9))) for r in frame.select(*COLUMNS).collect())
+
+
+def test_messy_rows(messy, messy_rows):
+    found = rows(licenses.scan_licenses(messy))
+    assert found == sorted(str(brute(r[0], r[1])) for r in messy_rows)
+
+
+def test_blocks_near_the_threshold(spark):
+    texts = []
+    for label in licenses.TEMPLATES.values():
+        for template in label:
+            words = template.split()
+            for cut in range(0, len(words), 1):
+                texts.append("zz the of " + " ".join(words[cut:]) + "\n" + " ".join(words[: cut + 1]))
+    data = list(enumerate(texts))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    for share in (0.5, 0.8, 1.0):
+        found = rows(licenses.scan_licenses(docs, share=share))
+        assert found == sorted(str(brute(i, t, share)) for i, t in data)
+
+
+def test_query(spark, small_documents):
+    import __spark_entry__
+
+    found = __spark_entry__.queries()["op8_licenses"](spark, "/root/testdata/sf0.001")
+    assert rows(found) == sorted(str(brute(d["doc_id"], d["text"])) for d in small_documents)
+
+
+def test_empty_table(nothing):
+    assert licenses.scan_licenses(nothing).count() == 0

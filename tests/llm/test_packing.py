@@ -23,15 +23,18 @@ def plain(text):
     return library().encode(text or "", add_special_tokens=False).ids + [1]
 
 
-def test_cached_pieces_give_the_whole_texts_ids():
-    tokenizer = library()
-    cache = packing.PieceCache(tokenizer)
+def test_ids_are_the_librarys(spark):
+    encode = packing.encoder(PATH)
     rng = random.Random(1)
-    alphabet = "ab é'st\n\t  .!\x1c\x85  😀1²"
+    alphabet = "ab é'st\n\t  .!\x1c\x85  😀1²ةक़"
     texts = ODD + ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(3000)]
-    for text in texts:
-        whole = tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(packing.encode(text, cache), dtype="<u4").tolist() == whole
+    texts += ["".join(chr(rng.choice((rng.randrange(1, 0xD800), rng.randrange(0xE000, 0x30000))))
+                      for _ in range(20)) for _ in range(2000)]
+    texts += ["x" * 20_000, "ab" * 9_000, "漢字" * 5_000, "<|endoftext|>" * 3]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts += [r["text"] for r in docs.select("text").collect()]
+    wrong = [t for t in texts if encode(t).tolist() != plain(t)[:-1]]
+    assert wrong == []
 
 
 def least(places, penalties, capacity):
