@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -30,6 +31,7 @@ def row_number() -> Column:
     return F.monotonically_increasing_id()
 
 
+@functools.cache  # a worker serves many tasks
 def tokenizer(path: str):
     """The tokenizer of a .json file, single-threaded, without truncation or padding."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

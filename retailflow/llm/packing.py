@@ -18,7 +18,7 @@ task cuts the same windows. Padding without a cause in the text is one window pe
 
 from __future__ import annotations
 
-import re
+import functools
 from collections import deque
 from collections.abc import Iterator
 
@@ -30,8 +30,13 @@ CAPACITY = 2048
 END_ID = 1
 SENTENCE, BREAK, STRIDE = 8, 64, 256
 BLOCK = 1 << 18
-#: Encoded pieces that a worker keeps; beyond it pieces are encoded again.
-CACHE = 400_000
+#: The pre-tokenizer for which PATTERN stands.
+BYTE_LEVEL = {
+    "type": "ByteLevel",
+    "add_prefix_space": False,
+    "trim_offsets": True,
+    "use_regex": True,
+}
 
 PIECES = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, "
@@ -39,44 +44,65 @@ PIECES = (
 )
 
 
-class PieceCache(dict):
-    """The ids of a piece of text, as little-endian 32-bit numbers.
-
-    A piece is white space with the text up to the next white space. The vocabulary's
-    pre-tokens never reach from a non-space into a space, so a text's ids are those of its
-    pieces in a row.
-    """
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
+#: The pre-token pattern of byte-level vocabularies (fixed by them).
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
-    def __missing__(self, piece: str) -> bytes:
-        import numpy as np
 
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        found = np.array(ids, dtype="<u4").tobytes()
-        if len(self) < CACHE and len(piece) < 64:
-            self[piece] = found
-        return found
+def _bytes_of_letters() -> dict[str, int]:
+    """The bytes that the letters of a byte-level vocabulary stand for.
 
+    Printable Latin-1 characters stand for themselves, the others follow from U+0100 on.
+    """
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
-_PIECE = re.compile(r"\s*\S+|\s+")
-#: White space to Python but not to the vocabulary's pattern: such texts are encoded whole.
-_ODD = re.compile("[\x1c-\x1f]")
 
+@functools.cache
+def encoder(path: str):
+    """A function from a text to its ids, as an array, by the vocabulary in a .json file.
 
-def encode(text: str, cache: PieceCache) -> bytes:
-    """The ids of a whole text."""
-    if _ODD.search(text):
-        return cache.__missing__(text)
-    return b"".join(map(cache.__getitem__, _PIECE.findall(text)))
+    The tokenizer library makes some 2 MB a second of these texts. Where the k-th merge makes
+    the id 256 + k, merging by rank gives the same ids, and tiktoken does so six times as fast
+    over the same file's vocabulary; other vocabularies go to the tokenizer library.
+    """
+    import json
 
+    import numpy as np
 
-def sentence_ends(tokenizer):
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    vocabulary, merges = made["model"]["vocab"], made["model"].get("merges", [])
+    pairs = ("".join(m.split(" ")) if isinstance(m, str) else "".join(m) for m in merges)
+    plain = made["pre_tokenizer"] == BYTE_LEVEL and made["normalizer"] is None
+    if plain and all(vocabulary[p] == 256 + k for k, p in enumerate(pairs)):
+        import tiktoken
+
+        letters = _bytes_of_letters()
+        special = {t["content"]: t["id"] for t in made["added_tokens"]}
+        ranks = {
+            bytes(letters[c] for c in token): k
+            for token, k in vocabulary.items()
+            if token not in special
+        }
+        fast = tiktoken.Encoding(
+            path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special
+        )
+        return lambda text: fast.encode_to_numpy(text, allowed_special="all")
+    library = common.tokenizer(path)
+    return lambda text: np.array(
+        library.encode(text, add_special_tokens=False).ids, dtype=np.uint32
+    )
+
+
+@functools.cache
+def sentence_ends(path: str):
     """For each id whether its text ends a sentence or a line."""
     import numpy as np
 
+    tokenizer = common.tokenizer(path)
     ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
     for token, number in tokenizer.get_vocab().items():
         # byte-level vocabularies write the line feed as U+010A
@@ -165,7 +191,7 @@ class Packer:
             doc_id, ids, done, _, _ = row
             length = min(len(ids) - done, size - offset)
             piece = ids[done : done + length]
-            yield doc_id, done, length, len(ids), self.sequence, offset, piece.tobytes()
+            yield doc_id, done, length, len(ids), self.sequence, offset, piece.astype("<u4").tobytes()
             offset += length
             row[2] += length
             used += row[2] == len(ids)
@@ -199,9 +225,8 @@ def pack(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        tokenizer = common.tokenizer(path)
-        cache, ends = PieceCache(tokenizer), sentence_ends(tokenizer)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        encode, ends = encoder(path), sentence_ends(path)
+        end = np.array([end_id], dtype=np.uint32)
         packer = Packer(capacity, TaskContext.get().partitionId() << 33)
         names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
         types = [pa.int64()] * 6 + [pa.binary()]
@@ -215,7 +240,7 @@ def pack(
         for rows in batches:
             texts = rows.column(1)
             for doc_id, text in zip(rows.column(0).to_pylist(), texts, strict=True):
-                ids = np.frombuffer(encode(text.as_py() or "", cache) + end, dtype="<u4")
+                ids = np.concatenate((encode(text.as_py() or ""), end))
                 packer.add(doc_id, ids, *ends_of(ids, ends, capacity))
                 if packer.tokens >= BLOCK:
                     yield batch(packer.solve(last=False))
