@@ -46,6 +46,17 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """The files directly in a folder."""
+    system, location = _open(spark, path)
+    return [s.getPath().toString() for s in system.listStatus(location) if s.isFile()]
+
+
+def set_modified(spark: SparkSession, path: str, milliseconds: int) -> None:
+    system, location = _open(spark, path)
+    system.setTimes(location, milliseconds, -1)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, location = _open(spark, path)
     system.delete(location, True)

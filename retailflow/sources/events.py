@@ -8,6 +8,10 @@ from retailflow.schemas import TOPICS
 
 FILE_FORMATS = ("text", "parquet")
 
+# A stream forgets files this much older than the newest one it has seen, and would skip one
+# that lands later. Spark's week loses a backlog, so the default outlasts any.
+MAX_FILE_AGE = "36500d"
+
 
 def kafka_options(kind: str, servers: str, topic: str | None = None, **options: str) -> dict:
     """From the earliest offset, and not failing when the broker dropped old records."""
@@ -40,9 +44,14 @@ def read_files(
     """One JSON record per text line, or a ``value`` column of Parquet files.
 
     On a stream, ``path`` may be a pattern such as ``landing/*`` and
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a batch.
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a batch. No file is too old to
+    be read (``maxFileAge``), so the stream remembers every file it has read; give
+    ``cleanSource="archive"`` with ``sourceArchiveDir`` to move read files away, or a
+    ``maxFileAge`` longer than any backlog, where that list grows too long.
     """
     if fmt not in FILE_FORMATS:
         raise ValueError(f"format must be one of {FILE_FORMATS}, not {fmt!r}")
     reader = spark.readStream if stream else spark.read
+    if stream:
+        options.setdefault("maxFileAge", MAX_FILE_AGE)
     return reader.format(fmt).schema("value string").options(**options).load(path)

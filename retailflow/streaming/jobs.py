@@ -15,9 +15,9 @@ from retailflow import files
 from retailflow.functions.parsing import accepted, parse_events
 from retailflow.functions.timing import instant, period_start
 from retailflow.operators.latest import latest_products, latest_users
-from retailflow.operators.totals import quantity_by, quantity_totals
+from retailflow.operators.totals import quantity_totals
 from retailflow.session import stateful_session
-from retailflow.tables import Tables
+from retailflow.tables import RUNNING, Tables
 
 Clock = Callable[[], datetime]
 Source = Callable[[SparkSession], DataFrame]
@@ -81,7 +81,13 @@ def handle_batch(tables: Tables, kind: str, clock: Clock = utc_now):
 
 
 def ingest(tables: Tables, kind: str, raw: DataFrame, clock: Clock = utc_now) -> int:
-    """Load a batch of raw records as the next batch of tables no stream writes to."""
+    """Load a batch of raw records as the next batch of tables no stream writes to.
+
+    Refused once the topic has a stream: that counts its batches itself, and the one
+    numbered like this would be taken for a repetition and skipped.
+    """
+    if files.exists(tables.spark, tables.checkpoint(kind)):
+        raise RuntimeError(f"a stream writes to the {kind} tables; ingest would hide its next batch")
     batch_id = tables.committed(kind) + 1
     handle_batch(tables, kind, clock)(parse_events(raw, kind), batch_id)
     return batch_id
@@ -90,12 +96,21 @@ def ingest(tables: Tables, kind: str, raw: DataFrame, clock: Clock = utc_now) ->
 def _checkpoint(tables: Tables, stream: str) -> str:
     """The stream's own checkpoint folder, unique by the stream's name.
 
-    Batch numbers come from the checkpoint, so one that was lost while its tables
-    were kept would count from 0 again and is refused.
+    Batch numbers come from the checkpoint. One that was lost, emptied or put back from
+    an old copy would count again from an earlier number, and batches up to the tables'
+    last would be skipped as repetitions; it is refused. Spark notes a batch's offsets
+    before it runs the batch, so a whole checkpoint reaches as far as the tables.
     """
     folder = tables.checkpoint(stream)
-    if tables.committed(stream) >= 0 and not files.exists(tables.spark, folder):
-        raise RuntimeError(f"the {stream} tables have batches but their checkpoint is gone")
+    last = tables.committed(stream)
+    if last >= 0:
+        offsets = files.names(tables.spark, f"{folder}/offsets")
+        reached = max((int(name) for name in offsets if name.isdigit()), default=-1)
+        if reached < last:
+            raise RuntimeError(
+                f"the {stream} tables have batches up to {last} but their checkpoint is gone "
+                f"or reaches only {reached}"
+            )
     return folder
 
 
@@ -126,35 +141,41 @@ def start_events(
     )
 
 
+# State partitions of the running totals unless the caller sizes them to the keys.
+STATE_PARTITIONS = 8
+
+
 def start_running_totals(
     tables: Tables,
-    dimension: str,
     source: Source,
     clock: Clock = utc_now,
     trigger: dict | None = None,
-    partitions: int = 8,
+    partitions: int = STATE_PARTITIONS,
 ) -> StreamingQuery:
     """Start the stateful query that logs the all-time total of each key a batch touches.
 
-    These rows are snapshots, not increments: the newest row of a key replaces the
+    One query keeps the totals of all dimensions: the topic is read and parsed once.
+    The rows are snapshots, not increments: the newest row of a key replaces the
     older ones. ``partitions`` is frozen by the first start; size it to the number
     of keys.
     """
     session = stateful_session(tables.spark, partitions)
-    stream = f"running_{dimension}"
     events = accepted(parse_events(source(session), "transactions"))
 
     def handle(totals: DataFrame, batch_id: int) -> None:
+        if batch_id <= tables.committed(RUNNING):
+            # A repetition: its state must be computed again, its rows are there.
+            totals.write.format("noop").mode("overwrite").save()
+            return
         rows = totals.withColumn("processed_at", instant(clock()))
-        tables.write_batch(stream, rows, batch_id)
-        if batch_id > tables.committed(stream):
-            tables.commit(stream, batch_id)
+        tables.write_batch(RUNNING, rows, batch_id)
+        tables.commit(RUNNING, batch_id)
 
     return (
-        quantity_by(events, dimension)
-        .writeStream.queryName(stream)
+        quantity_totals(events)
+        .writeStream.queryName(RUNNING)
         .outputMode("update")
-        .option("checkpointLocation", _checkpoint(tables, stream))
+        .option("checkpointLocation", _checkpoint(tables, RUNNING))
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(handle)
         .start()
@@ -164,18 +185,19 @@ def start_running_totals(
 def start_all(
     tables: Tables,
     sources: dict[str, Source],
-    running: Iterable[str] = (),
+    running: bool = False,
     clock: Clock = utc_now,
     trigger: dict | None = None,
+    partitions: int = STATE_PARTITIONS,
 ) -> list[StreamingQuery]:
-    """Start the query of every topic in ``sources`` and the asked-for running totals."""
+    """Start the query of every topic in ``sources`` and, if asked for, the running totals."""
     started = [
         start_events(tables, kind, source, clock, trigger) for kind, source in sources.items()
     ]
-    return started + [
-        start_running_totals(tables, name, sources["transactions"], clock, trigger)
-        for name in running
-    ]
+    if running:
+        orders = sources["transactions"]
+        started.append(start_running_totals(tables, orders, clock, trigger, partitions))
+    return started
 
 
 def wait(queries: Iterable[StreamingQuery], seconds: float | None = None) -> None:

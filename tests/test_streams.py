@@ -1,16 +1,18 @@
 """Streaming jobs: drains, restarts, failures, running totals, waiting."""
 
 import json
+import os
 import time
 
 import pytest
 from conftest import NOW
-from samples import CLICK, STOCK, found, order
+from samples import CLICK, STOCK, found, order, raw
 
 from retailflow import files
-from retailflow.schemas import TOPICS, columns
+from retailflow.schemas import DIMENSIONS, TOPICS, columns
 from retailflow.sources.events import kafka_options, read_files
 from retailflow.streaming import jobs
+from retailflow.tables import RUNNING
 
 
 def land(path, name, values):
@@ -103,6 +105,38 @@ def test_lost_checkpoint_is_refused(tables, tmp_path):
         start(tables, "transactions", inbox)
 
 
+def test_an_emptied_checkpoint_is_refused(tables, tmp_path):
+    inbox = tmp_path / "in"
+    for name in ("1", "2"):
+        land(inbox, name, [order()])
+        drain(tables, "transactions", inbox)
+    files.delete(tables.spark, tables.checkpoint("transactions"))
+    files.create_folder(tables.spark, tables.checkpoint("transactions"))
+    with pytest.raises(RuntimeError, match="reaches only -1"):
+        start(tables, "transactions", inbox)
+
+
+def test_ingest_beside_a_stream_is_refused(tables, tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "1", [order()])
+    drain(tables, "transactions", inbox)
+    with pytest.raises(RuntimeError, match="a stream writes"):
+        jobs.ingest(tables, "transactions", raw(tables.spark, [order()]))
+    land(inbox, "2", [order()])
+    drain(tables, "transactions", inbox)
+    assert tables.read("transaction_data").count() == 2
+
+
+def test_old_files_are_read(tables, tmp_path):
+    inbox = tmp_path / "in"
+    for number in range(3):
+        land(inbox, str(number), [order(order_id=f"o{number}")])
+        old = time.time() - number * 9 * 86_400
+        os.utime(inbox / str(number), (old, old))
+        drain(tables, "transactions", inbox)
+    assert tables.read("transaction_data").count() == 3
+
+
 def test_click_and_inventory_logs(tables, tmp_path):
     clicks, stock = tmp_path / "clicks", tmp_path / "stock"
     land(clicks, "1", [json.dumps(CLICK), json.dumps({"event_id": "e2"}), json.dumps({"x": 1})])
@@ -120,17 +154,34 @@ def test_click_and_inventory_logs(tables, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("dimension", ["category", "city", "payment", "shipping"])
-def test_running_totals_are_not_batch_totals(tables, tmp_path, dimension):
+def test_running_totals_are_not_batch_totals(tables, tmp_path):
     inbox = tmp_path / "in"
     source = lambda s: read_files(s, str(inbox))
-    stream = f"running_{dimension}"
     for name, quantity in (("1", 2), ("2", 5)):
         land(inbox, name, [order(quantity=quantity), order(quantity=None)])
-        jobs.wait([jobs.start_running_totals(tables, dimension, source, lambda: NOW, partitions=2)])
-    rows = found(tables.read_stored(stream, stream), "batch_id", "quantity")
-    assert rows == [(0, 2), (1, 7)]
-    assert found(tables.running(dimension), "quantity") == [(7,)]
+        started = jobs.start_running_totals(tables, source, lambda: NOW, partitions=2)
+        jobs.wait([started])
+        assert len(started.lastProgress.sources) == 1
+    rows = tables.read_stored(RUNNING, RUNNING)
+    for dimension in DIMENSIONS:
+        own = rows.filter(rows.dimension == dimension)
+        assert found(own, "batch_id", "quantity") == [(0, 2), (1, 7)]
+        assert found(tables.running(dimension), "quantity") == [(7,)]
+    tables.compact(RUNNING)
+    assert found(tables.running("city"), "city", "state", "quantity") == [("Austin", "TX", 7)]
+
+
+def test_a_repeated_running_batch_rewrites_nothing(tables, tmp_path):
+    inbox = tmp_path / "in"
+    source = lambda s: read_files(s, str(inbox))
+    land(inbox, "1", [order(quantity=2)])
+    jobs.wait([jobs.start_running_totals(tables, source, lambda: NOW, partitions=2)])
+    before = files.matches(tables.spark, tables.batch_path(RUNNING, 0) + "/*/*.parquet")
+    files.delete(tables.spark, f"{tables.checkpoint(RUNNING)}/commits/0")
+    land(inbox, "2", [order(quantity=3)])
+    jobs.wait([jobs.start_running_totals(tables, source, lambda: NOW, partitions=2)])
+    assert files.matches(tables.spark, tables.batch_path(RUNNING, 0) + "/*/*.parquet") == before
+    assert found(tables.running("city"), "quantity") == [(5,)]
 
 
 def test_running_and_batch_streams_side_by_side(tables, tmp_path):
@@ -138,9 +189,9 @@ def test_running_and_batch_streams_side_by_side(tables, tmp_path):
     land(inbox, "1", [order(quantity=2)])
     source = lambda s: read_files(s, str(inbox))
     started = jobs.start_all(
-        tables, {"transactions": source}, running=("category", "payment"), clock=lambda: NOW
+        tables, {"transactions": source}, running=True, clock=lambda: NOW, partitions=2
     )
-    assert len({query.id for query in started}) == 3
+    assert len({query.id for query in started}) == 2
     jobs.wait(started)
     assert found(tables.running("payment"), "quantity") == [(2,)]
     assert found(tables.read("sales_by_payment"), "quantity") == [(2,)]
