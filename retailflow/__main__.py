@@ -14,17 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from retailflow import files
 from retailflow.plans import scheduled
 from retailflow.plans.archive import archive_transactions
-from retailflow.schemas import DIMENSIONS, EVENTS
+from retailflow.schemas import EVENTS
 from retailflow.session import configure, scratch_folder
 from retailflow.sources.events import read_files, read_topic
 from retailflow.streaming import jobs
-from retailflow.tables import CURRENT, Tables
+from retailflow.tables import CURRENT, FOLDED, Tables
 
 
 def arguments(words: list[str] | None = None) -> argparse.Namespace:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--root", required=True, help="folder of the tables, shared by all")
     common.add_argument("--period", choices=("day", "month", "year"), help="for new tables")
+    common.add_argument(
+        "--rebalance", action="store_true", help="shuffle batches to their folders (backfills)"
+    )
     timed = argparse.ArgumentParser(add_help=False, parents=[common])
     timed.add_argument("--as-of", type=datetime.fromisoformat, help="default: now")
     parser = argparse.ArgumentParser(prog="retailflow")
@@ -34,7 +37,11 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     origin.add_argument("--servers", help="read the topics of these brokers")
     origin.add_argument("--files", help="read <folder>/<kind>/ as JSON lines")
     stream.add_argument("--kinds", nargs="+", choices=list(EVENTS), default=list(EVENTS))
-    stream.add_argument("--running", nargs="*", choices=list(DIMENSIONS), default=[])
+    stream.add_argument("--running", action="store_true", help="all-time totals as well")
+    stream.add_argument(
+        "--state-partitions", type=int, default=jobs.STATE_PARTITIONS,
+        help="of the all-time totals; the first start fixes it",
+    )
     stream.add_argument("--seconds", type=float, help="default: drain what is there and stop")
     stream.add_argument("--every", default="1 minute", help="batch interval with --seconds")
     stream.add_argument("--limit", help="records (topics) or files per batch; bounds a backlog")
@@ -44,6 +51,7 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
         commands.add_parser(name, parents=[timed])
     alert = commands.add_parser("alert", parents=[timed])
     alert.add_argument("--threshold", type=int, default=scheduled.LARGE_ORDER)
+    alert.add_argument("--lines", type=int, default=scheduled.LINES_PER_MESSAGE)
     commands.add_parser("compact", parents=[common])
     return parser.parse_args(words)
 
@@ -58,7 +66,10 @@ def stream(tables: Tables, given: argparse.Namespace) -> None:
 
     trigger = {"processingTime": given.every} if given.seconds else None
     sources = {kind: source(kind) for kind in given.kinds}
-    jobs.wait(jobs.start_all(tables, sources, given.running, trigger=trigger), given.seconds)
+    started = jobs.start_all(
+        tables, sources, given.running, trigger=trigger, partitions=given.state_partitions
+    )
+    jobs.wait(started, given.seconds)
 
 
 def show(frame: DataFrame) -> None:
@@ -70,7 +81,7 @@ def show(frame: DataFrame) -> None:
 def main(words: list[str] | None = None) -> None:
     given = arguments(words)
     spark = configure(SparkSession.builder.appName("retailflow").getOrCreate())
-    tables = Tables(spark, given.root, given.period)
+    tables = Tables(spark, given.root, given.period, given.rebalance)
     tables.create()
     as_of = getattr(given, "as_of", None) or jobs.utc_now()
     match given.command:
@@ -84,14 +95,18 @@ def main(words: list[str] | None = None) -> None:
             show(scheduled.activity_update(tables, as_of))
         case "alert":
             folder = scratch_folder(spark, "alert")
-            alert = scheduled.large_order_check(tables, as_of, folder, given.threshold)
-            show(alert.orderBy("part"))
+            alert = scheduled.large_order_check(
+                tables, as_of, folder, given.threshold, given.lines
+            )
+            print(alert.count())  # the messages are in the table alerts
             files.delete(spark, folder)
         case "archive":
             print(archive_transactions(tables, as_of))
         case "compact":
             for name in CURRENT:
                 tables.compact(name)
+            for name in FOLDED:
+                tables.fold(name)
 
 
 if __name__ == "__main__":

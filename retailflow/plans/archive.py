@@ -5,23 +5,13 @@ from __future__ import annotations
 import re
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from retailflow import files
 from retailflow.functions.timing import RETENTION, archive_cutoff, instant, older_than, period_end
 from retailflow.tables import Tables
 
 
-def with_user(transactions: DataFrame, users: DataFrame) -> DataFrame:
-    """Add the name and e-mail of each transaction's user, NULL for an unknown one.
-
-    ``users`` is a stored table with one row per user. Spark broadcasts it if its
-    file size allows; else a user with very many transactions makes a skewed
-    partition, which adaptive execution splits as both sides come from a shuffle.
-    """
-    return transactions.join(users.select("user_id", "user_name", "user_email"), "user_id", "left")
-
-
 def archive_transactions(
     tables: Tables, as_of: datetime, retention: timedelta = RETENTION
 ) -> int:
@@ -29,7 +19,8 @@ def archive_transactions(
 
     The run's marker publishes both halves at once: from then on readers of the live
     table skip what readers of the archive see. Nothing of the live table is
-    rewritten; folders that hold only archived rows are deleted one run later.
+    rewritten; folders that hold only archived rows are deleted one run later. A row
+    takes along the name and e-mail it was logged with, so no join is needed.
     A run that fails before its marker is repeated under the same number.
     """
     cutoff = archive_cutoff(as_of, retention)
@@ -40,14 +31,10 @@ def archive_transactions(
         drop_archived(tables, *previous)
     run = tables.committed("archive") + 1
     through = tables.committed("transactions")
-    tables.compact("users")
-    old = older_than(tables.live_transactions(), instant(cutoff)).filter(
+    moved = older_than(tables.live_transactions(), instant(cutoff)).filter(
         F.col("batch_id") <= through
     )
-    moved = with_user(
-        old.drop("user_name", "user_email", "batch_id"), tables.snapshot("users")
-    )
-    tables.write_batch("archived_transactions", moved, run)
+    tables.write_batch("archived_transactions", moved.drop("batch_id"), run)
     state = tables.spark.range(1).select(
         instant(cutoff).alias("cutoff"), F.lit(through).alias("through_batch")
     )
@@ -57,12 +44,19 @@ def archive_transactions(
 
 
 def drop_archived(tables: Tables, cutoff: datetime, through: int) -> int:
-    """Delete the live folders whose rows are all archived; the cutoff's period stays."""
-    column = tables.period_column
-    pattern = f"{tables.path('transactions_log')}/batch_id=*/status=accepted/{column}=*"
+    """Delete the live folders whose rows are all archived; the cutoff's period stays.
+
+    Folding keeps the batches and generations, and so the folders looked at, few.
+    """
+    column, log = tables.period_column, tables.path("transactions_log")
+    below = f"status=accepted/{column}=*"
+    folders = files.matches(tables.spark, f"{log}/batch_id=*/{below}")
+    folders += files.matches(tables.spark, f"{log}_folded/generation=*/{below}")
     dropped = 0
-    for folder in files.matches(tables.spark, pattern):
-        found = re.search(rf"batch_id=(\d+)/.*{column}=(\d{{4}}-\d\d-\d\d)$", folder)
+    for folder in folders:
+        found = re.search(
+            rf"(?:batch_id=|generation=\d+-)(\d+)/.*{column}=(\d{{4}}-\d\d-\d\d)$", folder
+        )
         if not found or int(found[1]) > through:
             continue
         if period_end(date.fromisoformat(found[2]), tables.period) <= cutoff.date():

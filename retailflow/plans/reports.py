@@ -106,12 +106,15 @@ def large_order_alert(
         ALERT_LINE, "order_id", "user_id", "quantity", _time_text("timestamp")
     )
     lines = numbered(orders, ["timestamp", "order_id", "user_id", "quantity"], folder)
-    if lines.isEmpty():
-        return orders.sparkSession.range(1).select(
+    nothing = (
+        lines.agg(F.count(F.lit(1)).alias("orders"))
+        .filter("orders = 0")
+        .select(
             F.lit(0).cast("bigint").alias("part"),
             F.lit(NOTHING_FOUND).alias("body"),
             F.lit(False).alias("found"),
         )
+    )
     part = F.floor(F.col("n") / lines_per_message).cast("bigint")
     texts = F.transform(F.sort_array(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
     return (
@@ -119,6 +122,7 @@ def large_order_alert(
         .groupBy("part")
         .agg(F.array_join(texts, "<br>").alias("body"))
         .select("part", "body", F.lit(True).alias("found"))
+        .unionByName(nothing)
     )
 
 

@@ -68,6 +68,7 @@ TYPES = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "decimal(10,2)": T.DecimalType(10, 2),
@@ -120,6 +121,12 @@ class Layout:
             self, partitions=tuple(column if p == PERIOD else p for p in self.partitions)
         )
 
+    @property
+    def folded_schema(self) -> T.StructType:
+        """As ``read_schema``, for folders that hold many batches: ``batch_id`` is data."""
+        parts = {p: PARTITION_TYPES.get(p, "date") for p in ("generation", *self.partitions)}
+        return _struct({**self.types, "batch_id": "bigint", **parts})
+
     @property
     def read_schema(self) -> T.StructType:
         """Data columns plus the partition columns found in the path."""
@@ -127,7 +134,12 @@ class Layout:
         return _struct({**self.types, **parts})
 
 
-PARTITION_TYPES = {"batch_id": "bigint", "status": "string", "dimension": "string"}
+PARTITION_TYPES = {
+    "batch_id": "bigint",
+    "status": "string",
+    "dimension": "string",
+    "generation": "string",
+}
 
 _TOTAL = {"quantity": "bigint", "processed_at": "timestamp"}
 
@@ -148,10 +160,10 @@ STORED: dict[str, Layout] = {
         {**{key: "string" for keys in DIMENSIONS.values() for key in keys}, **_TOTAL},
         ("dimension",),
     ),
-    **{
-        f"running_{name}": Layout({**{key: "string" for key in keys}, **_TOTAL})
-        for name, keys in DIMENSIONS.items()
-    },
+    "running_totals": Layout(
+        {**{key: "string" for keys in DIMENSIONS.values() for key in keys}, **_TOTAL},
+        ("dimension",),
+    ),
     "user_changes": Layout(
         {
             "user_id": "string",
@@ -176,12 +188,25 @@ STORED: dict[str, Layout] = {
             "longitude": "decimal(11,8)",
         }
     ),
+    "coordinate_rejects": Layout(
+        {
+            "city": "string",
+            "state": "string",
+            "latitude": "string",
+            "longitude": "string",
+            "reject_reason": "string",
+        }
+    ),
+    "alerts": Layout(
+        {"as_of": "timestamp", "part": "bigint", "body": "string", "found": "boolean"}
+    ),
     "archived_transactions": Layout(
         {**event_types("transactions"), "processed_at": "timestamp"}, (PERIOD,)
     ),
     "archive_runs": Layout({"cutoff": "timestamp", "through_batch": "bigint"}),
     "daily_reports": Layout(
         {
+            "as_of": "timestamp",
             "date": "string",
             "orders": "bigint",
             "total_quantity": "bigint",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
@@ -17,15 +17,31 @@ def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return raw.select(
-        "city",
-        "state",
-        F.col("latitude").try_cast("decimal(10,8)").alias("latitude"),
-        F.col("longitude").try_cast("decimal(11,8)").alias("longitude"),
-        position.alias("line"),
-    )
+    return raw.select("city", "state", "latitude", "longitude", position.alias("line"))
+
+
+# The types of the stored coordinates.
+NUMBERS = {"latitude": "decimal(10,8)", "longitude": "decimal(11,8)"}
+
+
+def _reasons() -> Column:
+    """All that is wrong with a row, comma-joined; empty if nothing is."""
+    missing = [F.when(F.col(c).isNull(), f"missing:{c}") for c in ("city", "state", *NUMBERS)]
+    invalid = [
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), f"invalid:{c}")
+        for c, t in NUMBERS.items()
+    ]
+    return F.concat_ws(",", *missing, *invalid)
 
 
 def usable_coordinates(rows: DataFrame) -> DataFrame:
-    """Rows with all four values; the rest cannot be stored."""
-    return rows.dropna(subset=["city", "state", "latitude", "longitude"])
+    """Rows with all four values, typed; the rest cannot be stored."""
+    typed = {c: F.col(c).try_cast(t) for c, t in NUMBERS.items()}
+    return rows.filter(_reasons() == "").withColumns(typed)
+
+
+def rejected_coordinates(rows: DataFrame) -> DataFrame:
+    """The other rows as they stand in the file, with ``reject_reason``."""
+    reason = _reasons()
+    columns = ["city", "state", "latitude", "longitude"]
+    return rows.filter(reason != "").select(*columns, reason.alias("reject_reason"))

@@ -4,6 +4,10 @@ Every batch of a table has its own folder, so repeating a batch replaces it. A b
 counts once its marker exists; the marker is written after all tables of that batch,
 so readers see all of a batch or nothing. Current tables are a log of per-batch
 changes, folded on read and folded for good by :meth:`Tables.compact`.
+
+Logs gather their closed batches into generations (:meth:`Tables.fold`): one folder for a
+range of batches, split by status and period only. A reader lists the generations, as many
+as the logarithm of the number of batches, and the batches since.
 """
 
 from __future__ import annotations
@@ -17,9 +21,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from retailflow import files
 from retailflow.functions.timing import PERIODS, instant, period_start
 from retailflow.operators.latest import latest
-from retailflow.schemas import DIMENSIONS, STORED, Layout, columns
+from retailflow.schemas import DIMENSIONS, EVENTS, STORED, Layout, columns
 
 MARKERS_KEPT = 100
+RUNNING = "running_totals"
+
+# The tables whose batches are gathered, with the stream that numbers them.
+FOLDED = {
+    **{f"{kind}_log": kind for kind in EVENTS},
+    "quantity_totals": "transactions",
+    RUNNING: RUNNING,
+}
 
 
 class Tables:
@@ -28,11 +40,23 @@ class Tables:
     ``period`` is how much event time one log folder covers: "day" for live traffic,
     longer where a batch spreads thin over a long history and days would make tiny
     files. It is kept with the tables; opening them again needs no argument.
+
+    ``rebalance`` shuffles a batch to its folders before it is written: sized files, and a
+    hot folder split over many, at the price of moving every row. It is for a backfill that
+    spreads over many folders. Live batches fill the folders of a day or two from each task
+    and are written as they come; folding sizes their files later.
     """
 
-    def __init__(self, spark: SparkSession, root: str, period: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        period: str | None = None,
+        rebalance: bool = False,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.rebalance = rebalance
         stored = files.names(spark, f"{self.root}/_period")
         if stored and period not in (None, stored[0]):
             raise ValueError(f"the tables are partitioned by {stored[0]}, not by {period}")
@@ -71,9 +95,10 @@ class Tables:
     def commit(self, stream: str, batch_id: int) -> None:
         folder = f"{self.root}/_commits/{stream}"
         files.create_marker(self.spark, f"{folder}/{batch_id}")
-        old = batch_id - MARKERS_KEPT
-        if old >= 0:
-            files.delete(self.spark, f"{folder}/{old}")
+        # Numbers may have gaps, so whatever is old goes, not one name.
+        for name in files.names(self.spark, folder):
+            if name.isdigit() and int(name) <= batch_id - MARKERS_KEPT:
+                files.delete(self.spark, f"{folder}/{name}")
 
     # -- writing
 
@@ -89,13 +114,16 @@ class Tables:
                 for c in wanted
             ]
         )
-        if layout.partitions:
+        self._write(rows, layout, self.batch_path(table, batch_id), self.rebalance)
+
+    def _write(self, rows: DataFrame, layout: Layout, path: str, rebalance: bool) -> None:
+        if layout.partitions and rebalance:
             # Sized files per partition; adaptive execution splits a hot partition.
             rows = rows.hint("rebalance", *layout.partitions)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if layout.partitions:
             writer = writer.partitionBy(*layout.partitions)
-        writer.parquet(self.batch_path(table, batch_id))
+        writer.parquet(path)
 
     # -- reading
 
@@ -106,10 +134,89 @@ class Tables:
             .parquet(self.batch_path(table, batch_id))
         )
 
-    def read_stored(self, table: str, stream: str) -> DataFrame:
-        """All rows of the committed batches, with ``batch_id``."""
+    def read_stored(self, table: str, stream: str, after: int = -1) -> DataFrame:
+        """All rows of the committed batches, or of those after one, with ``batch_id``."""
+        folded = self.committed(f"{table}_folded") if table in FOLDED else -1
+        recent = self._recent(table, max(folded, after), self.committed(stream))
+        chosen = [pair for pair in self.generations(table) if pair[1] > after]
+        if not chosen:
+            return recent
+        return recent.unionByName(self._folded(table, chosen).filter(F.col("batch_id") > after))
+
+    def _recent(self, table: str, after: int, last: int) -> DataFrame:
         rows = self.spark.read.schema(self.layout(table).read_schema).parquet(self.path(table))
-        return rows.filter(F.col("batch_id") <= self.committed(stream))
+        rows = rows.filter(F.col("batch_id") <= last)
+        return rows if after < 0 else rows.filter(F.col("batch_id") > after)
+
+    def _folded(self, table: str, generations: list[tuple[int, int]]) -> DataFrame:
+        root = self._folded_path(table)
+        return (
+            self.spark.read.schema(self.layout(table).folded_schema)
+            .option("basePath", root)
+            .parquet(*[f"{root}/generation={a}-{b}" for a, b in generations])
+            .drop("generation")
+        )
+
+    # -- gathering batches
+
+    def _folded_path(self, table: str) -> str:
+        return f"{self.path(table)}_folded"
+
+    def generations(self, table: str) -> list[tuple[int, int]]:
+        """First and last batch of the generations that readers use, the newest first.
+
+        Each ends where the one after it begins, back from the last published; others are
+        older states or the remains of a failed run.
+        """
+        last = self.committed(f"{table}_folded") if table in FOLDED else -1
+        if last < 0:
+            return []
+        first: dict[int, int] = {}
+        for name in files.names(self.spark, self._folded_path(table)):
+            a, _, b = name.removeprefix("generation=").partition("-")
+            if a.isdigit() and b.isdigit():
+                # A wider one replaces those it was made of.
+                first[int(b)] = min(int(a), first.get(int(b), int(a)))
+        chain = []
+        while last in first:
+            chain.append((first[last], last))
+            last = first[last] - 1
+        return chain
+
+    def fold(self, table: str) -> None:
+        """Gather the batches of ``table`` that are closed into a new generation.
+
+        Generations no larger than what is gathered are taken in as well, so each batch is
+        rewritten as often as the logarithm of their number, and few generations are left.
+        What the published state before this one used stays until the next run, for
+        readers that have started; older folders are deleted whole.
+        """
+        name, last = f"{table}_folded", self.committed(FOLDED[table])
+        previous = self.committed(name)
+        if last <= previous:
+            return
+        chain, taken, first = self.generations(table), [], previous + 1
+        for a, b in chain:
+            if b - a > last - first:
+                break
+            taken.append((a, b))
+            first = a
+        layout = self.layout(table)
+        rows = self._recent(table, previous, last)
+        if taken:
+            rows = rows.unionByName(self._folded(table, taken))
+        rows = rows.select(*layout.types, "batch_id", *layout.partitions)
+        path = f"{self._folded_path(table)}/generation={first}-{last}"
+        self._write(rows, layout, path, rebalance=True)
+        self.commit(name, last)
+        kept = {f"generation={a}-{b}" for a, b in [*chain, (first, last)]}
+        for folder in files.names(self.spark, self._folded_path(table)):
+            if folder.startswith("generation=") and folder not in kept:
+                files.delete(self.spark, f"{self._folded_path(table)}/{folder}")
+        for folder in files.names(self.spark, self.path(table)):
+            number = folder.removeprefix("batch_id=")
+            if number.isdigit() and int(number) <= previous:
+                files.delete(self.spark, f"{self.path(table)}/{folder}")
 
     def read(self, name: str) -> DataFrame:
         """A table by the name reports use; see :data:`READERS`."""
@@ -158,7 +265,7 @@ class Tables:
         """The rows of a compaction, the last by default, straight from its files."""
         if through is None:
             through = self.committed(f"{name}_snapshot")
-        schema = CURRENT[name].changes(self).schema
+        schema = CURRENT[name].changes(self, -1).schema
         if through < 0:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self._snapshot(name)}/through={through}")
@@ -166,30 +273,27 @@ class Tables:
     def changes(self, name: str) -> DataFrame:
         """The last snapshot of a current table and the changes made since, not folded."""
         through = self.committed(f"{name}_snapshot")
-        since = CURRENT[name].changes(self).filter(F.col("batch_id") > through)
+        since = CURRENT[name].changes(self, through)
         return since if through < 0 else since.unionByName(self.snapshot(name, through))
 
     def current(self, name: str) -> DataFrame:
         return CURRENT[name].fold(self.changes(name))
 
     def running(self, dimension: str) -> DataFrame:
-        """The newest all-time total of each key, as logged by its stateful stream."""
-        stream = f"running_{dimension}"
-        return latest(
-            self.read_stored(stream, stream),
-            DIMENSIONS[dimension],
-            ["quantity", "processed_at"],
-            ["batch_id"],
-        )
+        """The newest all-time total of each key, as logged by the stateful stream."""
+        keys = DIMENSIONS[dimension]
+        rows = self.current(RUNNING).filter(F.col("dimension") == dimension)
+        return rows.select(*keys, "quantity", "processed_at")
 
     def compact(self, name: str) -> None:
         """Publish the rows up to the last batch as a new snapshot, so reads stop there.
 
         The changes up to the previous snapshot and the snapshots before it are
-        dropped; younger ones stay for readers that have started.
+        dropped; younger ones stay for readers that have started. Changes that come from
+        a log stay in it.
         """
         snapshot = f"{name}_snapshot"
-        last, previous = self.committed("transactions"), self.committed(snapshot)
+        last, previous = self.committed(CURRENT[name].stream), self.committed(snapshot)
         if last <= previous:
             return
         # A stream may commit meanwhile; its batch belongs to the next snapshot.
@@ -200,35 +304,39 @@ class Tables:
         for old in files.matches(self.spark, f"{self._snapshot(name)}/through=*"):
             if int(old.rpartition("=")[2]) < previous:
                 files.delete(self.spark, old)
-        for folder in files.matches(self.spark, f"{self.root}/{CURRENT[name].folders}"):
-            if int(folder.partition("batch_id=")[2].partition("/")[0]) <= previous:
-                files.delete(self.spark, folder)
+        own = CURRENT[name].own_table
+        for folder in files.names(self.spark, self.path(own)) if own else ():
+            number = folder.removeprefix("batch_id=")
+            if number.isdigit() and int(number) <= previous:
+                files.delete(self.spark, f"{self.path(own)}/{folder}")
 
 
 @dataclass(frozen=True)
 class _Current:
     """A table read as snapshot and changes, all with the ``batch_id`` they come from.
 
-    ``fold`` brings rows to their final form and can be applied to folded rows again;
-    ``folders`` is where the changes are.
+    ``changes`` gives those after a batch. ``fold`` brings rows to their final form and can
+    be applied to folded rows again. ``own_table`` holds nothing but these changes, so
+    compaction empties it.
     """
 
-    changes: Callable[[Tables], DataFrame]
+    changes: Callable[[Tables, int], DataFrame]
     fold: Callable[[DataFrame], DataFrame]
-    folders: str
+    own_table: str | None = None
+    stream: str = "transactions"
 
 
 def _keyed(table: str, key: str) -> _Current:
     values = [*(c for c in STORED[table].types if c != key), "batch_id"]
     return _Current(
-        lambda tables: tables.read_stored(table, "transactions"),
+        lambda tables, after: tables.read_stored(table, "transactions", after),
         lambda rows: latest(rows, [key], values, ["batch_id"]),
-        f"{table}/batch_id=*",
+        table,
     )
 
 
-def _city_changes(tables: Tables) -> DataFrame:
-    rows = tables.read_stored("quantity_totals", "transactions")
+def _city_changes(tables: Tables, after: int) -> DataFrame:
+    rows = tables.read_stored("quantity_totals", "transactions", after)
     return rows.filter(F.col("dimension") == "city").select(
         "city",
         "state",
@@ -254,17 +362,19 @@ def _batch_totals(tables: Tables) -> DataFrame:
     )
 
 
+def _newest_totals(rows: DataFrame) -> DataFrame:
+    keys = ["dimension", *dict.fromkeys(k for keys in DIMENSIONS.values() for k in keys)]
+    return latest(rows, keys, ["quantity", "processed_at", "batch_id"], ["batch_id"])
+
+
 CURRENT: dict[str, _Current] = {
     "users": _keyed("user_changes", "user_id"),
     "products": _keyed("product_changes", "product_id"),
-    "sales_per_city": _Current(
-        _city_changes, _city_sum, "quantity_totals/batch_id=*/dimension=city"
-    ),
-    # Every row is kept; compaction only gathers the small files of many batches.
-    "batch_totals": _Current(
-        _batch_totals,
-        lambda rows: rows,
-        "quantity_totals/batch_id=*/dimension={category,payment,shipping}",
+    "sales_per_city": _Current(_city_changes, _city_sum),
+    RUNNING: _Current(
+        lambda tables, after: tables.read_stored(RUNNING, RUNNING, after),
+        _newest_totals,
+        stream=RUNNING,
     ),
 }
 
@@ -286,7 +396,7 @@ def _rejects(tables: Tables) -> DataFrame:
 
 
 def _totals(tables: Tables, dimension: str) -> DataFrame:
-    return tables.current("batch_totals").filter(F.col("dimension") == dimension)
+    return _batch_totals(tables).filter(F.col("dimension") == dimension)
 
 
 def _methods(dimension: str) -> Callable[[Tables], DataFrame]:
@@ -304,11 +414,18 @@ def _batches(dimension: str) -> Callable[[Tables], DataFrame]:
     )
 
 
-# Names and addresses live in ``users``; stored transactions do not repeat them.
+# Reports of live transactions leave out the name and the e-mail, which ``users`` has too.
 TRANSACTION_COLUMNS = [
     c for c in columns("transactions") if c not in ("user_name", "user_email")
 ]
 
+def _newest_reports(tables: Tables) -> DataFrame:
+    """The row of each day that was published last."""
+    values = [c for c in STORED["daily_reports"].types if c != "date"]
+    rows = tables.read_stored("daily_reports", "daily_reports")
+    return latest(rows, ["date"], values, ["batch_id"])
+
+
 READERS: dict[str, Callable[[Tables], DataFrame]] = {
     "transaction_data": lambda tables: tables.live_transactions().select(
         *TRANSACTION_COLUMNS, "processed_at", tables.period_column
@@ -330,7 +447,11 @@ READERS: dict[str, Callable[[Tables], DataFrame]] = {
     "archived_transaction_data": lambda tables: tables.read_stored(
         "archived_transactions", "archive"
     ).drop("batch_id"),
-    "daily_summary": lambda tables: tables.spark.read.schema(STORED["daily_reports"].schema)
-    .parquet(tables.path("daily_reports"))
-    .select(*STORED["daily_reports"].types),
+    "daily_summary": lambda tables: _newest_reports(tables).select(
+        *(c for c in STORED["daily_reports"].types if c != "as_of")
+    ),
+    "alerts": lambda tables: tables.read_stored("alerts", "alerts").drop("batch_id"),
+    "coordinate_rejects": lambda tables: tables.read_stored(
+        "coordinate_rejects", "coordinates"
+    ),
 }

@@ -43,12 +43,28 @@ def test_rows_before_the_cutoff_move(tables):
     assert moved.filter("user_name IS NULL OR user_email IS NULL").count() == 0
 
 
-def test_names_come_from_the_current_users(tables):
+def test_rows_keep_the_names_they_were_logged_with(tables):
     old = "2023-01-01T00:00:00+00:00"
     ingest(tables, {"user_name": "Maiden", "timestamp": old})
     ingest(tables, {"user_name": "Married", "order_id": "o2"})
     archive_transactions(tables, NOW)
-    assert found(tables.read("archived_transaction_data"), "user_name") == [("Married",)]
+    assert found(tables.read("archived_transaction_data"), "user_name") == [("Maiden",)]
+
+
+def test_folders_of_gathered_batches_are_dropped(tables):
+    log = tables.path("transactions_log") + "_folded/generation=*/status=accepted/event_date=*"
+    ingest(tables, {"order_id": "a", "timestamp": "2023-01-01T00:00:00+00:00"})
+    ingest(tables, {"order_id": "b"})
+    tables.fold("transactions_log")
+    archive_transactions(tables, NOW)
+    assert ids(tables, "transaction_data") == ["b"]
+    assert len(files.matches(tables.spark, log)) == 2
+    ingest(tables, {"order_id": "late", "timestamp": "2023-01-01T00:00:00+00:00"})
+    archive_transactions(tables, NOW)
+    assert len(files.matches(tables.spark, log)) == 1
+    tables.fold("transactions_log")
+    assert ids(tables, "transaction_data") == ["b"]
+    assert ids(tables, "archived_transaction_data") == ["a", "late"]
 
 
 def test_late_rows_stay_live_until_the_next_run(tables):

@@ -110,7 +110,7 @@ def test_coordinates_by_header_name(spark, tmp_path):
         "c.csv",
         'zip,state,city,longitude,latitude\n1,TX,"Austin, ""Capital""",-97.75,30.25\n',
     )
-    (row,) = read_coordinates(spark, path).collect()
+    (row,) = usable_coordinates(read_coordinates(spark, path)).collect()
     assert (row["city"], row["state"]) == ('Austin, "Capital"', "TX")
     assert (row["latitude"], row["longitude"]) == (Decimal("30.25"), Decimal("-97.75"))
 

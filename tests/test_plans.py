@@ -6,13 +6,12 @@ from pathlib import Path
 import pytest
 from conftest import NOW
 from pyspark.sql import functions as F
-from samples import events, found, order, raw
+from samples import order, raw
 
 import retailflow
 from retailflow.functions.timing import instant, older_than
 from retailflow.operators import latest, totals
 from retailflow.plans import reports
-from retailflow.plans.archive import archive_transactions, with_user
 from retailflow.streaming import jobs
 
 
@@ -83,55 +82,16 @@ def test_users_today_filters_the_changes(stored):
     assert "GreaterThanOrEqual(last_updated,2024-03-01" in text
 
 
-def test_hot_user_is_split_in_the_archive_join(spark, tables):
-    user = spark.range(3000).selectExpr(
-        "concat('u', id) AS user_id", "'n' AS user_name", "'e' AS user_email"
-    )
-    user.write.parquet(f"{tables.root}/users")
-    rows = spark.range(300_000, numPartitions=8).selectExpr(
-        "uuid() AS order_id",
-        "CASE WHEN id % 3 = 0 THEN 'u1' ELSE concat('u', id % 3000) END AS user_id",
-    )
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "500k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "300k",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        joined = with_user(rows, spark.read.parquet(f"{tables.root}/users"))
-        assert "skew=true" in final_plan(joined)
-        assert joined.count() == 300_000
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
-
-
-def test_archive_keeps_unknown_users(spark):
-    rows = events(spark, {}, {"user_id": "nobody"}).drop("user_name", "user_email")
-    users = spark.createDataFrame(
-        [("u1", "Ann", "a@example.com")], "user_id string, user_name string, user_email string"
-    )
-    assert found(with_user(rows, users), "user_id", "user_name") == [
-        ("nobody", None),
-        ("u1", "Ann"),
-    ]
-
-
-def test_archive_reads_users_from_a_snapshot(tables, spark):
-    jobs.ingest(tables, "transactions", raw(spark, [order()]), lambda: NOW)
-    archive_transactions(tables, NOW)
-    text = plan(with_user(tables.live_transactions().select("user_id"), tables.snapshot("users")))
-    assert "Aggregate" not in text
+def test_archive_moves_rows_without_a_shuffle(stored):
+    old = older_than(stored.live_transactions(), instant(NOW)).drop("batch_id")
+    assert "Exchange" not in plan(old) and "Join" not in plan(old)
 
 
 # Calls that bring rows to the driver, run Python per row, or tie data to one machine.
 FORBIDDEN = {
     "collect", "toPandas", "udf", "pandas_udf", "rdd", "localCheckpoint", "crossJoin",
-    "mapPartitions", "applyInPandas", "mapInPandas", "cache", "persist",
+    "mapPartitions", "applyInPandas", "mapInPandas", "cache", "persist", "isEmpty",
+    "isEmpty",
 }
 # One-row or per-row-iterator uses: the archive's state row, and printing a report.
 ALLOWED = {("__main__.py", "toLocalIterator"), ("tables.py", "first")}

@@ -1,5 +1,6 @@
 """Stored tables: repeatable batches, committed reads, compaction, layout."""
 
+import os
 from dataclasses import replace
 from datetime import datetime
 
@@ -10,7 +11,7 @@ from samples import found, order, raw
 from retailflow import files, schemas
 from retailflow.session import scratch_folder
 from retailflow.streaming import jobs
-from retailflow.tables import CURRENT, READERS, TRANSACTION_COLUMNS, Tables
+from retailflow.tables import CURRENT, FOLDED, READERS, TRANSACTION_COLUMNS, Tables
 
 
 def ingest(tables, *changes, now=NOW):
@@ -89,6 +90,7 @@ def test_empty_batch(tables):
 
 def test_compaction_keeps_the_rows(tables):
     names = ("users", "products", "sales_per_city", "batch_details", "payment_methods")
+    names += ("transaction_data", "rejects")
     for batch in range(6):
         ingest(
             tables,
@@ -100,6 +102,9 @@ def test_compaction_keeps_the_rows(tables):
             for name in CURRENT:
                 tables.compact(name)
                 tables.compact(name)
+            for name in FOLDED:
+                tables.fold(name)
+                tables.fold(name)
             assert {name: found(tables.read(name)) for name in names} == before
     assert found(tables.read("sales_per_city"), "city", "total_quantity") == [
         ("Austin", 21),
@@ -107,8 +112,8 @@ def test_compaction_keeps_the_rows(tables):
     ]
     kept = files.names(tables.spark, tables.path("user_changes"))
     assert sorted(name for name in kept if "=" in name) == [f"batch_id={b}" for b in (4, 5)]
-    kept = files.matches(tables.spark, tables.path("quantity_totals") + "/*/dimension=*")
-    assert len(kept) == 2 * 4
+    kept = files.names(tables.spark, tables.path("quantity_totals"))
+    assert sorted(name for name in kept if "=" in name) == [f"batch_id={b}" for b in (4, 5)]
     assert found(tables.read("batch_details"), "batch_id", "quantity") == [
         (batch, batch + 3) for batch in range(6)
     ]
@@ -163,6 +168,7 @@ def test_longer_periods_read_the_same(spark, tmp_path, period, start):
 
 
 def test_hot_date_is_split_over_files(spark, tables):
+    tables.rebalance = True
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "100k")
     try:
@@ -189,6 +195,69 @@ def test_scratch_folder_follows_the_cluster(spark, tmp_path):
     assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
 
 
+def test_generations_of_many_batches(tables):
+    """3,000 batches are read through as few folders as 30, with the same rows."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    names = list(schemas.STORED["clickstream_log"].types)
+    spark, folder = tables.spark, tables.path("clickstream_log")
+
+    def add(batch):
+        day = f"2024-03-{batch % 3 + 1:02d}"
+        path = f"{folder}/batch_id={batch}/status=accepted/event_date={day}"
+        os.makedirs(path)
+        row = {name: [None] for name in names} | {"event_id": [f"e{batch}"]}
+        table = pa.table({n: pa.array(v, pa.string()) for n, v in row.items() if n == "event_id"})
+        pq.write_table(table, f"{path}/part-0.parquet")
+
+    def listed():
+        found = [f for f in tables.read("clickstream_logs").inputFiles()]
+        return len({f.rpartition("/")[0] for f in found})
+
+    counts = []
+    for last in (29, 2999):
+        for batch in range(tables.committed("clickstream") + 1, last + 1):
+            add(batch)
+        tables.commit("clickstream", last)
+        tables.fold("clickstream_log")
+        add(last + 1)
+        tables.commit("clickstream", last + 1)
+        tables.fold("clickstream_log")  # what the first fold gathered is deleted now
+        assert tables.read("clickstream_logs").select("event_id").distinct().count() == last + 2
+        counts.append(listed())
+        left = [n for n in files.names(spark, folder) if n.startswith("batch_id=")]
+        assert left == [f"batch_id={last + 1}"]
+    assert counts[1] <= counts[0] + 3
+
+
+def test_generations_grow_with_the_logarithm(tables, monkeypatch):
+    """Sizes double, so each row is rewritten a logarithmic number of times."""
+    sizes = []
+    monkeypatch.setattr(Tables, "_write", lambda self, rows, layout, path, rebalance: (
+        os.makedirs(path), sizes.append(path)))
+    monkeypatch.setattr(Tables, "_folded", lambda self, table, pairs: self._recent(table, -1, -1))
+    for last in range(9, 640, 10):
+        tables.commit("clickstream", last)
+        tables.fold("clickstream_log")
+        chain = tables.generations("clickstream_log")
+        assert chain[0][1] == last and chain[-1][0] == 0 and len(chain) <= 7
+    written = [p.rpartition("=")[2].split("-") for p in sizes]
+    assert sum(int(b) - int(a) + 1 for a, b in written) <= 640 * 8
+
+
+def test_a_failed_fold_is_repeated(tables, monkeypatch):
+    ingest(tables, {})
+    before = state(tables)
+    with monkeypatch.context() as patch:
+        patch.setattr(Tables, "commit", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            tables.fold("transactions_log")
+    assert state(tables) == before
+    tables.fold("transactions_log")
+    assert state(tables) == before and tables.generations("transactions_log") == [(0, 0)]
+
+
 def test_markers_are_pruned(tables):
     for batch in range(105):
         tables.commit("s", batch)
