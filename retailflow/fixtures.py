@@ -58,6 +58,18 @@ INVENTORY = {
 }
 
 
+# City of a supplier or customer in the coordinate files; valid in Spark and in DuckDB.
+CITY = {"s": "CASE WHEN s_acctbal < 0 THEN n_name ELSE concat('no ', n_name) END", "c": "n_name"}
+
+
+def latitude(number: str) -> str:
+    """SQL for the text in a coordinate file's latitude, by the row's key."""
+    return (
+        f"CASE {number} % 10 WHEN 7 THEN CAST(NULL AS STRING) WHEN 8 THEN 'north' "
+        f"ELSE concat(CAST({number} % 80 AS STRING), '.5') END"
+    )
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -65,11 +77,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(rows: DataFrame) -> DataFrame:
     """Rows for costly per-row work, such as JSON, on every core.
 
-    One file may be a single row group, which one task scans; a table of many files
-    is spread already and is not shuffled.
+    A test table is one file, which may be a single row group that one task scans.
     """
-    if len(rows.inputFiles()) > 1:
-        return rows
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
@@ -131,18 +140,35 @@ def records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return to_records(events(spark, sf_dir, kind), kind)
 
 
-def land_batches(spark: SparkSession, sf_dir: str, kind: str) -> Iterator[str]:
+DAY = 24 * 60 * 60 * 1000
+NOW = 1_700_000_000_000  # when the newest of the dated files was written
+
+
+def land(rows: DataFrame, name: str) -> str:
+    """Write records where a stream can read them, all at once."""
+    folder = scratch_folder(rows.sparkSession, f"landing-{name}")
+    rows.select("value").write.text(folder)
+    return folder
+
+
+def land_batches(
+    spark: SparkSession, sf_dir: str, kind: str, days_back: int = 0
+) -> Iterator[str]:
     """Write the records once, then make one batch after another appear in a folder.
 
-    Yields the pattern a stream reads, each time after the next batch has landed.
+    Yields the pattern a stream reads, each time after the next batch has landed. Each
+    batch's files are dated ``days_back`` days before those of the batch before it.
     """
     folder = scratch_folder(spark, f"landing-{kind}")
     rows = to_records(events(spark, sf_dir, kind), kind, "batch")
     rows.write.partitionBy("batch").text(f"{folder}/staged")
     files.create_folder(spark, f"{folder}/landed")
     staged = [name for name in files.names(spark, f"{folder}/staged") if "=" in name]
-    for name in sorted(staged, key=lambda name: int(name.partition("=")[2])):
-        files.move(spark, f"{folder}/staged/{name}", f"{folder}/landed/{name.replace('=', '-')}")
+    for number, name in enumerate(sorted(staged, key=lambda name: int(name.partition("=")[2]))):
+        landed = f"{folder}/landed/{name.replace('=', '-')}"
+        for path in files.files_below(spark, f"{folder}/staged/{name}") if days_back else ():
+            files.set_modified(spark, path, NOW - number * days_back * DAY)
+        files.move(spark, f"{folder}/staged/{name}", landed)
         yield f"{folder}/landed/*"
 
 

@@ -32,6 +32,11 @@ INVENTORY += " FROM lineitem"
 QUANTITY = "CAST(sum(quantity) AS BIGINT)"
 
 
+def _at(select: str, name: str = "processed_at") -> str:
+    """The rows with the time at which the registered queries store them."""
+    return f"SELECT *, {DAY} AS {name} FROM ({select})"
+
+
 def _tx(select: str, *more: str) -> str:
     return f"WITH {', '.join([TX, *more])} {select}"
 
@@ -109,8 +114,12 @@ def _rejects() -> str:
     )
 
 
+def _bad() -> str:
+    return _list(str(quantity) for quantity, (_, reason) in fixtures.DEFECTS.items() if reason)
+
+
 def _accepted() -> str:
-    bad = _list(str(quantity) for quantity, (_, reason) in fixtures.DEFECTS.items() if reason)
+    bad = _bad()
     shown = {name: name for name in columns("transactions")}
     shown["price"] = (
         "CAST(CASE WHEN quantity = 14 THEN 123.46 ELSE price END AS DECIMAL(10,2)) AS price"
@@ -123,7 +132,7 @@ def _accepted() -> str:
 
 def _city_rows(key: str, table: str) -> str:
     number = {"s": "s_suppkey", "c": "c_custkey"}[key]
-    return f"""SELECT n_name AS city, r_name AS state, {number} AS line,
+    return f"""SELECT {fixtures.CITY[key]} AS city, r_name AS state, {number} AS line,
   CAST({number} % 80 + 0.5 AS DECIMAL(10,8)) AS latitude,
   CAST(-({number} % 180) - 0.25 AS DECIMAL(11,8)) AS longitude
 FROM {table} JOIN nation ON {key}_nationkey = n_nationkey
@@ -131,13 +140,35 @@ JOIN region ON n_regionkey = r_regionkey"""
 
 
 SUPPLIER_CITIES = f"""supplier_cities AS (
-{_city_rows('s', 'supplier')} WHERE s_acctbal < 0
+{_city_rows('s', 'supplier')} WHERE s_suppkey % 10 NOT IN (7, 8)
 QUALIFY row_number() OVER (PARTITION BY city, state ORDER BY line) = 1)"""
 
 CUSTOMER_CITIES = f"""customer_cities AS (
-{_city_rows('c', 'customer')}
+{_city_rows('c', 'customer')} WHERE c_custkey % 10 NOT IN (7, 8)
 QUALIFY row_number() OVER (PARTITION BY city, state ORDER BY line) = 1)"""
 
+NEW_CITIES = """SELECT city, state, latitude, longitude FROM customer_cities
+WHERE (city, state) NOT IN (SELECT (city, state) FROM supplier_cities)"""
+
+
+def _rejected_cities(key: str, table: str, load: int) -> str:
+    number = {"s": "s_suppkey", "c": "c_custkey"}[key]
+    return f"""SELECT {fixtures.CITY[key]} AS city, r_name AS state,
+  {fixtures.latitude(number)} AS latitude,
+  concat('-', CAST({number} % 180 AS STRING), '.25') AS longitude,
+  CASE {number} % 10 WHEN 7 THEN 'missing:latitude' ELSE 'invalid:latitude' END AS reject_reason,
+  CAST({load} AS BIGINT) AS batch_id
+FROM {table} JOIN nation ON {key}_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey WHERE {number} % 10 IN (7, 8)"""
+
+
+# Records of the topics by what becomes of them.
+TOPIC_COUNTS = f"""SELECT 'transactions' AS kind, count(*) FILTER (good) AS accepted,
+  count(*) FILTER (NOT good) AS rejected
+FROM (SELECT quantity NOT IN ({_bad()}) AS good FROM tx)
+UNION ALL SELECT 'clickstream', count(*), 0 FROM events
+UNION ALL SELECT 'inventory', count(*), 0 FROM lineitem"""
+
 SUMMARY = f"""count(DISTINCT order_id) AS orders, {QUANTITY} AS total_quantity,
   CAST(sum(price * quantity) AS DECIMAL(31,2)) AS total_revenue,
   count(DISTINCT user_id) AS users
@@ -177,8 +208,13 @@ SQL: dict[str, str] = {
     "coordinates_load": f"""WITH {SUPPLIER_CITIES}, {CUSTOMER_CITIES}
 SELECT city, state, latitude, longitude FROM supplier_cities
 UNION ALL
-SELECT city, state, latitude, longitude FROM customer_cities
-WHERE (city, state) NOT IN (SELECT (city, state) FROM supplier_cities)""",
+{NEW_CITIES}""",
+    "coordinates_loaded": f"""WITH {SUPPLIER_CITIES}, {CUSTOMER_CITIES}
+SELECT CAST(0 AS BIGINT) AS load, count(*) AS inserted FROM supplier_cities
+UNION ALL SELECT 1, count(*) FROM ({NEW_CITIES})""",
+    "coordinates_rejected": _rejected_cities("s", "supplier", 0)
+    + " UNION ALL "
+    + _rejected_cities("c", "customer", 1),
     "city_sales_geo": f"""WITH {TX}, {SUPPLIER_CITIES}, sold AS ({_by('city')})
 SELECT sold.city, sold.state, quantity, latitude, longitude
 FROM sold LEFT JOIN supplier_cities
@@ -205,24 +241,50 @@ WHERE timestamp >= {DAY} AND quantity > {LARGE}"""
     "archive_moved": _tx(
         f"SELECT {_list(columns('transactions'))} FROM tx WHERE timestamp < {CUTOFF}"
     ),
-    "archive_live": _tx(
-        f"SELECT {_list(TRANSACTION_COLUMNS)} FROM tx WHERE timestamp >= {CUTOFF}"
+    **dict.fromkeys(
+        ("archive_live", "archive_live_compacted"),
+        _tx(f"SELECT {_list(TRANSACTION_COLUMNS)} FROM tx WHERE timestamp >= {CUTOFF}"),
     ),
-    "category_batch_log": _tx(_batches("category")),
-    "payment_batch_log": _tx(_batches("payment")),
-    "shipping_batch_log": _tx(_batches("shipping")),
+    "category_batch_log": _tx(_at(_batches("category"))),
+    "category_batch_log_compacted": _tx(_at(_batches("category"))),
+    "payment_batch_log": _tx(_at(_batches("payment"))),
+    "shipping_batch_log": _tx(_at(_batches("shipping"))),
     "category_running_log": _running("category"),
     "city_running_log": _running("city"),
     "payment_running": _tx(_by("payment")),
     "shipping_running": _tx(_by("shipping")),
     "city_sales_stream": _tx(_by("city", "total_quantity")),
     "users_stream": _latest(
-        "user_id", ["user_name", "user_email"], ["line_no", "timestamp", "order_id"]
+        "user_id",
+        ["user_name", "user_email"],
+        ["line_no", "timestamp", "order_id"],
+        f", {DAY} AS last_updated",
     ),
     "products_stream": _latest(
-        "product_id", ["category", "price"], ["line_no", "timestamp", "order_id"]
+        "product_id",
+        ["category", "price"],
+        ["line_no", "timestamp", "order_id"],
+        f", {DAY} AS last_updated",
+    ),
+    "transaction_log_old_files": _tx(f"SELECT {_list(TRANSACTION_COLUMNS)} FROM tx"),
+    **dict.fromkeys(
+        ("transaction_log", "transaction_log_compacted"),
+        _tx(f"SELECT {_list(TRANSACTION_COLUMNS)}, {DAY} AS processed_at FROM tx"),
+    ),
+    **dict.fromkeys(("click_log", "click_log_compacted"), _at(CLICKS)),
+    **dict.fromkeys(("inventory_log", "inventory_log_compacted"), _at(INVENTORY)),
+    "daily_summary_stored": _tx(f"SELECT CAST({DAY} AS DATE) AS date, {SUMMARY}"),
+    # The clock of the stored tables stands at the day of the reports, so every user is active.
+    "activity_update_stored": _tx(
+        f"""SELECT 'Hourly Activity Update' AS subject,
+concat('New total orders today: ', ({ORDERS}), ' <br> New user registrations today: ',
+(SELECT count(DISTINCT user_id) FROM tx)) AS body"""
+    ),
+    "large_order_check_stored": _alert(LARGE, LINES_PER_MESSAGE),
+    "payment_methods_stored": _tx(_at("SELECT DISTINCT payment_method FROM tx", "last_updated")),
+    "shipping_methods_stored": _tx(_at("SELECT DISTINCT shipping_method FROM tx", "last_updated")),
+    "all_topics_counts": _tx(
+        "SELECT counted, kind, accepted, rejected "
+        f"FROM ({TOPIC_COUNTS}), (VALUES ('metrics'), ('log')) AS c(counted)"
     ),
-    "transaction_log": _tx(f"SELECT {_list(TRANSACTION_COLUMNS)} FROM tx"),
-    "click_log": CLICKS,
-    "inventory_log": INVENTORY,
 }

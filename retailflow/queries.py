@@ -11,11 +11,11 @@ from retailflow import fixtures
 from retailflow.functions.parsing import accepted, parse_events, rejected
 from retailflow.operators import latest, totals
 from retailflow.plans import archive, reports, scheduled
-from retailflow.schemas import columns
+from retailflow.schemas import EVENTS, columns
 from retailflow.session import configure, scratch_folder
 from retailflow.sources.events import read_files
 from retailflow.streaming import jobs
-from retailflow.tables import TRANSACTION_COLUMNS, Tables
+from retailflow.tables import FOLDED, RUNNING, TRANSACTION_COLUMNS, Tables
 
 AS_OF = datetime(2001, 7, 1)
 LARGE = 45
@@ -109,22 +109,22 @@ def _clock() -> datetime:
 
 
 def _coordinates(spark: SparkSession, sf: str, name: str) -> str:
-    """A CSV with a city row per supplier in debt, or per customer, in key order."""
-    table, key, where = {
-        "supplier": ("supplier", "s", "s_acctbal < 0"),
-        "customer": ("customer", "c", "true"),
-    }[name]
+    """A CSV with a city row per supplier or customer, in key order.
+
+    Suppliers without debt get a city nobody lives in, so some cities have no coordinates;
+    of ten rows, one has no latitude and one no number there.
+    """
+    key = name[0]
     number = {"s": "s_suppkey", "c": "c_custkey"}[key]
     rows = (
-        fixtures.table(spark, sf, table)
-        .filter(where)
+        fixtures.table(spark, sf, name)
         .join(fixtures.table(spark, sf, "nation"), F.expr(f"{key}_nationkey = n_nationkey"))
         .join(fixtures.table(spark, sf, "region"), F.expr("n_regionkey = r_regionkey"))
         .orderBy(number)
         .selectExpr(
-            "n_name AS city",
+            f"{fixtures.CITY[key]} AS city",
             "r_name AS state",
-            f"concat(CAST({number} % 80 AS STRING), '.5') AS latitude",
+            f"{fixtures.latitude(number)} AS latitude",
             f"concat('-', CAST({number} % 180 AS STRING), '.25') AS longitude",
         )
     )
@@ -133,11 +133,24 @@ def _coordinates(spark: SparkSession, sf: str, name: str) -> str:
     return path
 
 
-def _coordinates_load(spark: SparkSession, sf: str) -> DataFrame:
+def _loaded(spark: SparkSession, sf: str) -> tuple[Tables, list[int]]:
     tables = _tables(spark)
-    scheduled.load_coordinates(tables, _coordinates(spark, sf, "supplier"))
-    scheduled.load_coordinates(tables, _coordinates(spark, sf, "customer"))
-    return tables.read("us_coordinates")
+    files = [_coordinates(spark, sf, name) for name in ("supplier", "customer")]
+    return tables, [scheduled.load_coordinates(tables, path) for path in files]
+
+
+def _coordinates_load(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded(spark, sf)[0].read("us_coordinates")
+
+
+def _coordinates_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The number of cities that each load says it inserted."""
+    counts = list(enumerate(_loaded(spark, sf)[1]))
+    return spark.createDataFrame(counts, "load long, inserted long")
+
+
+def _coordinates_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded(spark, sf)[0].read("coordinate_rejects")
 
 
 def _city_sales_geo(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,10 +167,12 @@ def _rejects_log(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read("rejects").select("value", "reject_reason")
 
 
-def _archived(spark: SparkSession, sf: str) -> Tables:
+def _archived(spark: SparkSession, sf: str, folded: bool = False) -> Tables:
     tables = _tables(spark)
     raw = fixtures.records(spark, sf, "transactions")
     jobs.ingest(tables, "transactions", raw, _clock)
+    if folded:
+        tables.fold("transactions_log")
     archive.archive_transactions(tables, AS_OF)
     return tables
 
@@ -167,8 +182,8 @@ def _archive_moved(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*columns("transactions"))
 
 
-def _archive_live(spark: SparkSession, sf: str) -> DataFrame:
-    return _archived(spark, sf).read("transaction_data").select(*TRANSACTION_COLUMNS)
+def _archive_live(spark: SparkSession, sf: str, folded: bool = False) -> DataFrame:
+    return _archived(spark, sf, folded).read("transaction_data").select(*TRANSACTION_COLUMNS)
 
 
 # -- streams
@@ -185,29 +200,95 @@ def _from_stream(kind: str, name: str, *names: str) -> Query:
     return lambda spark, sf: _streamed(spark, sf, kind).read(name).select(*names)
 
 
-def _run_totals(spark: SparkSession, sf: str, dimension: str) -> Tables:
+def _folded(kind: str, name: str, *names: str) -> Query:
+    """A log whose batches were gathered twice while they came, and has some ungathered."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        tables = _tables(spark)
+        for number, pattern in enumerate(fixtures.land_batches(spark, sf, kind)):
+            jobs.wait([jobs.start_events(tables, kind, lambda s: read_files(s, pattern), _clock)])
+            for table in FOLDED if number in (0, 2, 4) else ():
+                tables.fold(table)
+        return tables.read(name).select(*names)
+
+    return query
+
+
+def _old_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches whose files are each more than a week older than those before."""
     tables = _tables(spark)
-    for pattern in fixtures.land_batches(spark, sf, "transactions"):
-        started = jobs.start_running_totals(
-            tables, dimension, lambda s: read_files(s, pattern), _clock
+    for pattern in fixtures.land_batches(spark, sf, "transactions", days_back=8):
+        source = lambda s: read_files(s, pattern)
+        jobs.wait([jobs.start_events(tables, "transactions", source, _clock)])
+    return tables.read("transaction_data").select(*TRANSACTION_COLUMNS)
+
+
+def _all_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """The three topics drained side by side: what their metrics and their logs count."""
+    tables = _tables(spark)
+    landed = {
+        kind: fixtures.land(
+            fixtures.dirty_records(spark, sf)
+            if kind == "transactions"
+            else fixtures.records(spark, sf, kind),
+            kind,
         )
-        jobs.wait([started])
+        for kind in EVENTS
+    }
+
+    def source(folder: str) -> jobs.Source:
+        return lambda s: read_files(s, folder)
+
+    started = jobs.start_all(tables, {k: source(f) for k, f in landed.items()}, clock=_clock)
+    jobs.wait(started)
+    counts = []
+    for query in started:
+        seen = [p.observedMetrics[f"{query.name}_quality"] for p in query.recentProgress]
+        counts.append(
+            ("metrics", query.name, sum(m["accepted"] for m in seen), sum(m["rejected"] for m in seen))
+        )
+    metrics = spark.createDataFrame(counts, "counted string, kind string, accepted long, rejected long")
+    logs = [
+        tables.read_stored(f"{kind}_log", kind).agg(
+            F.count_if(F.col("status") == "accepted").alias("accepted"),
+            F.count_if(F.col("status") == "rejected").alias("rejected"),
+        ).select(F.lit("log").alias("counted"), F.lit(kind).alias("kind"), "accepted", "rejected")
+        for kind in EVENTS
+    ]
+    return metrics.unionByName(logs[0]).unionByName(logs[1]).unionByName(logs[2])
+
+
+def _large_order_check(spark: SparkSession, sf: str) -> DataFrame:
+    tables = _streamed(spark, sf, "transactions")
+    return scheduled.large_order_check(tables, AS_OF, scratch_folder(spark, "alert"), LARGE)
+
+
+def _run_totals(spark: SparkSession, sf: str) -> Tables:
+    tables = _tables(spark)
+    for pattern in fixtures.land_batches(spark, sf, "transactions"):
+        jobs.wait([jobs.start_running_totals(tables, lambda s: read_files(s, pattern), _clock)])
     return tables
 
 
 def _running_log(dimension: str) -> Query:
     """Every total the stateful stream emitted, with the batch that changed it."""
-    stream = f"running_{dimension}"
-    return lambda spark, sf: _run_totals(spark, sf, dimension).read_stored(stream, stream).select(
-        "batch_id", *totals.DIMENSIONS[dimension], "quantity"
+    return lambda spark, sf: (
+        _run_totals(spark, sf)
+        .read_stored(RUNNING, RUNNING)
+        .filter(F.col("dimension") == dimension)
+        .select("batch_id", *totals.DIMENSIONS[dimension], "quantity")
     )
 
 
 def _running(dimension: str) -> Query:
-    """The newest total of each key."""
-    return lambda spark, sf: _run_totals(spark, sf, dimension).running(dimension).select(
-        *totals.DIMENSIONS[dimension], "quantity"
-    )
+    """The newest total of each key, after a compaction."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        tables = _run_totals(spark, sf)
+        tables.compact(RUNNING)
+        return tables.running(dimension).select(*totals.DIMENSIONS[dimension], "quantity")
+
+    return query
 
 
 QUERIES: dict[str, Query] = {
@@ -238,8 +319,11 @@ QUERIES: dict[str, Query] = {
     # C3
     "payment_methods": _methods("payment_method"),
     "shipping_methods": _methods("shipping_method"),
-    # S4, S6, P13, K4, C9
+    # S4, S6, P13, K4
     "coordinates_load": _coordinates_load,
+    # C9
+    "coordinates_loaded": _coordinates_loaded,
+    "coordinates_rejected": _coordinates_rejected,
     # C4
     "city_sales_geo": _city_sales_geo,
     # R1, F1, A5-A7, P10, P11
@@ -262,15 +346,17 @@ QUERIES: dict[str, Query] = {
     # R7, F4, P12, W6, C5
     "archive_moved": _archive_moved,
     "archive_live": _archive_live,
-    # T1, T3, T4, T6, W1, P8, P9, C1, C2, C7
+    "archive_live_compacted": lambda spark, sf: _archive_live(spark, sf, folded=True),
+    # T1, T3, T4, T6, W1, P8, P9, C1, C2
     "category_batch_log": _from_stream(
-        "transactions", "batch_details", "batch_id", "category", "quantity"
+        "transactions", "batch_details", "batch_id", "category", "quantity", "processed_at"
     ),
     "payment_batch_log": _from_stream(
-        "transactions", "sales_by_payment", "batch_id", "payment_method", "quantity"
+        "transactions", "sales_by_payment", "batch_id", "payment_method", "quantity", "processed_at"
     ),
     "shipping_batch_log": _from_stream(
-        "transactions", "sales_by_shipping", "batch_id", "shipping_method", "quantity"
+        "transactions", "sales_by_shipping", "batch_id", "shipping_method", "quantity",
+        "processed_at",
     ),
     # T2, T5, W1
     "category_running_log": _running_log("category"),
@@ -282,12 +368,50 @@ QUERIES: dict[str, Query] = {
         "transactions", "sales_per_city", "city", "state", "total_quantity"
     ),
     # K1, K2 over batches
-    "users_stream": _from_stream("transactions", "users", *latest.USER),
-    "products_stream": _from_stream("transactions", "products", *latest.PRODUCT),
-    # W2-W4, T7, S5
-    "transaction_log": _from_stream("transactions", "transaction_data", *TRANSACTION_COLUMNS),
-    "click_log": _from_stream("clickstream", "clickstream_logs", *columns("clickstream")),
-    "inventory_log": _from_stream("inventory", "inventory_updates", *columns("inventory")),
+    "users_stream": _from_stream("transactions", "users", *latest.USER, "last_updated"),
+    "products_stream": _from_stream(
+        "transactions", "products", *latest.PRODUCT, "last_updated"
+    ),
+    # W2-W4, S5, P8
+    "transaction_log": _from_stream(
+        "transactions", "transaction_data", *TRANSACTION_COLUMNS, "processed_at"
+    ),
+    "click_log": _from_stream(
+        "clickstream", "clickstream_logs", *columns("clickstream"), "processed_at"
+    ),
+    "inventory_log": _from_stream(
+        "inventory", "inventory_updates", *columns("inventory"), "processed_at"
+    ),
+    # S1-S3: files dated back; logs gathered while they grow
+    "transaction_log_old_files": _old_files,
+    "transaction_log_compacted": _folded(
+        "transactions", "transaction_data", *TRANSACTION_COLUMNS, "processed_at"
+    ),
+    "click_log_compacted": _folded(
+        "clickstream", "clickstream_logs", *columns("clickstream"), "processed_at"
+    ),
+    "inventory_log_compacted": _folded(
+        "inventory", "inventory_updates", *columns("inventory"), "processed_at"
+    ),
+    "category_batch_log_compacted": _folded(
+        "transactions", "batch_details", "batch_id", "category", "quantity", "processed_at"
+    ),
+    # R1-R6, C3 over stored tables
+    "daily_summary_stored": lambda spark, sf: reports.daily_summary(
+        _streamed(spark, sf, "transactions").read("transaction_data"), AS_OF
+    ),
+    "activity_update_stored": lambda spark, sf: scheduled.activity_update(
+        _streamed(spark, sf, "transactions"), AS_OF
+    ),
+    "large_order_check_stored": _large_order_check,
+    "payment_methods_stored": _from_stream(
+        "transactions", "payment_methods", "payment_method", "last_updated"
+    ),
+    "shipping_methods_stored": _from_stream(
+        "transactions", "shipping_methods", "shipping_method", "last_updated"
+    ),
+    # T7, C7, C8
+    "all_topics_counts": _all_topics,
 }
 
 

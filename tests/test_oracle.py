@@ -20,11 +20,10 @@ def database():
 @pytest.fixture(scope="module", autouse=True)
 def one_drain_per_topic():
     """Queries that read what one and the same stream leaves behind share its run here."""
-    alone = queries._streamed
-    shared = functools.cache(alone)
-    queries._streamed = lambda spark, sf, kind: shared(spark, sf, kind)
+    alone = queries._streamed, queries._run_totals
+    queries._streamed, queries._run_totals = map(functools.cache, alone)
     yield
-    queries._streamed = alone
+    queries._streamed, queries._run_totals = alone
 
 
 def test_every_query_has_sql():
