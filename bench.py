@@ -2,7 +2,8 @@
 
 Batch queries: one warm-up, then the median of three runs into the noop sink.
 Streams: one warm-up, then the time to drain the landed batches (landing itself is not
-timed), and records per second.
+timed), and records per second. Jobs over stored tables (gathering the batches of the
+drained streams, compaction, the archive move) are timed without filling the tables.
 """
 
 from __future__ import annotations
@@ -17,9 +18,13 @@ import pyspark
 from pyspark.sql import DataFrame, SparkSession
 
 from retailflow import fixtures, queries
+from retailflow.functions.parsing import accepted, parse_events
+from retailflow.plans.archive import archive_transactions
+from retailflow.schemas import EVENTS
 from retailflow.session import configure
 from retailflow.sources.events import read_files
 from retailflow.streaming import jobs
+from retailflow.tables import CURRENT, RUNNING, Tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -31,6 +36,7 @@ BATCH = [
     "parse_clickstream",
     "parse_inventory",
     "rejects",
+    "rejects_log",
     "category_quantity",
     "city_quantity",
     "payment_quantity",
@@ -62,7 +68,7 @@ def seconds(action) -> float:
     return time.monotonic() - start
 
 
-def drain(spark: SparkSession, kind: str, start) -> dict:
+def drain(spark: SparkSession, kind: str, start) -> tuple[dict, Tables]:
     """Drain a topic's batches one by one with ``start(tables, source)``."""
     tables = queries._tables(spark)
     taken, records, batches, state = 0.0, 0, 0, 0
@@ -81,7 +87,38 @@ def drain(spark: SparkSession, kind: str, start) -> dict:
         "records_per_sec": round(records / taken),
         "batches": batches,
         "peak_state_rows": state,
+    }, tables
+
+
+def median_of(action) -> float:
+    return round(statistics.median([seconds(action) for _ in range(ROUNDS + 1)][1:]), 3)
+
+
+def jobs_over_tables(spark: SparkSession, drained: dict[str, Tables]) -> dict[str, float]:
+    """Gathering, compaction and the archive, each once over filled tables."""
+    logs = {kind: drained[kind] for kind in EVENTS}
+    times = {
+        f"fold_{kind}": seconds(lambda: tables.fold(f"{kind}_log")) for kind, tables in logs.items()
     }
+    orders = drained["transactions"]
+    times["fold_quantity_totals"] = seconds(lambda: orders.fold("quantity_totals"))
+    times["compact_current"] = seconds(
+        lambda: [orders.compact(name) for name in CURRENT if name != RUNNING]
+    )
+    times["compact_running"] = seconds(lambda: drained[RUNNING].compact(RUNNING))
+    times["archive"] = seconds(lambda: archive_transactions(orders, queries.AS_OF))
+    return {name: round(value, 3) for name, value in times.items()}
+
+
+def parsing(spark: SparkSession) -> dict[str, float]:
+    """Reading and parsing records that have landed, without making them."""
+    times = {}
+    for kind in EVENTS:
+        folder = fixtures.land(fixtures.records(spark, SF_DIR, kind), kind)
+        times[f"parse_landed_{kind}"] = median_of(
+            lambda: run(accepted(parse_events(read_files(spark, folder, stream=False), kind)))
+        )
+    return times
 
 
 def main() -> None:
@@ -98,21 +135,22 @@ def main() -> None:
     times = {}
     for name in BATCH:
         query = queries.run(name)
-        runs = [seconds(lambda: run(query(spark, SF_DIR))) for _ in range(ROUNDS + 1)]
-        times[name] = round(statistics.median(runs[1:]), 3)
+        times[name] = median_of(lambda: run(query(spark, SF_DIR)))
+    times.update(parsing(spark))
     starts = {
         kind: (kind, lambda tables, source, kind=kind: jobs.start_events(tables, kind, source))
         for kind in ("transactions", "clickstream", "inventory")
     }
-    starts["running_category"] = (
+    starts[RUNNING] = (
         "transactions",
-        lambda tables, source: jobs.start_running_totals(tables, "category", source),
+        lambda tables, source: jobs.start_running_totals(tables, source),
     )
-    streams = {}
+    streams, drained = {}, {}
     for name, (kind, start) in starts.items():
         drain(spark, kind, start)
-        streams[name] = drain(spark, kind, start)
+        streams[name], drained[name] = drain(spark, kind, start)
     times.update({f"stream_{name}": figures["seconds"] for name, figures in streams.items()})
+    times.update(jobs_over_tables(spark, drained))
     commit = subprocess.run(
         ["git", "rev-parse", "--short", "HEAD"], capture_output=True, text=True, check=False
     ).stdout.strip()
