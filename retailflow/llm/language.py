@@ -299,6 +299,8 @@ def train(
             total[row["at"]] = row["n"]
         expected = total.reshape(len(languages), size)[:, :-1].T + SMOOTH
         probability = expected / expected.sum(axis=0)
+        # A word's start by itself tells no language, so strange letters after it tell none.
+        probability[pieces.index(START)] = probability[pieces.index(START)].mean()
     return {"pieces": pieces, "languages": languages, "probability": probability}
 
 
@@ -360,8 +362,16 @@ def train_on_documents(docs: DataFrame, **options) -> dict:
     return train(docs.filter(~held_out(F.col("doc_id"))), **options)
 
 
-def keep_identified(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language the model knows, by a posterior of ``least``."""
+#: How much more than an even chance the predicted language of a kept text must have.
+BETTER = 1.1
+
+
+def keep_identified(docs: DataFrame, model: dict, better: float = BETTER) -> DataFrame:
+    """The rows of ``docs`` with a language: not ``und``, and likelier than by chance alone.
+
+    Texts all of whose letters are outside the vocabulary are as likely in every language.
+    """
+    least = min(1.0, better / max(1, len(model["languages"])))
     found = predicted(F.col("text"), model)
     return (
         docs.select(F.struct("*").alias("doc"), found.alias("found"))

@@ -99,7 +99,19 @@ def test_messy_rows(messy, messy_rows):
     assert sum(r["lang_pred"] == "und" for r in found) == blank
     assert {r["lang_pred"] for r in found} <= {"en", "de", "und"}
     kept = language.keep_identified(messy, trained)
-    assert kept.columns == messy.columns and kept.count() == len(messy_rows) - blank
+    clear = sum(r["score"] >= 0.55 for r in found)
+    assert kept.columns == messy.columns and kept.count() == clear <= len(messy_rows) - blank
+
+
+def test_letters_of_no_language_are_rejected(spark):
+    docs = spark.createDataFrame(
+        [(1, "the cat sat on the mat", "en"), (2, "der Hund und die Katze", "de"),
+         (3, "ⰀⰁⰂ ⰃⰄ ⰅⰆⰇ", None), (4, "the cat", None), (5, "12 !", None)],
+        "doc_id long, text string, lang string",
+    )
+    trained = language.train(docs)
+    kept = language.keep_identified(docs, trained).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 2, 4]
 
 
 def test_empty_table(nothing, messy):
