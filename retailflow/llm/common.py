@@ -17,7 +17,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written to the shared folder and read back.
 
-    Cuts the lineage at files that outlive any executor, and freezes what depends on the
+    A join of two stored tables, or of one with rows as they are shuffled, is one whose hot
+    keys Spark splits; beside an aggregation of its own input it keeps a key in one task. Cuts the lineage at files that outlive any executor, and freezes what depends on the
     order of rows in a task, such as row numbers. The caller's session deletes nothing:
     the returned frame is lazy and reads these files when it runs.
     """

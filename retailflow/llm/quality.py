@@ -150,13 +150,14 @@ def assess(
     gives an empty result.
     """
     scanned = _scan(docs, host, window)
+    boilerplate = stored(_boilerplate(scanned, share, least), "quality-boilerplate")
     lines = scanned.select("row", "host", F.posexplode("lines").alias("at", "l")).select(
         "row", "host", "at", "l.line", "l.words"
     )
     removed = (
         lines.alias("l")
         .join(
-            _boilerplate(scanned, share, least).alias("b"),
+            boilerplate.alias("b"),
             F.expr("l.line = b.line AND l.host <=> b.host"),
         )
         .groupBy("l.row")

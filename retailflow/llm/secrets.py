@@ -134,7 +134,7 @@ def find_secrets(
     """
     scanned = _scan(docs, owner, repository)
     candidates = stored(_candidates(scanned), "secret-candidates")
-    judged = candidates.join(_ownership(candidates), "hash")
+    judged = candidates.join(stored(_ownership(candidates), "secret-owners"), "hash")
     added = [list(KINDS).index(kind) for kind in ADDED]
     kept = judged.filter(~F.col("kind").isin(added) | (F.col("owners") == 1))
     span = F.struct("start", "kind", "end", "owners", "repositories")

@@ -45,6 +45,7 @@ def interleave(
     sizes = ranked.groupBy(F.col("source").alias("of")).agg(
         F.min("n").alias("first"), F.count(F.lit(1)).alias("rows")
     )
+    sizes = stored(sizes, "shard-sizes")
     places = ranked.join(sizes, F.col("source").eqNullSafe(F.col("of"))).select(
         "source",
         "doc_id",

@@ -158,6 +158,7 @@ def components(edges: DataFrame) -> DataFrame:
     aggregations and two joins over at most as many edges as before, written to the shared
     folder; the driver sees two numbers a round.
     """
+
     def state(rows):
         found = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")))
         return tuple(found.collect()[0])
@@ -176,14 +177,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+    least = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "star-centres")
     return both.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """From edges with a < b or a = b to edges (least, other)."""
     edges = edges.filter("a < b").distinct()
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+    least = stored(edges.groupBy("b").agg(F.min("a").alias("m")), "star-centres")
     joined = edges.join(least, "b")
     moved = joined.filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.union(least.select(F.col("m").alias("a"), "b")).distinct()
@@ -201,7 +202,9 @@ def classes(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
+    rooted = stored(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = stored(least, "simhash-components")
     return rooted.join(least, "root").select("fp", "component_id", "root")
 
 
