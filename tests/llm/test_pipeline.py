@@ -1,11 +1,7 @@
 """The pipeline against the brute-force versions of its stages, one after the other."""
 
-import test_decontamination
-import test_line_dedup
-import test_packing
-import test_simhash
-
 import corpus_pipeline
+from llm import test_decontamination, test_line_dedup, test_packing, test_simhash
 from retailflow.llm import line_dedup
 
 
