@@ -244,10 +244,11 @@ def _all_topics(spark: SparkSession, sf: str) -> DataFrame:
     counts = []
     for query in started:
         seen = [p.observedMetrics[f"{query.name}_quality"] for p in query.recentProgress]
-        counts.append(
-            ("metrics", query.name, sum(m["accepted"] for m in seen), sum(m["rejected"] for m in seen))
-        )
-    metrics = spark.createDataFrame(counts, "counted string, kind string, accepted long, rejected long")
+        accepted_rows = sum(m["accepted"] for m in seen)
+        counts.append(("metrics", query.name, accepted_rows, sum(m["rejected"] for m in seen)))
+    metrics = spark.createDataFrame(
+        counts, "counted string, kind string, accepted long, rejected long"
+    )
     logs = [
         tables.read_stored(f"{kind}_log", kind).agg(
             F.count_if(F.col("status") == "accepted").alias("accepted"),

@@ -87,7 +87,7 @@ def ingest(tables: Tables, kind: str, raw: DataFrame, clock: Clock = utc_now) ->
     numbered like this would be taken for a repetition and skipped.
     """
     if files.exists(tables.spark, tables.checkpoint(kind)):
-        raise RuntimeError(f"a stream writes to the {kind} tables; ingest would hide its next batch")
+        raise RuntimeError(f"a stream writes the {kind} tables; ingest would hide its next batch")
     batch_id = tables.committed(kind) + 1
     handle_batch(tables, kind, clock)(parse_events(raw, kind), batch_id)
     return batch_id
