@@ -18,7 +18,9 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written to the shared folder and read back.
 
     A join of two stored tables, or of one with rows as they are shuffled, is one whose hot
-    keys Spark splits; beside an aggregation of its own input it keeps a key in one task. Cuts the lineage at files that outlive any executor, and freezes what depends on the
+    keys Spark splits; beside an aggregation of its own input it keeps a key in one task.
+
+    Cuts the lineage at files that outlive any executor, and freezes what depends on the
     order of rows in a task, such as row numbers. The caller's session deletes nothing:
     the returned frame is lazy and reads these files when it runs.
     """
@@ -27,6 +29,19 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """``rows`` as a reliable checkpoint, for copies of whole documents.
+
+    As lasting as :func:`stored`, but Spark deletes it when no result refers to it any more
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``), so the stages of a pipeline do not
+    pile up copies of the corpus.
+    """
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_folder(rows.sparkSession, "checkpoints"))
+    return rows.checkpoint()
+
+
 def row_number() -> Column:
     """A number for each row that is its own until the rows are computed again: store them."""
     return F.monotonically_increasing_id()

@@ -20,14 +20,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from retailflow.llm.common import row_number, stored
+from retailflow.llm.common import checkpointed, row_number, stored
 
 #: Words of a seed and of the shortest tile; share of an item's words that condemns a document.
 MATCH, COVERAGE = 5, 0.6
 #: Bits of the Bloom filter: 2 MB, whatever the benchmark's size.
 BLOOM_BITS = 24
 #: Words whose hashes a worker keeps, and characters it works on at a time.
-CACHE, SLICE = 1_000_000, 1 << 20
+CACHE, SLICE = 300_000, 1 << 20
 
 _FACTOR = 0x9E3779B97F4A7C15
 #: Stands between stretches of a document; equal to no word's hash.
@@ -186,8 +186,8 @@ def _items(benchmark: DataFrame, match: int, bits: int) -> tuple[DataFrame, Data
 
 
 def _stretches(rows: DataFrame, bloom: bytes, match: int, bits: int) -> DataFrame:
-    """``row``, ``n_words``, and of the words around passing seeds the hashes (``words``, a gap
-    between stretches), their places in the text and the seeds."""
+    """``row``, ``doc_id``, ``n_words``, and of the words around passing seeds the hashes
+    (``words``, a gap between stretches), their places in the text and the seeds."""
 
     def read(batches):
         import numpy as np
@@ -215,7 +215,7 @@ def _stretches(rows: DataFrame, bloom: bytes, match: int, bits: int) -> DataFram
 
         for batch in batches:
             counts, words, places, seeds = [], [], [], []
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(2)):
                 sizes = np.array([len(found) for found in part], dtype=np.int64)
                 every = np.fromiter(
                     (hashes[w] for found in part for w in found), np.uint64, sizes.sum()
@@ -243,16 +243,18 @@ def _stretches(rows: DataFrame, bloom: bytes, match: int, bits: int) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(counts, pa.int64()),
                     pa.array(words, pa.list_(pa.int64())),
                     pa.array(places, pa.list_(pa.int64())),
                     pa.array(seeds, pa.list_(pa.int64())),
                 ],
-                names=["row", "n_words", "words", "places", "seeds"],
+                names=["row", "doc_id", "n_words", "words", "places", "seeds"],
             )
 
-    types = "row long, n_words long, words array<long>, places array<long>, seeds array<long>"
-    return rows.select("row", "text").mapInArrow(read, types)
+    lists = ", ".join(f"{c} array<long>" for c in ("words", "places", "seeds"))
+    types = f"row long, doc_id long, n_words long, {lists}"
+    return rows.select("row", "doc_id", "text").mapInArrow(read, types)
 
 
 def _tiled(words: pa.Array, places: pa.Array, item: pa.Array, match: pa.Array) -> pa.Array:
@@ -319,21 +321,18 @@ def contamination(
     each. Further columns are ignored. Without documents the result is empty; without items
     nothing is contaminated.
     """
-    rows = stored(
-        docs.select(
-            row_number().alias("row"),
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("text").cast("string").alias("text"),
-        ),
-        "decontamination-documents",
+    rows = docs.select(
+        row_number().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
     )
+    # The rows are numbered in the one scan that writes the stretches.
     stretches, tiled = _verdicts(rows, benchmark, match, coverage, bits)
     best = F.struct((-F.col("coverage")).alias("c"), "item_id", "spans")
     span = F.transform("best.spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
     worst = tiled.groupBy("row").agg(F.count(F.lit(1)).alias("n_items"), F.min(best).alias("best"))
     return (
-        rows.select("row", "doc_id")
-        .join(stretches.select("row", "n_words"), "row")
+        stretches.select("row", "doc_id", "n_words")
         .join(worst, "row", "left")
         .select(
             "doc_id",
@@ -355,10 +354,11 @@ def drop_contaminated(
     bits: int = BLOOM_BITS,
 ) -> DataFrame:
     """The rows of ``docs`` that cover no test item enough, with all their columns."""
-    rows = stored(
-        docs.select(row_number().alias("row"), F.struct("*").alias("doc")),
-        "decontamination-documents",
+    rows = checkpointed(docs.select(row_number().alias("row"), F.struct("*").alias("doc")))
+    texts = rows.select(
+        "row",
+        F.col("doc.doc_id").cast("long").alias("doc_id"),
+        F.col("doc.text").cast("string").alias("text"),
     )
-    texts = rows.select("row", F.col("doc.text").cast("string").alias("text"))
     _, tiled = _verdicts(texts, benchmark, match, coverage, bits)
     return rows.join(tiled.select("row").distinct(), "row", "left_anti").select("doc.*")

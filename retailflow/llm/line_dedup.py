@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from retailflow.llm.common import row_number, stored
+from retailflow.llm.common import checkpointed, row_number, stored
 
 MIN_WORDS = 50
 
@@ -33,23 +33,28 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
 
 
-def _line_rows(rows: DataFrame) -> DataFrame:
-    """``row``, ``line`` (place among all lines), ``at`` (place among lines with a word), the
-    line's id and its number of words."""
-    trimmed = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
-    line = F.regexp_replace("value", trimmed, "")
-    return (
-        rows.select("row", F.posexplode(_lines(F.col("doc.text"))).alias("line", "value"))
-        .select("row", "line", line.alias("value"))
-        .filter("value <> ''")
-        .select(
-            "row",
-            "line",
-            F.xxhash64("value").alias("id"),
-            F.size(F.split("value", r"[\x20\x09-\x0D]+")).alias("words"),
-        )
-        .withColumn("at", F.row_number().over(Window.partitionBy("row").orderBy("line")) - 1)
+def _lined(row: Column, doc_id: Column, text: Column) -> list[Column]:
+    """``row``, ``doc_id`` and ``lines``: of each line with a word its place among all lines,
+    its id and its number of words."""
+    outer = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+    trimmed = F.transform(
+        _lines(text),
+        lambda x, k: F.struct(k.alias("line"), F.regexp_replace(x, outer, "").alias("value")),
     )
+    lines = F.transform(
+        F.filter(trimmed, lambda x: x["value"] != ""),
+        lambda x: F.struct(
+            x["line"].alias("line"),
+            F.xxhash64(x["value"]).alias("id"),
+            F.size(F.split(x["value"], r"[\x20\x09-\x0D]+")).alias("words"),
+        ),
+    )
+    return [row.alias("row"), doc_id.cast("long").alias("doc_id"), lines.alias("lines")]
+
+
+def _line_rows(lined: DataFrame) -> DataFrame:
+    """A row for each line with a word; ``at`` is its place among these."""
+    return lined.select("row", F.posexplode("lines").alias("at", "l")).select("row", "at", "l.*")
 
 
 def _ranked(pairs: DataFrame, name: str) -> DataFrame:
@@ -104,7 +109,9 @@ def _shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
         .select("row", "at", (F.col("other") - F.col("at") + 1).alias("w"))
     )
     begins = totals.select("row", "at", F.col("before").alias("key"), F.lit(0).alias("mark"))
-    stops = totals.select("row", "at", (F.col("upto") - min_words).alias("key"), F.lit(1).alias("mark"))
+    stops = totals.select(
+        "row", "at", (F.col("upto") - min_words).alias("key"), F.lit(1).alias("mark")
+    )
     backward = (
         begins.union(stops)
         .withColumn("other", F.max(F.when(F.col("mark") == 0, F.col("at"))).over(behind))
@@ -114,10 +121,11 @@ def _shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
     return forward.union(backward).distinct()
 
 
-def repeated_runs(rows: DataFrame, lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(lined: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``row``, ``at``, ``w`` of the shortest repeated runs, ``first`` (doc_id, row and place of
     the original: the least doc_id, nulls last, then the first row), and ``copy``, whether the
     run is a later copy."""
+    lines = _line_rows(lined)
     runs = stored(_shortest_runs(lines, min_words), "shortest-runs")
     found = None
     for power, ranks in suffix_ranks(lines, min_words).items():
@@ -132,13 +140,16 @@ def repeated_runs(rows: DataFrame, lines: DataFrame, min_words: int = MIN_WORDS)
         found = named if found is None else found.union(named)
     # The order of a struct puts nulls first, so the test comes before the number.
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "at").alias("place")
-    ids = rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"))
+    ids = lined.select("row", "doc_id")
     found = stored(found.join(ids, "row").select("w", "r1", "r2", place), "run-names")
     firsts = (
         found.groupBy("w", "r1", "r2")
         .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
     )
+    # Stored, so that the join is on rows as they come: Spark splits a run with many copies,
+    # which it cannot where the join shares the aggregation's partitions.
+    firsts = stored(firsts, "run-firsts")
     return found.join(firsts, ["w", "r1", "r2"]).select(
         "place.row",
         "place.at",
@@ -148,19 +159,14 @@ def repeated_runs(rows: DataFrame, lines: DataFrame, min_words: int = MIN_WORDS)
     )
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows = stored(docs.select(row_number().alias("row"), F.struct("*").alias("doc")), "line-documents")
-    return rows, stored(_line_rows(rows), "line-rows")
-
-
-def _deleted(rows: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
+def _deleted(lined: DataFrame, min_words: int) -> DataFrame:
     """``row`` and ``lines``: the places, among all lines, of the lines to delete."""
-    copies = repeated_runs(rows, lines, min_words).filter("copy")
+    copies = repeated_runs(lined, min_words).filter("copy")
     covered = copies.select(
         "row", F.explode(F.expr("sequence(at, at + w - 1)")).alias("at")
     ).distinct()
     return (
-        covered.join(lines.select("row", "at", "line", "words"), ["row", "at"])
+        covered.join(_line_rows(lined).select("row", "at", "line", "words"), ["row", "at"])
         .groupBy("row")
         .agg(F.sort_array(F.collect_list("line")).alias("lines"), F.sum("words").alias("words"))
     )
@@ -175,8 +181,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     its words is left out; a row that had none, null texts included, is kept as it is, and so
     are null and repeated doc_ids. Further columns are kept, whatever their names.
     """
-    rows, lines = _numbered(docs)
-    cut = _deleted(rows, lines, min_words).select("row", F.col("lines").alias("cut"))
+    rows = checkpointed(docs.select(row_number().alias("row"), F.struct("*").alias("doc")))
+    columns = _lined(F.col("row"), F.col("doc.doc_id"), F.col("doc.text"))
+    lined = stored(rows.select(*columns), "lines")
+    cut = _deleted(lined, min_words).select("row", F.col("lines").alias("cut"))
     # Whether each line stays, built from the gaps between deleted ones: linear in the lines.
     before = F.slice(F.concat(F.array(F.lit(-1)), "cut"), 1, F.size("cut"))
     flags = F.flatten(
@@ -208,18 +216,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """A row for each of ``docs``: ``doc_id``, ``n_lines`` with a word, ``n_deleted`` and
     ``words_deleted`` in later copies, and ``deleted``, their places among all lines."""
-    rows, lines = _numbered(docs)
-    counts = lines.groupBy("row").agg(F.count(F.lit(1)).alias("n_lines"))
-    cut = _deleted(rows, lines, min_words)
+    columns = _lined(row_number(), F.col("doc_id"), F.col("text"))
+    lined = stored(docs.select(*columns), "lines")
+    cut = _deleted(lined, min_words).withColumnRenamed("lines", "cut")
     return (
-        rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"))
-        .join(counts, "row", "left")
+        lined.select("row", "doc_id", F.size("lines").cast("long").alias("n_lines"))
         .join(cut, "row", "left")
         .select(
             "doc_id",
-            F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_deleted"),
+            "n_lines",
+            F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias("n_deleted"),
             F.coalesce("words", F.lit(0)).cast("long").alias("words_deleted"),
-            F.coalesce(F.concat_ws(",", F.transform("lines", lambda x: x.cast("string"))), F.lit("")).alias("deleted"),
+            F.concat_ws(",", F.transform("cut", lambda x: x.cast("string"))).alias("deleted"),
         )
     )

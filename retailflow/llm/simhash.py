@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from retailflow.llm.common import row_number, stored
+from retailflow.llm.common import checkpointed, row_number, stored
 
 SHINGLE, DISTANCE = 3, 2
 BITS = 64
@@ -178,7 +178,8 @@ def components(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
     least = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "star-centres")
-    return both.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+    joined = both.filter("v > u").join(least, "u")
+    return joined.select(F.col("m").alias("a"), F.col("v").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -233,16 +234,15 @@ def drop_near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
     """``docs`` with one row of each component: the least doc_id, nulls last, then the first row."""
-    rows = stored(
+    rows = checkpointed(
         docs.select(
             row_number().alias("row"),
-            F.col("doc_id").cast("long").alias("doc_id"),
             F.struct("*").alias("doc"),
             fingerprint(F.col("text"), shingle).alias("fp"),
-        ),
-        "simhash-documents",
+        )
     )
-    prints = rows.select("row", "doc_id", "fp")
+    doc_id = F.col("doc.doc_id").cast("long").alias("doc_id")
+    prints = stored(rows.select("row", doc_id, "fp"), "simhash-rows")
     rooted = classes(prints, distance).select("fp", "root")
     # The order of a struct puts nulls first, so the test comes before the number.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")

@@ -88,7 +88,8 @@ def test_ranks_are_in_suffix_order(spark):
     rng = random.Random(2)
     texts = ["\n".join(rng.choices("abc", k=rng.randrange(1, 12))) for _ in range(20)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    _, lines = line_dedup._numbered(docs)
+    columns = line_dedup._lined(F.col("doc_id"), F.col("doc_id"), F.col("text"))
+    lines = line_dedup._line_rows(docs.select(*columns))
     ids = {}
     for r in lines.collect():
         ids.setdefault(r["row"], {})[r["at"]] = r["id"]
