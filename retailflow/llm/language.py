@@ -32,7 +32,9 @@ STRANGE = 1e-7
 #: Longer words are summed in logarithms, one by one.
 LONG = 24
 #: Words whose scores a worker keeps, and characters it scores at a time.
-CACHE, SLICE = 400_000, 1 << 20
+CACHE, SLICE = 250_000, 1 << 20
+#: Words whose segmentations are in memory at a time when scoring.
+LATTICE = 4000
 START = "▁"
 
 
@@ -176,8 +178,8 @@ class Scorer:
         short = [w for w in words if len(w) <= LONG]
         long = [w for w in words if len(w) > LONG]
         rows = [self.known]
-        for k in range(0, len(short), 20_000):
-            part = short[k : k + 20_000]
+        for k in range(0, len(short), LATTICE):
+            part = short[k : k + LATTICE]
             made = self.lattice(part)
             rows.append(np.log(made.forward(self.probability)[made.last]))
         rows += [_long_word(self.automaton, self.strange, w, self.logs)[None] for w in long]
@@ -217,7 +219,8 @@ def _slices(texts: pa.Array) -> Iterator[list[str]]:
 
 
 def _sampled(labelled: DataFrame, sample: int | None) -> tuple[DataFrame, list[str]]:
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["lang"]: r["n"] for r in sizes.collect()}
     if sample and counts:
         share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, sample / n)])
         place = (F.xxhash64("doc_id", "text") / F.lit(2.0**64)) + 0.5
@@ -240,7 +243,9 @@ def train(
 
     pieces = read_pieces(vocabulary_path or common.vocabulary("piece_bpe_32k.model"))
     rows = labelled.select(
-        "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
+        "doc_id",
+        F.col("text").cast("string").alias("text"),
+        F.col("lang").cast("string").alias("lang"),
     ).filter("text IS NOT NULL AND lang IS NOT NULL")
     rows, languages = _sampled(rows, sample)
     size = len(pieces) + 1
@@ -292,7 +297,8 @@ def train(
                 [pa.array(at), pa.array(total[at])], names=["at", "n"]
             )
 
-        sums = words.mapInArrow(expect, "at long, n double").groupBy("at").agg(F.sum("n").alias("n"))
+        sums = words.mapInArrow(expect, "at long, n double")
+        sums = sums.groupBy("at").agg(F.sum("n").alias("n"))
         # At most one row per language and piece: the vocabulary bounds it.
         total = np.zeros(len(languages) * size)
         for row in sums.collect():

@@ -68,6 +68,9 @@ _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 
+_PLACES = "array<struct<at:int,label:string>>"
+
+
 def _words(text: Column) -> Column:
     """The words as they stand; those of ASCII letters are to be compared without case."""
     return F.array_remove(F.split(text, _BETWEEN, -1), "")
@@ -143,7 +146,7 @@ def _scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> Da
             row_number().alias("row"),
             "doc_id",
             "n_words",
-            F.coalesce(places, F.array().cast("array<struct<at:int,label:string>>")).alias("places"),
+            F.coalesce(places, F.array().cast(_PLACES)).alias("places"),
             blocks.alias("blocks"),
         ),
         "license-scan",
@@ -198,8 +201,9 @@ def _meeting(
         )
         .withColumn("b", F.size("set"))
     )
+    prefix_of_block = F.slice("set", 1, F.col("b") - least + 1)
     prefixed = sized.select(
-        "row", "block", "set", "b", F.posexplode(F.slice("set", 1, F.col("b") - least + 1)).alias("j", "rank")
+        "row", "block", "set", "b", F.posexplode(prefix_of_block).alias("j", "rank")
     )
     candidates = (
         prefixed.join(F.broadcast(prefix), "rank")

@@ -191,7 +191,8 @@ class Packer:
             doc_id, ids, done, _, _ = row
             length = min(len(ids) - done, size - offset)
             piece = ids[done : done + length]
-            yield doc_id, done, length, len(ids), self.sequence, offset, piece.astype("<u4").tobytes()
+            data = piece.astype("<u4").tobytes()
+            yield doc_id, done, length, len(ids), self.sequence, offset, data
             offset += length
             row[2] += length
             used += row[2] == len(ids)

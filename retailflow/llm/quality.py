@@ -90,7 +90,9 @@ def _scan(docs: DataFrame, host: str, window: int) -> DataFrame:
         "with_word",
         lambda x: F.struct(
             F.xxhash64(
-                F.array_remove(F.split(F.regexp_replace(F.lower(x), "[0-9]", "0"), _SPACE, -1), "")
+                F.array_remove(
+                    F.split(F.regexp_replace(F.lower(x), "[0-9]", "0"), _SPACE, -1), ""
+                )
             ).alias("line"),
             F.size(F.array_remove(F.split(x, _SPACE, -1), "")).alias("words"),
         ),

@@ -142,7 +142,8 @@ def find_secrets(
     spans = F.coalesce("spans", F.array().cast(f"array<{_SPAN}>"))
 
     def count(number: int, kind: str) -> Column:
-        return F.size(F.filter("spans", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+        own = F.filter("spans", lambda s: s["kind"] == number)
+        return F.size(own).cast("long").alias(f"n_{kind}")
 
     counts = [count(number, kind) for number, kind in enumerate(KINDS)]
     live = F.size(F.filter("spans", lambda s: s["owners"] < wide)).cast("long")

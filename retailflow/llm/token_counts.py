@@ -128,7 +128,8 @@ def token_counts(
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = WordCounts(common.tokenizer(path))
         for texts in batches:
-            yield pa.array([count(t.as_py() or "", words, chunk, overlap) for t in texts], pa.int64())
+            counts = [count(t.as_py() or "", words, chunk, overlap) for t in texts]
+            yield pa.array(counts, pa.int64())
 
     text = F.col("text").cast("string")
     return docs.select(
