@@ -15,7 +15,6 @@ the tiling holds the passing stretches of one document and one item.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
