@@ -2,8 +2,10 @@
 
 A line's key is the hash of its words in lower case with digits as 0. On every host, the
 distinct documents that hold a line are counted, equal texts being one document. A line in more
-than ``SHARE`` of a host's documents, and in more than ``LEAST`` of them, is boilerplate there.
-It is removed, and a document with less than ``LEFT`` of its words left is depleted and rejected.
+than ``LEAST`` of a host's documents is boilerplate there, whatever the host's size. A host of up
+to ``LEAST`` documents cannot reach that: its boilerplate is a line in more than ``SMALL_SHARE``
+of them, and in ``SMALL_LEAST`` or more. Boilerplate is removed, and a document with less than
+``LEFT`` of its words left is depleted and rejected.
 
 One scan takes every document's numbers and its different lines' hashes; texts are not read or
 moved again. The counts combine in the tasks before the shuffle, so a line in a third of all
@@ -16,7 +18,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retailflow.llm.common import row_number, stored
 
+#: ``SHARE`` is for callers who also want a share of the host, such as the SQL check: up to 200
+#: documents of a host it changes nothing, as ``LEAST`` is the higher bound there.
 SHARE, LEAST, LEFT = 0.1, 20, 0.5
+#: Hosts of up to ``LEAST`` documents: share and least number of them that hold a boilerplate line.
+SMALL_SHARE, SMALL_LEAST = 0.5, 3
 #: Base rules: least words; words of a window; percent of words in repeated windows.
 FEW_WORDS, WINDOW, REPEATED = 20, 8, 30
 
@@ -126,11 +132,21 @@ def _boilerplate(scanned: DataFrame, share: float, least: int) -> DataFrame:
     texts = scanned.groupBy("host", "content").agg(F.first("lines").alias("lines"))
     sizes = texts.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     held = texts.select("host", F.explode(F.array_distinct("lines.line")).alias("line"))
-    often = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
+    often = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    n, documents = F.col("n"), F.col("documents")
+    many = n > least
+    if share:
+        many &= n > share * documents
+    else:  # only small hosts' sizes are needed
+        sizes = sizes.filter(documents <= least)
+    small = (documents <= least) & (n >= SMALL_LEAST) & (n > SMALL_SHARE * documents)
+    # Stored, so that the join splits a hot host's lines.
+    sizes = stored(sizes, "quality-hosts")
     return (
-        often.alias("a")
-        .join(sizes.alias("b"), F.expr("a.host <=> b.host"))
-        .filter(F.col("n") > share * F.col("documents"))
+        often.filter(n > min(least, SMALL_LEAST - 1))
+        .alias("a")
+        .join(sizes.alias("b"), F.expr("a.host <=> b.host"), "left")
+        .filter(many | small)
         .select("a.host", "line")
     )
 
@@ -138,14 +154,15 @@ def _boilerplate(scanned: DataFrame, share: float, least: int) -> DataFrame:
 def assess(
     docs: DataFrame,
     host: str = "source",
-    share: float = SHARE,
+    share: float = 0.0,
     least: int = LEAST,
     left: float = LEFT,
     window: int = WINDOW,
 ) -> DataFrame:
     """A row for each of ``docs``: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``,
     ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``, ``words_removed`` and
-    ``lines_removed`` (the places of boilerplate lines among the lines with a word).
+    ``lines_removed`` (the places of boilerplate lines among the lines with a word). With a
+    ``share``, a line in more than ``least`` documents must also be in that share of the host's.
 
     Null texts are empty and fail the base rules; null hosts are one host. Repeated rows are
     judged alike, null doc_ids keep their rows, further columns are ignored, and an empty table

@@ -75,6 +75,36 @@ def test_boilerplate(spark):
     assert set(range(60)) <= kept and not kept & set(range(100, 105))
 
 
+def removed(spark, data):
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    return {r["doc_id"]: r["words_removed"] for r in quality.assess(docs).collect()}
+
+
+def own_words(k):
+    return " ".join(f"own{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}" for j in range(25))
+
+
+def test_line_in_few_percent_of_a_large_host(spark):
+    line = "Read more about this site here"
+    data = [(k, (f"{line}\n" if k < 30 else "") + own_words(k), "large") for k in range(400)]
+    data += [(400 + k, "Seen in twenty\n" + own_words(400 + k), "large") for k in range(20)]
+    assert removed(spark, data) == {k: 6 if k < 30 else 0 for k in range(420)}
+
+
+def test_small_hosts(spark):
+    line = "Home contact about"
+    data, wanted = [], {}
+    for size in (2, 3, 4, 20):
+        for holding in {2, size // 2, size // 2 + 1, size}:
+            for k in range(size):
+                i, host = len(data), f"{size} {holding}"
+                data.append((i, (f"{line} {k % 10}\n" if k < holding else "") + own_words(i), host))
+                wanted[i] = 4 if k < holding and holding >= 3 and 2 * holding > size else 0
+    assert {0, 4} == set(wanted.values())
+    data += [(len(data) + k, f"{line}\n" + own_words(0), "copies") for k in range(15)]
+    assert removed(spark, data) == wanted | {k: 0 for k in range(len(wanted), len(data))}
+
+
 def test_repeated_windows(spark):
     import random
 
