@@ -1,8 +1,11 @@
 """License scans by exact set-similarity join (operator 8).
 
-A text block is a line. A block meets a template if it holds the share ``CONTAINMENT`` of the
-template's different words. Words are put in the order of how many blocks hold them in the whole
-corpus, rarest first. With a template of t words and need = ceil(share * t):
+A text block is a line, and also each run of lines that a template goes on through: among the
+``EDGE`` words on either side of a line's end stand two that the template has in this order, as
+far apart as in the text or up to ``LEFT_OUT`` words more. So hard-wrapped notices are whole
+blocks, also with a comment mark or a changed word at the break. A block meets a template if it
+holds the share ``CONTAINMENT`` of the template's different words. Words are put in the order of
+how many blocks hold them in the whole corpus, rarest first. With a template of t words and need = ceil(share * t):
 
 * length filter: a block with fewer than ``need`` template words cannot meet it;
 * prefix filter: the rarest t - need + 1 words of the template and the rarest b - need + 1 of the
@@ -24,6 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from retailflow.llm.common import row_number, stored
 
 CONTAINMENT = 0.8
+#: Words on either side of a line's end that are looked at; words left out between two of them.
+EDGE, LEFT_OUT = 2, 2
 
 # The phrases of the base scan with their labels.
 PHRASES = {
@@ -112,13 +117,72 @@ def _template_rows(templates: dict[str, list[str]]) -> list[tuple[int, str, list
     return [(k, label, sorted(set(text.split()))) for k, (label, text) in enumerate(flat)]
 
 
-def _scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> DataFrame:
+def _need(words: list, share: float) -> int:
+    """How many of a template's different words meet it."""
+    return math.ceil(share * len(words) - 1e-9)
+
+
+def _pairs(templates: list[str]) -> list[str]:
+    """Words a and b by which a template goes on if i words stand between a and the line's end
+    and j before b on the next line: ``i j a b``.
+
+    A word before b may be a comment's mark; one after a stands for a word of the template.
+    """
+    pairs = set()
+    for text in templates:
+        words = text.split()
+        for k, a in enumerate(words):
+            for i in range(EDGE):
+                for j in range(EDGE):
+                    after = words[k + i + 1 : k + i + j + 2 + LEFT_OUT]
+                    pairs |= {f"{i} {j} {a} {b}" for b in after}
+    return sorted(pairs)
+
+
+def _runs(lines: Column, pairs: list[str]) -> Column:
+    """The words of each run of two ``lines`` or more that a template goes on through."""
+    known = F.split(F.lit("\n".join(pairs)), "\n")
+
+    def goes_on(k: Column) -> Column:
+        """Whether line ``k`` continues the line before it."""
+        before, line = F.get(lines, k - 1), F.get(lines, k)
+        beside = F.array(
+            *[
+                F.concat_ws(
+                    " ",
+                    F.lit(f"{i} {j}"),
+                    F.get(before, F.size(before) - 1 - i),
+                    F.get(line, F.lit(j)),
+                )
+                for i in range(EDGE)
+                for j in range(EDGE)
+            ]
+        )
+        return F.coalesce(F.arrays_overlap(beside, known), F.lit(False))
+
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size(lines) - 1), lambda k: (k == 0) | ~goes_on(k)
+    )
+    ends = F.concat(F.slice(starts, 2, F.size(lines)), F.array(F.size(lines)))
+    several = F.filter(
+        F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda x: x["end"] - x["start"] > 1
+    )
+    return F.transform(
+        several, lambda x: F.flatten(F.slice(lines, x["start"] + 1, x["end"] - x["start"]))
+    )
+
+
+def _scan(
+    docs: DataFrame, phrases: dict[str, str], templates: dict[str, list[str]], share: float
+) -> DataFrame:
     """One row for each document: its number of words, the places of phrases, and for each of
-    its blocks the template words in it (as places in ``vocabulary``)."""
+    its blocks the template words in it, lines before runs of lines."""
+    texts = [text for label in templates.values() for text in label]
+    sets = [words for *_, words in _template_rows(templates)]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     anywhere = "(?i)" + "|".join(f"(?:{_phrase_pattern(p)})" for p in phrases)
     places = F.when(F.col("words").isNotNull(), _places(F.col("words"), phrases))
-    known = F.array(*[F.lit(w) for w in vocabulary])
+    known = F.array(*[F.lit(w) for w in sorted({w for words in sets for w in words})])
     blocks = F.filter(
         F.transform(
             F.split(F.lower("text"), "\n", -1),
@@ -126,6 +190,19 @@ def _scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> Da
         ),
         lambda words: F.size(words) > 0,
     )
+    # A text with too few words of every template has no run that meets one.
+    enough = F.lit(False)
+    for words in sets:
+        wanted = F.array(*[F.lit(w) for w in words])
+        enough |= F.size(F.array_intersect(F.flatten("blocks"), wanted)) >= _need(words, share)
+    lines = F.transform(
+        F.split(F.lower("text"), "\n", -1),
+        lambda line: F.array_remove(F.split(line, _BETWEEN, -1), ""),
+    )
+    runs = F.when(
+        F.col("lines").isNotNull(),
+        F.transform(_runs(F.col("lines"), _pairs(texts)), lambda x: F.array_intersect(x, known)),
+    )
     split = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")
     ).select("doc_id", "text", F.inline(F.array(F.struct(_words(F.col("text")).alias("words")))))
@@ -136,10 +213,17 @@ def _scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> Da
         F.inline(
             F.array(
                 F.struct(
-                    F.when(F.col("text").rlike(anywhere), _lower(F.col("words"))).alias("words")
+                    F.when(F.col("text").rlike(anywhere), _lower(F.col("words"))).alias("words"),
+                    blocks.alias("blocks"),
                 )
             )
         ),
+    ).select(
+        "doc_id",
+        "n_words",
+        "words",
+        "blocks",
+        F.inline(F.array(F.struct(F.when(enough, lines).alias("lines")))),
     )
     return stored(
         lowered.select(
@@ -147,7 +231,9 @@ def _scan(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str]) -> Da
             "doc_id",
             "n_words",
             F.coalesce(places, F.array().cast(_PLACES)).alias("places"),
-            blocks.alias("blocks"),
+            F.concat("blocks", F.coalesce(runs, F.array().cast("array<array<string>>"))).alias(
+                "blocks"
+            ),
         ),
         "license-scan",
     )
@@ -178,7 +264,7 @@ def _meeting(
     prefixes = []
     for key, label, words in templates:
         ranks = sorted(order[w] for w in words)
-        need = math.ceil(share * len(ranks) - 1e-9)
+        need = _need(ranks, share)
         prefixes += [
             (key, label, rank, place, len(ranks), need)
             for place, rank in enumerate(ranks[: len(ranks) - need + 1])
@@ -229,14 +315,16 @@ def scan_licenses(
     ``first_word`` and ``last_word`` (the least and greatest word they start at; null without),
     ``base_labels``, ``labels`` (with those of the templates met; both different, sorted,
     comma-joined), ``score`` (the greatest containment met, 1 for a phrase, else 0) and
-    ``blocks`` (the numbers, among lines with a template word, of the blocks that meet one).
+    ``blocks`` (the numbers of the blocks that meet one; the lines with a template word come
+    first, then the runs of lines that a template goes on through).
 
     Null and empty texts have no words and no labels. Null and repeated doc_ids are rows of
     their own, further columns are ignored, and an empty table gives an empty result.
     """
     phrases = PHRASES if phrases is None else phrases
-    rows = _template_rows(TEMPLATES if templates is None else templates)
-    scanned = _scan(docs, phrases, sorted({w for _, _, words in rows for w in words}))
+    templates = TEMPLATES if templates is None else templates
+    rows = _template_rows(templates)
+    scanned = _scan(docs, phrases, templates, share)
     blocks = scanned.select("row", F.posexplode("blocks").alias("block", "words"))
     met = (
         _meeting(blocks, rows, share)

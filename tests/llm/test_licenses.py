@@ -1,6 +1,7 @@
 """License scans against words counted one by one."""
 
 import re
+import textwrap
 
 from retailflow.llm import licenses
 
@@ -63,6 +64,37 @@ def test_blocks_near_the_threshold(spark):
         assert found == sorted(str(brute(i, t, share)) for i, t in data)
 
 
+def test_wrapped_notices(spark):
+    templates = [(k, t) for k, label in licenses.TEMPLATES.items() for t in label]
+    notices = [
+        ("bsd", "Redistribution and use in source and binary forms, with or without\n"
+         "modification, are permitted provided that the following conditions are met:"),
+        ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+         "of this software and associated documentation files (the \"Software\"), to deal"),
+        ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public\n"
+         "License, v. 2.0. If a copy of the MPL was not distributed with this"),
+    ]
+    for width in (20, 40, 72):
+        for prefix in ("", " * ", "# ", "dnl "):
+            notices += [
+                (k, prefix + f"\n{prefix}".join(textwrap.wrap(f"{t}.", width, break_long_words=False)))
+                for k, t in templates
+            ]
+    # A changed word beside the break.
+    notices.append(("bsd", notices[0][1].replace("without", "lacking")))
+    notices.append(("mit", notices[1][1].replace("of this", "of that")))
+    data = [(i, f"some words\n\n{t}\n\nmore words") for i, (_, t) in enumerate(notices)]
+    # Two halves that no template runs through, and a paragraph's end between two halves.
+    halves = notices[0][1].split("\n")
+    data += [(-1, "\n".join(halves[::-1])), (-2, "\n\n".join(halves))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    missed = [t for i, (k, t) in enumerate(notices) if k not in found[i]["labels"].split(",")]
+    assert missed == []
+    assert (found[0]["labels"], found[0]["score"], found[0]["n_base"]) == ("bsd", 1.0, 0)
+    assert found[-1]["labels"] == found[-2]["labels"] == ""
+
+
 def test_query(spark, small_documents):
     import __spark_entry__
 
