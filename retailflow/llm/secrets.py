@@ -3,7 +3,7 @@
 The candidates of a text are found by fixed patterns. Each value's hash is counted over the whole
 corpus by different repositories and owners: a value that ``WIDE`` owners or more hold is a widely
 copied example, one that fewer hold is owner-specific and looks live. Long tokens of mixed
-characters are candidates too, and become secrets only if a single owner holds them.
+characters are candidates too, and become secrets only if fewer than ``WIDE`` owners hold them.
 
 One scan writes, for the texts with a candidate, the lengths between matches and the values'
 hashes; places are running sums of these lengths. The counts combine in the tasks before the
@@ -33,7 +33,7 @@ KINDS = {
     "hex": (r"[0-9a-f]{24,}", 0, 24, ()),
     "mixed": (r"[A-Za-z0-9+/_-]{32,}", 0, 32, ("[0-9]", "[a-z]", "[A-Z]")),
 }
-#: Kinds that are secrets only if a single owner holds them; the others are the base.
+#: Kinds that are secrets only if fewer than ``WIDE`` owners hold them; the others are the base.
 ADDED = ("mixed",)
 
 # A text without any of these holds no candidate.
@@ -136,7 +136,7 @@ def find_secrets(
     candidates = stored(_candidates(scanned), "secret-candidates")
     judged = candidates.join(stored(_ownership(candidates), "secret-owners"), "hash")
     added = [list(KINDS).index(kind) for kind in ADDED]
-    kept = judged.filter(~F.col("kind").isin(added) | (F.col("owners") == 1))
+    kept = judged.filter(~F.col("kind").isin(added) | (F.col("owners") < wide))
     span = F.struct("start", "kind", "end", "owners", "repositories")
     by_row = kept.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("spans"))
     spans = F.coalesce("spans", F.array().cast(f"array<{_SPAN}>"))

@@ -72,6 +72,18 @@ def test_widely_copied_values(spark):
     assert spans == ((4, 12), (1, 1))
 
 
+def test_mixed_token_of_two_owners(spark):
+    tokens = [f"Ab{k}" * 12 for k in range(1, 5)]
+    data = [
+        (owner, f"see {token}", f"o{owner}")
+        for k, token in enumerate(tokens, 1)
+        for owner in range(k)
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    found = [s["owners"] for r in secrets.find_secrets(docs).collect() for s in r["spans"]]
+    assert sorted(found) == [1, 2, 2]
+
+
 def test_query(spark, small_documents):
     rows = [(d["doc_id"], d["text"], d["source"]) for d in small_documents]
     assert query(spark, "/root/testdata/sf0.001") == brute(rows)
