@@ -30,6 +30,9 @@ CAPACITY = 2048
 END_ID = 1
 SENTENCE, BREAK, STRIDE = 8, 64, 256
 BLOCK = 1 << 18
+#: A run of this many white-space characters sends its text to the tokenizer library: the
+#: faster one backtracks over such a run, a step of its stack for each character.
+SPACES = 1 << 12
 #: The pre-tokenizer for which PATTERN stands.
 BYTE_LEVEL = {
     "type": "ByteLevel",
@@ -66,14 +69,21 @@ def encoder(path: str):
 
     The tokenizer library makes some 2 MB a second of these texts. Where the k-th merge makes
     the id 256 + k, merging by rank gives the same ids, and tiktoken does so six times as fast
-    over the same file's vocabulary; other vocabularies go to the tokenizer library.
+    over the same file's vocabulary; other vocabularies, and texts with a run of ``SPACES``
+    white-space characters or more, go to the tokenizer library.
     """
     import json
+    import re
 
     import numpy as np
 
     with open(path, encoding="utf-8") as file:
         made = json.load(file)
+    library = common.tokenizer(path)
+
+    def by_library(text):
+        return np.array(library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
     vocabulary, merges = made["model"]["vocab"], made["model"].get("merges", [])
     pairs = ("".join(m.split(" ")) if isinstance(m, str) else "".join(m) for m in merges)
     plain = made["pre_tokenizer"] == BYTE_LEVEL and made["normalizer"] is None
@@ -90,11 +100,15 @@ def encoder(path: str):
         fast = tiktoken.Encoding(
             path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
-        return lambda text: fast.encode_to_numpy(text, allowed_special="all")
-    library = common.tokenizer(path)
-    return lambda text: np.array(
-        library.encode(text, add_special_tokens=False).ids, dtype=np.uint32
-    )
+        long_run = re.compile(rf"(?<!\s)\s{{{SPACES}}}").search
+
+        def ranked(text):
+            if long_run(text):
+                return by_library(text)
+            return fast.encode_to_numpy(text, allowed_special="all")
+
+        return ranked
+    return by_library
 
 
 @functools.cache

@@ -37,6 +37,13 @@ def test_ids_are_the_librarys(spark):
     assert wrong == []
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\t", " \t\n "])
+def test_long_white_space(run):
+    encode = packing.encoder(PATH)
+    for text in ("a" + run * (2_000_000 // len(run)) + "b", run * 5000 + "x" + run * 3000):
+        assert encode(text).tolist() == plain(text)[:-1]
+
+
 def least(places, penalties, capacity):
     at, best = [0, *places], [0]
     for j in range(1, len(at)):
@@ -84,7 +91,7 @@ def checked(rows, texts, capacity):
 
 @pytest.mark.parametrize("capacity", [64, 2048])
 def test_round_trip(spark, monkeypatch, capacity):
-    texts = dict(enumerate([*ODD, None, "word " * 9000, "x" * 30_000, "One two. Three! Four?\n" * 50]))
+    texts = dict(enumerate([*ODD, None, "word " * 9000, "x" * 30_000, "a" + " " * 1_000_000 + "b", "One two. Three! Four?\n" * 50]))
     docs = spark.createDataFrame(
         [(k, v, 7, "s") for k, v in texts.items()], "doc_id long, text string, ids int, start string"
     )
