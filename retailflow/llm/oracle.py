@@ -1,12 +1,13 @@
 """DuckDB SQL for the queries that SQL can express.
 
 Training (6), SimHash components (5), tokenizers (1, 4), tiling (2), the union of repeated runs
-(3) and a seeded 64-bit hash order (7) are not among them; tests compare these by brute force.
+(3), a seeded 64-bit hash order (7), rounds of clustering (11) and of pattern scores (13) are not
+among them; tests compare these by brute force.
 """
 
 from __future__ import annotations
 
-from retailflow.llm import licenses, quality, secrets
+from retailflow.llm import fill_in_middle, licenses, quality, secrets
 
 _ROWS = """
 docs AS (
@@ -179,8 +180,48 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN joined USING (r)"""
 
 
+def _fill_in_middle() -> str:
+    changed = "form <> 'plain'"
+    return rf"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '{fill_in_middle.UNIT}') AS units,
+        sha256('{fill_in_middle.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+    FROM documents
+),
+hashed AS (
+    SELECT *, len(units) AS n, CAST('0x' || substr(digest, 1, 8) AS BIGINT) AS h1,
+        CAST('0x' || substr(digest, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(digest, 17, 8) AS BIGINT) AS h3,
+        CAST('0x' || substr(digest, 25, 8) AS BIGINT) AS h4
+    FROM drawn
+),
+formed AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+            OR contains(text, '<M>') OR h3 % 100 >= {fill_in_middle.RATE} THEN 'plain'
+        WHEN h4 % 100 < {fill_in_middle.SPM} THEN 'spm' ELSE 'psm' END AS form
+    FROM hashed
+),
+parts AS (
+    SELECT doc_id, text, n, form, array_to_string(list_slice(units, 1, a), '') AS prefix,
+        array_to_string(list_slice(units, a + 1, b), '') AS middle,
+        array_to_string(list_slice(units, b + 1, n), '') AS suffix
+    FROM formed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CASE WHEN {changed} THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+    CASE WHEN {changed} THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts"""
+
+
 SQL: dict[str, str] = {
     "op8_licenses": _licenses(),
     "op9_quality": _quality(),
     "op10_secrets": _secrets(),
+    "op12_fill_in_middle": _fill_in_middle(),
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retailflow.llm import (
+    clustering,
     decontamination,
+    fill_in_middle,
     language,
     licenses,
     line_dedup,
@@ -88,6 +90,33 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clustering.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    numbers = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(numbers, 256).alias("centroid_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(documents(spark, sf_dir))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -99,4 +128,6 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_clustering": op11_clustering,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
