@@ -47,6 +47,43 @@ def row_number() -> Column:
     return F.monotonically_increasing_id()
 
 
+def bloom_filter(keys: DataFrame, bits: int) -> bytes:
+    """A Bloom filter of 2 ** ``bits`` bits over the one column of ``keys``, 64-bit hashes.
+
+    Gathered on the executors; the driver and whoever it is broadcast to hold 2 ** bits bits,
+    whatever the number of keys. :func:`bloom_hits` asks it.
+    """
+    import numpy as np
+
+    (name,) = keys.columns
+    key = F.col(name)
+    low = key.bitwiseAND(F.lit((1 << bits) - 1))
+    places = F.array(low, F.shiftrightunsigned(key, 64 - bits))
+    pieces = (
+        keys.select(F.explode(places).alias("at"))
+        .select((F.col("at") + 1).alias("at"))  # buckets count from 1
+        .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    )
+    width = 4096  # bytes of a bucket
+    bitmap = np.zeros((1 << bits) // 8 + width, dtype=np.uint8)
+    for row in pieces.collect():
+        start = (row["bucket"] - 1) * width
+        bitmap[start : start + width] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return bitmap.tobytes()
+
+
+def bloom_hits(bitmap, bits: int, keys):
+    """The places in ``keys`` (unsigned) of those the filter lets through."""
+    import numpy as np
+
+    def hit(at):
+        return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    kept = np.flatnonzero(hit(keys & np.uint64((1 << bits) - 1)))
+    return kept[hit(keys[kept] >> np.uint64(64 - bits))]
+
+
 @functools.cache  # a worker serves many tasks
 def tokenizer(path: str):
     """The tokenizer of a .json file, single-threaded, without truncation or padding."""

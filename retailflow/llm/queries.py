@@ -12,6 +12,7 @@ from retailflow.llm import (
     licenses,
     line_dedup,
     packing,
+    personal_data,
     quality,
     secrets,
     sharding,
@@ -117,6 +118,18 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(documents(spark, sf_dir))
+    base = personal_data.KINDS[: personal_data.ADDED]
+    return found.select(
+        "doc_id",
+        *[f"n_{kind}" for kind in base],
+        F.sha2(personal_data.joined(F.col("spans"), base), 256).alias("base_sha256"),
+        personal_data.joined(F.col("spans")).alias("spans"),
+        "n_identifier",
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -130,4 +143,5 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_clustering": op11_clustering,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_personal_data": op13_personal_data,
 }
