@@ -97,10 +97,10 @@ def jobs_over_tables(spark: SparkSession, drained: dict[str, Tables]) -> dict[st
     """Gathering, compaction and the archive, each once over filled tables."""
     logs = {kind: drained[kind] for kind in EVENTS}
     times = {
-        f"fold_{kind}": seconds(lambda: tables.fold(f"{kind}_log")) for kind, tables in logs.items()
+        f"gather_{kind}": seconds(lambda: tables.gather(f"{kind}_log")) for kind, tables in logs.items()
     }
     orders = drained["transactions"]
-    times["fold_quantity_totals"] = seconds(lambda: orders.fold("quantity_totals"))
+    times["gather_quantity_totals"] = seconds(lambda: orders.gather("quantity_totals"))
     times["compact_current"] = seconds(
         lambda: [orders.compact(name) for name in CURRENT if name != RUNNING]
     )

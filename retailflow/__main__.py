@@ -18,7 +18,7 @@ from retailflow.schemas import EVENTS
 from retailflow.session import configure, scratch_folder
 from retailflow.sources.events import read_files, read_topic
 from retailflow.streaming import jobs
-from retailflow.tables import CURRENT, FOLDED, Tables
+from retailflow.tables import CURRENT, GATHERED, Tables
 
 
 def arguments(words: list[str] | None = None) -> argparse.Namespace:
@@ -105,8 +105,8 @@ def main(words: list[str] | None = None) -> None:
         case "compact":
             for name in CURRENT:
                 tables.compact(name)
-            for name in FOLDED:
-                tables.fold(name)
+            for name in GATHERED:
+                tables.gather(name)
 
 
 if __name__ == "__main__":

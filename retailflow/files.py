@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -21,10 +24,42 @@ def create_folder(spark: SparkSession, path: str) -> None:
     system.mkdirs(location)
 
 
-def create_marker(spark: SparkSession, path: str) -> None:
-    """An empty file, there or not there: the atomic step that publishes a write."""
+def create_marker(spark: SparkSession, path: str) -> bool:
+    """An empty file, there or not there: the atomic step that publishes a write.
+
+    False if it was there before.
+    """
+    system, location = _open(spark, path)
+    return system.createNewFile(location)
+
+
+def claim(spark: SparkSession, path: str, owner: str) -> str:
+    """Make the file ``path`` that says ``owner``, if there is none; what it says then.
+
+    The file is written under a name of its own and renamed, which fails where the name is
+    taken: of several claims at once, one file stays.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     system, location = _open(spark, path)
-    system.createNewFile(location)
+    _, own = _open(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = system.create(own, False)
+    stream.write(bytearray(owner.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        system.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    never = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(own, location, never)
+        return owner
+    except Py4JJavaError as error:
+        system.delete(own, False)
+        if not system.exists(location):
+            raise error
+    stream = system.open(location)
+    said = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return said
 
 
 def names(spark: SparkSession, path: str) -> list[str]:

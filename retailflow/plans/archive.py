@@ -46,20 +46,21 @@ def archive_transactions(
 def drop_archived(tables: Tables, cutoff: datetime, through: int) -> int:
     """Delete the live folders whose rows are all archived; the cutoff's period stays.
 
-    Folding keeps the batches and generations, and so the folders looked at, few.
+    Gathering keeps the batches, and so the folders looked at, few.
     """
     column, log = tables.period_column, tables.path("transactions_log")
     below = f"status=accepted/{column}=*"
     folders = files.matches(tables.spark, f"{log}/batch_id=*/{below}")
-    folders += files.matches(tables.spark, f"{log}_folded/generation=*/{below}")
+    folders += files.matches(
+        tables.spark, f"{tables.gathered_path('transactions_log')}/{below}/through=*"
+    )
     dropped = 0
     for folder in folders:
-        found = re.search(
-            rf"(?:batch_id=|generation=\d+-)(\d+)/.*{column}=(\d{{4}}-\d\d-\d\d)$", folder
-        )
-        if not found or int(found[1]) > through:
+        batch = re.search(r"(?:batch_id|through)=(\d+)", folder)
+        start = re.search(rf"{column}=(\d{{4}}-\d\d-\d\d)", folder)
+        if not batch or not start or int(batch[1]) > through:
             continue
-        if period_end(date.fromisoformat(found[2]), tables.period) <= cutoff.date():
+        if period_end(date.fromisoformat(start[1]), tables.period) <= cutoff.date():
             files.delete(tables.spark, folder)
             dropped += 1
     return dropped

@@ -15,7 +15,7 @@ from retailflow.schemas import EVENTS, columns
 from retailflow.session import configure, scratch_folder
 from retailflow.sources.events import read_files
 from retailflow.streaming import jobs
-from retailflow.tables import FOLDED, RUNNING, TRANSACTION_COLUMNS, Tables
+from retailflow.tables import GATHERED, RUNNING, TRANSACTION_COLUMNS, Tables
 
 AS_OF = datetime(2001, 7, 1)
 LARGE = 45
@@ -167,12 +167,12 @@ def _rejects_log(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read("rejects").select("value", "reject_reason")
 
 
-def _archived(spark: SparkSession, sf: str, folded: bool = False) -> Tables:
+def _archived(spark: SparkSession, sf: str, gathered: bool = False) -> Tables:
     tables = _tables(spark)
     raw = fixtures.records(spark, sf, "transactions")
     jobs.ingest(tables, "transactions", raw, _clock)
-    if folded:
-        tables.fold("transactions_log")
+    if gathered:
+        tables.gather("transactions_log")
     archive.archive_transactions(tables, AS_OF)
     return tables
 
@@ -182,8 +182,8 @@ def _archive_moved(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*columns("transactions"))
 
 
-def _archive_live(spark: SparkSession, sf: str, folded: bool = False) -> DataFrame:
-    return _archived(spark, sf, folded).read("transaction_data").select(*TRANSACTION_COLUMNS)
+def _archive_live(spark: SparkSession, sf: str, gathered: bool = False) -> DataFrame:
+    return _archived(spark, sf, gathered).read("transaction_data").select(*TRANSACTION_COLUMNS)
 
 
 # -- streams
@@ -200,15 +200,15 @@ def _from_stream(kind: str, name: str, *names: str) -> Query:
     return lambda spark, sf: _streamed(spark, sf, kind).read(name).select(*names)
 
 
-def _folded(kind: str, name: str, *names: str) -> Query:
+def _gathered(kind: str, name: str, *names: str) -> Query:
     """A log whose batches were gathered twice while they came, and has some ungathered."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         tables = _tables(spark)
         for number, pattern in enumerate(fixtures.land_batches(spark, sf, kind)):
             jobs.wait([jobs.start_events(tables, kind, lambda s: read_files(s, pattern), _clock)])
-            for table in FOLDED if number in (0, 2, 4) else ():
-                tables.fold(table)
+            for table in GATHERED if number in (0, 2, 4) else ():
+                tables.gather(table)
         return tables.read(name).select(*names)
 
     return query
@@ -347,7 +347,7 @@ QUERIES: dict[str, Query] = {
     # R7, F4, P12, W6, C5
     "archive_moved": _archive_moved,
     "archive_live": _archive_live,
-    "archive_live_compacted": lambda spark, sf: _archive_live(spark, sf, folded=True),
+    "archive_live_compacted": lambda spark, sf: _archive_live(spark, sf, gathered=True),
     # T1, T3, T4, T6, W1, P8, P9, C1, C2
     "category_batch_log": _from_stream(
         "transactions", "batch_details", "batch_id", "category", "quantity", "processed_at"
@@ -385,16 +385,16 @@ QUERIES: dict[str, Query] = {
     ),
     # S1-S3: files dated back; logs gathered while they grow
     "transaction_log_old_files": _old_files,
-    "transaction_log_compacted": _folded(
+    "transaction_log_compacted": _gathered(
         "transactions", "transaction_data", *TRANSACTION_COLUMNS, "processed_at"
     ),
-    "click_log_compacted": _folded(
+    "click_log_compacted": _gathered(
         "clickstream", "clickstream_logs", *columns("clickstream"), "processed_at"
     ),
-    "inventory_log_compacted": _folded(
+    "inventory_log_compacted": _gathered(
         "inventory", "inventory_updates", *columns("inventory"), "processed_at"
     ),
-    "category_batch_log_compacted": _folded(
+    "category_batch_log_compacted": _gathered(
         "transactions", "batch_details", "batch_id", "category", "quantity", "processed_at"
     ),
     # R1-R6, C3 over stored tables

@@ -122,9 +122,9 @@ class Layout:
         )
 
     @property
-    def folded_schema(self) -> T.StructType:
+    def gathered_schema(self) -> T.StructType:
         """As ``read_schema``, for folders that hold many batches: ``batch_id`` is data."""
-        parts = {p: PARTITION_TYPES.get(p, "date") for p in ("generation", *self.partitions)}
+        parts = {p: PARTITION_TYPES.get(p, "date") for p in (*self.partitions, "through")}
         return _struct({**self.types, "batch_id": "bigint", **parts})
 
     @property
@@ -138,7 +138,7 @@ PARTITION_TYPES = {
     "batch_id": "bigint",
     "status": "string",
     "dimension": "string",
-    "generation": "string",
+    "through": "bigint",
 }
 
 _TOTAL = {"quantity": "bigint", "processed_at": "timestamp"}
@@ -158,11 +158,11 @@ STORED: dict[str, Layout] = {
     },
     "quantity_totals": Layout(
         {**{key: "string" for keys in DIMENSIONS.values() for key in keys}, **_TOTAL},
-        ("dimension",),
+        ("dimension", PERIOD),
     ),
     "running_totals": Layout(
         {**{key: "string" for keys in DIMENSIONS.values() for key in keys}, **_TOTAL},
-        ("dimension",),
+        ("dimension", PERIOD),
     ),
     "user_changes": Layout(
         {

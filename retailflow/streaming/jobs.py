@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -28,18 +29,29 @@ def utc_now() -> datetime:
 
 
 def write_log(tables: Tables, kind: str, parsed: DataFrame, batch_id: int, now: datetime) -> None:
-    """Write good and rejected records of a batch in one pass over its source."""
+    """Write good and rejected records of a batch in one pass over its source.
+
+    A good record's folder is the period of its time; one that has none, and a rejected
+    record, are filed under the period they arrived in.
+    """
     good = F.col("reject_reason").isNull()
+    time = F.coalesce(F.when(good, F.col("timestamp")), instant(now))
     rows = parsed.withColumns(
         {
             "processed_at": instant(now),
             "status": F.when(good, F.lit("accepted")).otherwise(F.lit("rejected")),
-            tables.period_column: F.when(good, period_start(F.col("timestamp"), tables.period)),
+            tables.period_column: period_start(time, tables.period),
         }
     )
     tables.write_batch(f"{kind}_log", rows, batch_id)
 
 
+def _stamped(tables: Tables, rows: DataFrame, now: datetime) -> DataFrame:
+    """``rows`` with the time they were processed, and its period."""
+    period = period_start(instant(now), tables.period)
+    return rows.withColumns({"processed_at": instant(now), tables.period_column: period})
+
+
 def derive_tables(tables: Tables, batch_id: int, now: datetime) -> None:
     """Fill the totals and the current tables from the transactions just logged.
 
@@ -52,7 +64,7 @@ def derive_tables(tables: Tables, batch_id: int, now: datetime) -> None:
     )
     updated = instant(now)
     derived = {
-        "quantity_totals": quantity_totals(events).withColumn("processed_at", updated),
+        "quantity_totals": _stamped(tables, quantity_totals(events), now),
         "user_changes": latest_users(events, updated),
         "product_changes": latest_products(events, updated),
     }
@@ -65,17 +77,26 @@ def derive_tables(tables: Tables, batch_id: int, now: datetime) -> None:
         list(pool.map(write, derived))
 
 
-def handle_batch(tables: Tables, kind: str, clock: Clock = utc_now):
-    """The foreachBatch function of one topic; repeating a batch changes nothing."""
+def handle_batch(tables: Tables, kind: str, clock: Clock = utc_now, owner: str | None = None):
+    """The foreachBatch function of one topic; repeating a batch changes nothing.
+
+    A batch is claimed for ``owner`` before anything is written. A stream is one owner over
+    its restarts, so it repeats a batch that it had begun; a loader is one by each call.
+    """
+    owner = owner or f"loader {uuid.uuid4().hex}"
 
     def handle(parsed: DataFrame, batch_id: int) -> None:
         if batch_id <= tables.committed(kind):
             return
-        now = clock()
-        write_log(tables, kind, parsed, batch_id, now)
-        if kind == "transactions":
-            derive_tables(tables, batch_id, now)
-        tables.commit(kind, batch_id)
+        tables.claim(kind, batch_id, owner)
+        try:
+            now = clock()
+            write_log(tables, kind, parsed, batch_id, now)
+            if kind == "transactions":
+                derive_tables(tables, batch_id, now)
+            tables.commit(kind, batch_id)
+        finally:
+            tables.release(kind, batch_id)
 
     return handle
 
@@ -84,7 +105,8 @@ def ingest(tables: Tables, kind: str, raw: DataFrame, clock: Clock = utc_now) ->
     """Load a batch of raw records as the next batch of tables no stream writes to.
 
     Refused once the topic has a stream: that counts its batches itself, and the one
-    numbered like this would be taken for a repetition and skipped.
+    numbered like this would be taken for a repetition and skipped. Refused as well while
+    another loader writes the same batch.
     """
     if files.exists(tables.spark, tables.checkpoint(kind)):
         raise RuntimeError(f"a stream writes the {kind} tables; ingest would hide its next batch")
@@ -136,7 +158,7 @@ def start_events(
         .outputMode("append")
         .option("checkpointLocation", _checkpoint(tables, kind))
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(handle_batch(tables, kind, clock))
+        .foreachBatch(handle_batch(tables, kind, clock, f"stream {kind}"))
         .start()
     )
 
@@ -167,8 +189,7 @@ def start_running_totals(
             # A repetition: its state must be computed again, its rows are there.
             totals.write.format("noop").mode("overwrite").save()
             return
-        rows = totals.withColumn("processed_at", instant(clock()))
-        tables.write_batch(RUNNING, rows, batch_id)
+        tables.write_batch(RUNNING, _stamped(tables, totals, clock()), batch_id)
         tables.commit(RUNNING, batch_id)
 
     return (

@@ -5,9 +5,9 @@ counts once its marker exists; the marker is written after all tables of that ba
 so readers see all of a batch or nothing. Current tables are a log of per-batch
 changes, folded on read and folded for good by :meth:`Tables.compact`.
 
-Logs gather their closed batches into generations (:meth:`Tables.fold`): one folder for a
-range of batches, split by status and period only. A reader lists the generations, as many
-as the logarithm of the number of batches, and the batches since.
+Logs gather their closed batches by period (:meth:`Tables.gather`): a job rewrites the period
+folders that have new rows, and a marker publishes them all. A reader lists a folder for each
+period and the batches since, however many batches there have been.
 """
 
 from __future__ import annotations
@@ -26,11 +26,12 @@ from retailflow.schemas import DIMENSIONS, EVENTS, STORED, Layout, columns
 MARKERS_KEPT = 100
 RUNNING = "running_totals"
 
-# The tables whose batches are gathered, with the stream that numbers them.
-FOLDED = {
-    **{f"{kind}_log": kind for kind in EVENTS},
-    "quantity_totals": "transactions",
-    RUNNING: RUNNING,
+# The tables whose batches are gathered: the stream that numbers them, and the time their rows
+# are sorted by.
+GATHERED = {
+    **{f"{kind}_log": (kind, "timestamp") for kind in EVENTS},
+    "quantity_totals": ("transactions", "processed_at"),
+    RUNNING: (RUNNING, "processed_at"),
 }
 
 
@@ -44,7 +45,7 @@ class Tables:
     ``rebalance`` shuffles a batch to its folders before it is written: sized files, and a
     hot folder split over many, at the price of moving every row. It is for a backfill that
     spreads over many folders. Live batches fill the folders of a day or two from each task
-    and are written as they come; folding sizes their files later.
+    and are written as they come; gathering sizes their files later.
     """
 
     def __init__(
@@ -93,13 +94,34 @@ class Tables:
         return max((int(name) for name in found if name.isdigit()), default=-1)
 
     def commit(self, stream: str, batch_id: int) -> None:
+        """Publish a batch; refused if another writer has published it."""
         folder = f"{self.root}/_commits/{stream}"
-        files.create_marker(self.spark, f"{folder}/{batch_id}")
+        if not files.create_marker(self.spark, f"{folder}/{batch_id}"):
+            raise RuntimeError(f"another writer has published batch {batch_id} of {stream}")
         # Numbers may have gaps, so whatever is old goes, not one name.
         for name in files.names(self.spark, folder):
             if name.isdigit() and int(name) <= batch_id - MARKERS_KEPT:
                 files.delete(self.spark, f"{folder}/{name}")
 
+    def _claim(self, stream: str, batch_id: int) -> str:
+        return f"{self.root}/_claims/{stream}/{batch_id}"
+
+    def claim(self, stream: str, batch_id: int, owner: str) -> None:
+        """Keep others from writing a batch; refused if another ``owner`` has it.
+
+        An owner may claim a batch again, to repeat it. A claim lasts until :meth:`release`,
+        also of an owner that died.
+        """
+        holder = files.claim(self.spark, self._claim(stream, batch_id), owner)
+        if holder != owner:
+            raise RuntimeError(
+                f"another writer, {holder}, is writing batch {batch_id} of {stream}; "
+                "release the batch if it is gone"
+            )
+
+    def release(self, stream: str, batch_id: int) -> None:
+        files.delete(self.spark, self._claim(stream, batch_id))
+
     # -- writing
 
     def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
@@ -114,16 +136,11 @@ class Tables:
                 for c in wanted
             ]
         )
-        self._write(rows, layout, self.batch_path(table, batch_id), self.rebalance)
-
-    def _write(self, rows: DataFrame, layout: Layout, path: str, rebalance: bool) -> None:
-        if layout.partitions and rebalance:
+        if layout.partitions and self.rebalance:
             # Sized files per partition; adaptive execution splits a hot partition.
             rows = rows.hint("rebalance", *layout.partitions)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if layout.partitions:
-            writer = writer.partitionBy(*layout.partitions)
-        writer.parquet(path)
+        writer.partitionBy(*layout.partitions).parquet(self.batch_path(table, batch_id))
 
     # -- reading
 
@@ -136,83 +153,95 @@ class Tables:
 
     def read_stored(self, table: str, stream: str, after: int = -1) -> DataFrame:
         """All rows of the committed batches, or of those after one, with ``batch_id``."""
-        folded = self.committed(f"{table}_folded") if table in FOLDED else -1
-        recent = self._recent(table, max(folded, after), self.committed(stream))
-        chosen = [pair for pair in self.generations(table) if pair[1] > after]
-        if not chosen:
-            return recent
-        return recent.unionByName(self._folded(table, chosen).filter(F.col("batch_id") > after))
+        gathered = self.committed(f"{table}_gathered") if table in GATHERED else -1
+        rows = self._recent(table, max(gathered, after), self.committed(stream))
+        folders = [path for path, through in self.gathered(table) if through > after]
+        if folders:
+            rows = rows.unionByName(self._read_gathered(table, folders).filter(F.col("batch_id") > after))
+        return rows
 
     def _recent(self, table: str, after: int, last: int) -> DataFrame:
         rows = self.spark.read.schema(self.layout(table).read_schema).parquet(self.path(table))
         rows = rows.filter(F.col("batch_id") <= last)
         return rows if after < 0 else rows.filter(F.col("batch_id") > after)
 
-    def _folded(self, table: str, generations: list[tuple[int, int]]) -> DataFrame:
-        root = self._folded_path(table)
+    def _read_gathered(self, table: str, folders: list[str]) -> DataFrame:
         return (
-            self.spark.read.schema(self.layout(table).folded_schema)
-            .option("basePath", root)
-            .parquet(*[f"{root}/generation={a}-{b}" for a, b in generations])
-            .drop("generation")
+            self.spark.read.schema(self.layout(table).gathered_schema)
+            .option("basePath", self.gathered_path(table))
+            .parquet(*folders)
+            .drop("through")
         )
 
     # -- gathering batches
 
-    def _folded_path(self, table: str) -> str:
-        return f"{self.path(table)}_folded"
+    def gathered_path(self, table: str) -> str:
+        return f"{self.path(table)}_gathered"
 
-    def generations(self, table: str) -> list[tuple[int, int]]:
-        """First and last batch of the generations that readers use, the newest first.
+    def gathered(self, table: str) -> list[tuple[str, int]]:
+        """Folder and last batch of each period's rows as published: the one written last.
 
-        Each ends where the one after it begins, back from the last published; others are
-        older states or the remains of a failed run.
+        Folders of later batches are of a run that is not published, or never will be.
         """
-        last = self.committed(f"{table}_folded") if table in FOLDED else -1
+        last = self.committed(f"{table}_gathered") if table in GATHERED else -1
         if last < 0:
             return []
-        first: dict[int, int] = {}
-        for name in files.names(self.spark, self._folded_path(table)):
-            a, _, b = name.removeprefix("generation=").partition("-")
-            if a.isdigit() and b.isdigit():
-                # A wider one replaces those it was made of.
-                first[int(b)] = min(int(a), first.get(int(b), int(a)))
-        chain = []
-        while last in first:
-            chain.append((first[last], last))
-            last = first[last] - 1
-        return chain
-
-    def fold(self, table: str) -> None:
-        """Gather the batches of ``table`` that are closed into a new generation.
-
-        Generations no larger than what is gathered are taken in as well, so each batch is
-        rewritten as often as the logarithm of their number, and few generations are left.
-        What the published state before this one used stays until the next run, for
-        readers that have started; older folders are deleted whole.
+        newest: dict[str, int] = {}
+        for period, through in self._written(table):
+            if newest.get(period, -1) < through <= last:
+                newest[period] = through
+        return [(f"{period}/through={through}", through) for period, through in newest.items()]
+
+    def _written(self, table: str) -> list[tuple[str, int]]:
+        """Period folder and last batch of all that gathering has written."""
+        found = files.matches(self.spark, f"{self.gathered_path(table)}/*/*/through=*")
+        pairs = (path.rpartition("/through=") for path in found)
+        return [(period, int(through)) for period, _, through in pairs]
+
+    def gather(self, table: str, **options: str) -> None:
+        """Rewrite the period folders that closed batches have rows for, and publish them.
+
+        A folder gets its former rows and the new ones, sorted by time, as a new folder
+        beside the former: replacing files in place could lose rows when a run dies, or
+        change them under a reader. What the state before this one used stays until the next
+        run, for readers that have started; what is older is deleted. A run that fails before
+        its marker has changed nothing; the next run's folders are later in all its periods.
+        ``options`` go to the writer.
         """
-        name, last = f"{table}_folded", self.committed(FOLDED[table])
+        stream, time = GATHERED[table]
+        name, last = f"{table}_gathered", self.committed(stream)
         previous = self.committed(name)
         if last <= previous:
             return
-        chain, taken, first = self.generations(table), [], previous + 1
-        for a, b in chain:
-            if b - a > last - first:
-                break
-            taken.append((a, b))
-            first = a
-        layout = self.layout(table)
+        layout, root = self.layout(table), self.gathered_path(table)
+        used = self.gathered(table)
         rows = self._recent(table, previous, last)
-        if taken:
-            rows = rows.unionByName(self._folded(table, taken))
+        # As many as there are period folders.
+        touched = {
+            "/".join(f"{c}={row[c]}" for c in layout.partitions)
+            for row in rows.select(*layout.partitions).distinct().collect()
+        }
+        former = [path for path, _ in used if "/".join(path.split("/")[-3:-1]) in touched]
+        if former:
+            rows = rows.unionByName(self._read_gathered(table, former))
         rows = rows.select(*layout.types, "batch_id", *layout.partitions)
-        path = f"{self._folded_path(table)}/generation={first}-{last}"
-        self._write(rows, layout, path, rebalance=True)
+        (
+            rows.withColumn("through", F.lit(last))
+            # Sized files; adaptive execution splits a hot period.
+            .hint("rebalance", *layout.partitions)
+            # Row groups that hold a stretch of time each are skipped by their statistics.
+            .sortWithinPartitions(*layout.partitions, "through", time)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .options(**options)
+            .partitionBy(*layout.partitions, "through")
+            .parquet(root)
+        )
         self.commit(name, last)
-        kept = {f"generation={a}-{b}" for a, b in [*chain, (first, last)]}
-        for folder in files.names(self.spark, self._folded_path(table)):
-            if folder.startswith("generation=") and folder not in kept:
-                files.delete(self.spark, f"{self._folded_path(table)}/{folder}")
+        kept = {path for path, _ in used}
+        for period, through in self._written(table):
+            if through <= previous and f"{period}/through={through}" not in kept:
+                files.delete(self.spark, f"{period}/through={through}")
         for folder in files.names(self.spark, self.path(table)):
             number = folder.removeprefix("batch_id=")
             if number.isdigit() and int(number) <= previous:

@@ -52,17 +52,17 @@ def test_rows_keep_the_names_they_were_logged_with(tables):
 
 
 def test_folders_of_gathered_batches_are_dropped(tables):
-    log = tables.path("transactions_log") + "_folded/generation=*/status=accepted/event_date=*"
+    log = tables.path("transactions_log") + "_gathered/status=accepted/event_date=*/through=*"
     ingest(tables, {"order_id": "a", "timestamp": "2023-01-01T00:00:00+00:00"})
     ingest(tables, {"order_id": "b"})
-    tables.fold("transactions_log")
+    tables.gather("transactions_log")
     archive_transactions(tables, NOW)
     assert ids(tables, "transaction_data") == ["b"]
     assert len(files.matches(tables.spark, log)) == 2
     ingest(tables, {"order_id": "late", "timestamp": "2023-01-01T00:00:00+00:00"})
     archive_transactions(tables, NOW)
     assert len(files.matches(tables.spark, log)) == 1
-    tables.fold("transactions_log")
+    tables.gather("transactions_log")
     assert ids(tables, "transaction_data") == ["b"]
     assert ids(tables, "archived_transaction_data") == ["a", "late"]
 

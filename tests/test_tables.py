@@ -11,7 +11,7 @@ from samples import found, order, raw
 from retailflow import files, schemas
 from retailflow.session import scratch_folder
 from retailflow.streaming import jobs
-from retailflow.tables import CURRENT, FOLDED, READERS, TRANSACTION_COLUMNS, Tables
+from retailflow.tables import CURRENT, GATHERED, READERS, TRANSACTION_COLUMNS, Tables
 
 
 def ingest(tables, *changes, now=NOW):
@@ -102,9 +102,9 @@ def test_compaction_keeps_the_rows(tables):
             for name in CURRENT:
                 tables.compact(name)
                 tables.compact(name)
-            for name in FOLDED:
-                tables.fold(name)
-                tables.fold(name)
+            for name in GATHERED:
+                tables.gather(name)
+                tables.gather(name)
             assert {name: found(tables.read(name)) for name in names} == before
     assert found(tables.read("sales_per_city"), "city", "total_quantity") == [
         ("Austin", 21),
@@ -195,8 +195,8 @@ def test_scratch_folder_follows_the_cluster(spark, tmp_path):
     assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
 
 
-def test_generations_of_many_batches(tables):
-    """3,000 batches are read through as few folders as 30, with the same rows."""
+def test_many_batches_are_few_folders(tables):
+    """3,000 batches are read through as many folders as 30, with the same rows."""
     import pyarrow as pa
     import pyarrow.parquet as pq
 
@@ -220,42 +220,127 @@ def test_generations_of_many_batches(tables):
         for batch in range(tables.committed("clickstream") + 1, last + 1):
             add(batch)
         tables.commit("clickstream", last)
-        tables.fold("clickstream_log")
+        tables.gather("clickstream_log")
         add(last + 1)
         tables.commit("clickstream", last + 1)
-        tables.fold("clickstream_log")  # what the first fold gathered is deleted now
+        tables.gather("clickstream_log")  # the batches of the first run are deleted now
         assert tables.read("clickstream_logs").select("event_id").distinct().count() == last + 2
         counts.append(listed())
         left = [n for n in files.names(spark, folder) if n.startswith("batch_id=")]
         assert left == [f"batch_id={last + 1}"]
-    assert counts[1] <= counts[0] + 3
+    assert counts == [4, 4]  # three days and the newest batch
 
 
-def test_generations_grow_with_the_logarithm(tables, monkeypatch):
-    """Sizes double, so each row is rewritten a logarithmic number of times."""
-    sizes = []
-    monkeypatch.setattr(Tables, "_write", lambda self, rows, layout, path, rebalance: (
-        os.makedirs(path), sizes.append(path)))
-    monkeypatch.setattr(Tables, "_folded", lambda self, table, pairs: self._recent(table, -1, -1))
-    for last in range(9, 640, 10):
-        tables.commit("clickstream", last)
-        tables.fold("clickstream_log")
-        chain = tables.generations("clickstream_log")
-        assert chain[0][1] == last and chain[-1][0] == 0 and len(chain) <= 7
-    written = [p.rpartition("=")[2].split("-") for p in sizes]
-    assert sum(int(b) - int(a) + 1 for a, b in written) <= 640 * 8
+def test_only_touched_periods_are_rewritten(tables):
+    ingest(tables, {"timestamp": "2024-02-01T08:00:00+00:00"}, {"order_id": "o2"})
+    tables.gather("transactions_log")
+    ingest(tables, {"order_id": "o3"})
+    tables.gather("transactions_log")
+    folders = {path.split("/")[-2]: through for path, through in tables.gathered("transactions_log")}
+    assert folders == {"event_date=2024-02-01": 0, "event_date=2024-03-01": 1}
+    written = tables._written("transactions_log")
+    assert len(written) == 3  # the former folder of March stays for readers until the next run
+    ingest(tables, {"order_id": "o4"})
+    tables.gather("transactions_log")
+    assert sorted(n for _, n in tables._written("transactions_log")) == [0, 1, 2]
+    assert found(tables.read("transaction_data"), "order_id") == [(f"o{k}",) for k in range(1, 5)]
 
 
-def test_a_failed_fold_is_repeated(tables, monkeypatch):
+def test_a_reader_keeps_its_files(tables):
+    ingest(tables, {})
+    tables.gather("transactions_log")
+    ingest(tables, {"order_id": "o2"})
+    reader = tables.read("transaction_data")
+    tables.gather("transactions_log")
+    assert reader.count() == 2
+
+
+def test_rows_without_a_time_are_gathered(tables):
+    spark = tables.spark
+    for batch in range(2):
+        rows = raw(spark, ['{"event_id": "e%d"}' % batch, "{bad"])
+        jobs.ingest(tables, "clickstream", rows, lambda: NOW)
+        tables.gather("clickstream_log")
+    assert found(tables.read("clickstream_logs"), "event_id", "timestamp") == [("e0", None), ("e1", None)]
+    assert tables.read("rejects").count() == 2
+    assert {p.split("/")[-2] for p, _ in tables.gathered("clickstream_log")} == {"event_date=2024-03-01"}
+
+
+def test_a_failed_run_is_repeated(tables, monkeypatch):
     ingest(tables, {})
     before = state(tables)
     with monkeypatch.context() as patch:
         patch.setattr(Tables, "commit", lambda *args: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
-            tables.fold("transactions_log")
+            tables.gather("transactions_log")
+    assert state(tables) == before
+    ingest(tables, {"order_id": "o2"})
+    before = state(tables)
+    tables.gather("transactions_log")
     assert state(tables) == before
-    tables.fold("transactions_log")
-    assert state(tables) == before and tables.generations("transactions_log") == [(0, 0)]
+    assert [through for _, through in tables.gathered("transactions_log")] == [1]
+
+
+def test_row_groups_hold_disjoint_times(tables):
+    """Gathered rows are sorted by time, so a report's time range skips row groups."""
+    import pyarrow.parquet as pq
+
+    spark = tables.spark
+    rows = spark.range(40_000, numPartitions=4).selectExpr(
+        "uuid() AS order_id",
+        "uuid() AS user_id",
+        "TIMESTAMP '2024-03-01 00:00:00' + make_dt_interval(0, 0, 0, id * 7919 % 86400) AS timestamp",
+        "NULL AS value",
+        "NULL AS reject_reason",
+    )
+    jobs.write_log(tables, "transactions", rows, 0, NOW)
+    tables.commit("transactions", 0)
+    tables.gather("transactions_log", **{"parquet.block.size": "200000", "parquet.page.size": "20000"})
+    ((folder, _),) = tables.gathered("transactions_log")
+    times = []
+    for path in files.files_below(spark, folder):
+        if not path.endswith(".parquet"):
+            continue
+        data = pq.ParquetFile(path.removeprefix("file:"))
+        groups = [data.metadata.row_group(k) for k in range(data.metadata.num_row_groups)]
+        at = data.schema_arrow.names.index("timestamp")
+        ranges = [(g.column(at).statistics.min, g.column(at).statistics.max) for g in groups]
+        assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+        times += ranges
+    assert len(times) > 3
+
+
+def test_two_writers_of_one_batch(tables, monkeypatch):
+    """The second loader is refused before it writes, the second marker when it is made."""
+    write, second = jobs.write_log, []
+
+    def write_while_another_loads(*args):
+        if not second:
+            second.append(None)
+            with pytest.raises(RuntimeError, match="another writer"):
+                ingest(tables, {"order_id": "theirs"})
+        write(*args)
+
+    monkeypatch.setattr(jobs, "write_log", write_while_another_loads)
+    ingest(tables, {"order_id": "ours"})
+    assert second and found(tables.read("transaction_data"), "order_id") == [("ours",)]
+    with pytest.raises(RuntimeError, match="another writer"):
+        tables.commit("transactions", 0)
+    ingest(tables, {"order_id": "next"})
+    assert tables.committed("transactions") == 1
+
+
+def test_a_failed_loader_releases_its_batch(tables, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "derive_tables", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            ingest(tables, {})
+    assert ingest(tables, {}) == 0
+    tables.claim("transactions", 1, "a loader that died")
+    with pytest.raises(RuntimeError, match="a loader that died"):
+        ingest(tables, {})
+    tables.release("transactions", 1)
+    assert ingest(tables, {}) == 1
 
 
 def test_markers_are_pruned(tables):
