@@ -190,10 +190,10 @@ def _json(*overrides: tuple[str, str]) -> str:
 DEFECTS: dict[int, tuple[str, str | None]] = {
     1: ("concat('{\"order_id\":\"',order_id)", "unreadable"),
     2: ("concat('[',order_id,']')", "unreadable"),
-    3: (_json(("quantity", "'\"quantity\":\"3\"'")), "missing:quantity"),
-    4: (_json(("quantity", "'\"quantity\":4.5'")), "missing:quantity"),
+    3: (_json(("quantity", "'\"quantity\":\"3\"'")), "invalid:quantity"),
+    4: (_json(("quantity", "'\"quantity\":4.5'")), "invalid:quantity"),
     5: (_json(("user_id", "")), "missing:user_id"),
-    6: (_json(("price", "'\"price\":99999999999.1'")), "missing:price"),
+    6: (_json(("price", "'\"price\":99999999999.1'")), "invalid:price"),
     7: (
         _json(("postal_code", "'\"postal_code\":\"',repeat(postal_code,5),'\"'")),
         "too_long:postal_code",

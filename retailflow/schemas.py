@@ -74,8 +74,13 @@ TYPES = {
     "decimal(10,2)": T.DecimalType(10, 2),
     "decimal(10,8)": T.DecimalType(10, 8),
     "decimal(11,8)": T.DecimalType(11, 8),
+    "variant": T.VariantType(),
 }
 
+# The number types of event fields, with the JSON values each is read from: whole numbers for
+# int; any number, or its text, for a price.
+NUMBERS = {"int": "^BIGINT", "decimal(10,2)": "^(BIGINT|DECIMAL|DOUBLE|STRING)"}
+
 
 def _struct(types: dict[str, str]) -> T.StructType:
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in types.items()])
@@ -86,9 +91,13 @@ def event_types(kind: str) -> dict[str, str]:
 
 
 def json_schema(kind: str) -> T.StructType:
-    """What from_json reads: times stay text until they are cast with a null on failure."""
-    types = event_types(kind)
-    return _struct({n: "string" if t == "timestamp" else t for n, t in types.items()})
+    """What from_json reads: times stay text, and numbers whatever JSON value they are.
+
+    Both are cast later, with a null on failure, so that a value of the wrong type is told
+    from one that is not there.
+    """
+    raw = {"timestamp": "string"} | dict.fromkeys(NUMBERS, "variant")
+    return _struct({n: raw.get(t, t) for n, t in event_types(kind).items()})
 
 
 # The keys of the four quantity totals.

@@ -33,11 +33,22 @@ def test_unreadable(spark, value):
     "value, reason",
     [
         (order(), None),
-        (order(quantity="3"), "missing:quantity"),
-        (order(quantity=2.5), "missing:quantity"),
-        (order(quantity=3_000_000_000), "missing:quantity"),
+        (order(quantity="3"), "invalid:quantity"),
+        (order(quantity=2.5), "invalid:quantity"),
+        (order(quantity=3.0), "invalid:quantity"),
+        (order(quantity=True), "invalid:quantity"),
+        (order(quantity={"n": 3}), "invalid:quantity"),
+        (order(quantity=[3]), "invalid:quantity"),
+        (order(quantity=None), "missing:quantity"),
+        (order(quantity=-3), None),
+        (order(quantity=3_000_000_000), "invalid:quantity"),
         (order(gift=True), None),
-        (order(price=99999999999.1), "missing:price"),
+        (order(price=99999999999.1), "invalid:price"),
+        (order(price="12.50"), None),
+        (order(price="cheap"), "invalid:price"),
+        (order(price=False), "invalid:price"),
+        (order(price=1e300), "invalid:price"),
+        (order(price=1e2), None),
         (order(price=None), "missing:price"),
         (order(postal_code="1" * 20), None),
         (order(postal_code="1" * 21), "too_long:postal_code"),
@@ -54,7 +65,7 @@ def test_unreadable(spark, value):
         (order(timestamp=None), "missing:timestamp"),
         (
             order(user_email=None, quantity="x", order_id="o" * 256),
-            "too_long:order_id,missing:user_email,missing:quantity",
+            "too_long:order_id,missing:user_email,invalid:quantity",
         ),
     ],
 )
@@ -92,6 +103,15 @@ def test_values(spark):
     ]
 
 
+def test_wrong_types_of_other_topics(spark):
+    stock = {**SAMPLE["inventory"], "quantity_change": "many"}
+    assert reasons(spark, "inventory", [json.dumps(stock)]) == ["invalid:quantity_change"]
+    only = ['{"quantity": "x"}', '{"quantity": null}']
+    found = reasons(spark, "transactions", only)
+    assert "invalid:quantity" in found[0] and "missing:price" in found[0]
+    assert found[1] == "unreadable"
+
+
 def test_bytes_and_split(spark):
     values = [order(), "{not json", order(quantity=None)]
     binary = raw(spark, values).selectExpr("CAST(value AS BINARY) AS value")
