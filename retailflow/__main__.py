@@ -18,6 +18,7 @@ from retailflow.schemas import EVENTS
 from retailflow.session import configure, scratch_folder
 from retailflow.sources.events import read_files, read_topic
 from retailflow.streaming import jobs
+from retailflow.streaming.progress import Progress
 from retailflow.tables import CURRENT, GATHERED, Tables
 
 
@@ -44,6 +45,10 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     )
     stream.add_argument("--seconds", type=float, help="default: drain what is there and stop")
     stream.add_argument("--every", default="1 minute", help="batch interval with --seconds")
+    stream.add_argument("--keep-files", action="store_true", help="leave read files in place")
+    stream.add_argument(
+        "--daily-keys", action="store_true", help="store what summary --merged reads"
+    )
     stream.add_argument("--limit", help="records (topics) or files per batch; bounds a backlog")
     load = commands.add_parser("load-coordinates", parents=[common])
     load.add_argument("--csv", required=True)
@@ -62,14 +67,24 @@ def stream(tables: Tables, given: argparse.Namespace) -> None:
             limit = {"maxOffsetsPerTrigger": given.limit} if given.limit else {}
             return lambda spark: read_topic(spark, kind, given.servers, **limit)
         limit = {"maxFilesPerTrigger": given.limit} if given.limit else {}
-        return lambda spark: read_files(spark, f"{given.files}/{kind}", **limit)
+        archive = None if given.keep_files else tables.read_folder(kind)
+        return lambda spark: read_files(
+            spark, f"{given.files}/{kind}", archive=archive, **limit
+        )
 
     trigger = {"processingTime": given.every} if given.seconds else None
     sources = {kind: source(kind) for kind in given.kinds}
+    progress = Progress(tables)
     started = jobs.start_all(
-        tables, sources, given.running, trigger=trigger, partitions=given.state_partitions
+        tables,
+        sources,
+        given.running,
+        trigger=trigger,
+        partitions=given.state_partitions,
+        progress=progress,
+        daily=given.daily_keys,
     )
-    jobs.wait(started, given.seconds)
+    jobs.wait(started, given.seconds, progress)
 
 
 def show(frame: DataFrame) -> None:

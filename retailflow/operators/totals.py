@@ -16,17 +16,20 @@ def quantity_by(events: DataFrame, dimension: str) -> DataFrame:
     )
 
 
+def grouping_bits(dimension: str) -> int:
+    """What grouping_id says of a dimension: a bit, first column highest, for every column
+    left out."""
+    keys = DIMENSIONS[dimension]
+    return int("".join("0" if column in keys else "1" for column in KEY_COLUMNS), 2)
+
+
 def quantity_totals(events: DataFrame) -> DataFrame:
     """All four totals from one scan and one shuffle, told apart by ``dimension``.
 
     Key columns outside a row's dimension are NULL. Rows are combined per task
     before the shuffle, so a hot key costs one row per task.
     """
-    names = {}
-    for name, keys in DIMENSIONS.items():
-        # grouping_id sets a bit, first column highest, for every column left out.
-        bits = "".join("0" if column in keys else "1" for column in KEY_COLUMNS)
-        names[int(bits, 2)] = name
+    names = {grouping_bits(name): name for name in DIMENSIONS}
     grouped = events.groupingSets(
         [list(keys) for keys in DIMENSIONS.values()], *KEY_COLUMNS
     ).agg(
@@ -36,3 +39,35 @@ def quantity_totals(events: DataFrame) -> DataFrame:
         *[F.when(F.col("_grouping") == bits, F.lit(name)) for bits, name in names.items()]
     )
     return grouped.select(dimension.alias("dimension"), *KEY_COLUMNS, "quantity")
+
+
+def daily_keys(events: DataFrame) -> DataFrame:
+    """What a day's report needs of a batch: its different orders and users, and its sums.
+
+    Rows of ``kind`` orders and users hold a ``key`` each, rows of kind sums the ``quantity``
+    and ``revenue`` of all events of the day. One scan and one shuffle; keys are combined per
+    task before it.
+    """
+    day = F.to_date("timestamp").alias("day")
+    rows = events.select(
+        day, "order_id", "user_id", "quantity", (F.col("price") * F.col("quantity")).alias("_revenue")
+    )
+    kinds = {0b01: "orders", 0b10: "users", 0b11: "sums"}
+    grouped = rows.groupingSets(
+        [["day", "order_id"], ["day", "user_id"], ["day"]], "day", "order_id", "user_id"
+    ).agg(
+        F.sum("quantity").cast("bigint").alias("quantity"),
+        F.sum("_revenue").cast("decimal(31,2)").alias("revenue"),
+        F.grouping_id().alias("_grouping"),
+    )
+    kind = F.coalesce(
+        *[F.when(F.col("_grouping") == bits, F.lit(name)) for bits, name in kinds.items()]
+    )
+    sums = F.col("_grouping") == 0b11
+    return grouped.select(
+        kind.alias("kind"),
+        "day",
+        F.coalesce("order_id", "user_id").alias("key"),
+        F.when(sums, F.col("quantity")).alias("quantity"),
+        F.when(sums, F.col("revenue")).alias("revenue"),
+    )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from retailflow import fixtures
 from retailflow.operators.totals import DIMENSIONS, KEY_COLUMNS
 from retailflow.plans.reports import LARGE_ORDER, LINES_PER_MESSAGE, NOTHING_FOUND
-from retailflow.schemas import columns
-from retailflow.tables import TRANSACTION_COLUMNS
+from retailflow.schemas import STORED, columns
+from retailflow.tables import GATHERED, TRANSACTION_COLUMNS
 
 DAY = "TIMESTAMP '2001-07-01 00:00:00'"
 CUTOFF = "TIMESTAMP '2001-06-01 00:00:00'"
@@ -130,6 +130,41 @@ def _accepted() -> str:
     return _tx(f"SELECT {_list(shown.values())} FROM tx WHERE quantity NOT IN ({bad})")
 
 
+def _catalog_tables() -> str:
+    """Every column of the catalog's tables, and the rows of a drained topic's."""
+    columns_of = []
+    for table, layout in STORED.items():
+        layout = layout.by("event_year")
+        forms = {table: (layout.read_schema, ("batch_id", *layout.partitions))}
+        if table in GATHERED:
+            parts = (*layout.partitions, "through")
+            forms[f"{table}_gathered"] = (layout.gathered_schema, parts)
+        columns_of += [
+            f"('{name}', '{f.name}', '{f.dataType.simpleString()}', {f.name in parts})"
+            for name, (schema, parts) in forms.items()
+            for f in schema
+        ]
+
+    def distinct(names: str) -> str:
+        return f"(SELECT count(*) FROM (SELECT DISTINCT line_no, {names} FROM tx))"
+
+    totals = " + ".join(distinct(_list(keys)) for keys in DIMENSIONS.values())
+    counts = dict.fromkeys(STORED, "0") | {
+        "transactions_log": "(SELECT count(*) FROM tx)",
+        "quantity_totals": totals,
+        "user_changes": distinct("user_id"),
+        "product_changes": distinct("product_id"),
+    }
+    rows = " UNION ALL ".join(
+        f"""SELECT '{table}' AS "table", CAST({count} AS BIGINT) AS "rows" """
+        for table, count in counts.items()
+    )
+    return _tx(
+        f"""SELECT c.*, n."rows" FROM (VALUES {", ".join(columns_of)})
+AS c("table", "column", type, "partition") LEFT JOIN ({rows}) AS n USING ("table")"""
+    )
+
+
 def _city_rows(key: str, table: str) -> str:
     number = {"s": "s_suppkey", "c": "c_custkey"}[key]
     return f"""SELECT {fixtures.CITY[key]} AS city, r_name AS state, {number} AS line,
@@ -283,6 +318,35 @@ concat('New total orders today: ', ({ORDERS}), ' <br> New user registrations tod
     "large_order_check_stored": _alert(LARGE, LINES_PER_MESSAGE),
     "payment_methods_stored": _tx(_at("SELECT DISTINCT payment_method FROM tx", "last_updated")),
     "shipping_methods_stored": _tx(_at("SELECT DISTINCT shipping_method FROM tx", "last_updated")),
+    "catalog_tables": _catalog_tables(),
+    "transaction_log_sql": _tx(
+        f"SELECT {_list(TRANSACTION_COLUMNS)} FROM tx WHERE timestamp >= {CUTOFF}"
+    ),
+    "transaction_log_archived_source": _tx(f"SELECT {_list(TRANSACTION_COLUMNS)} FROM tx"),
+    "stream_failures": _tx(
+        """SELECT 'transactions' AS stream, 'stopped' AS ended, CAST(NULL AS VARCHAR) AS error_class,
+(SELECT count(*) FROM tx) AS accepted
+UNION ALL SELECT 'clickstream', 'stopped', NULL, (SELECT count(*) FROM events)
+UNION ALL SELECT 'inventory', 'failed', 'FOREACH_BATCH_USER_FUNCTION_ERROR', 0"""
+    ),
+    "running_state": _tx(
+        f"""SELECT 'payment' AS dimension, payment_method AS method, {QUANTITY} AS quantity
+FROM tx GROUP BY payment_method
+UNION ALL SELECT 'shipping', shipping_method, {QUANTITY} FROM tx GROUP BY shipping_method"""
+    ),
+    "daily_summary_merged": _tx(f"SELECT CAST({DAY} AS DATE) AS date, {SUMMARY}"),
+    "users_bucketed": _latest(
+        "user_id",
+        ["user_name", "user_email"],
+        ["line_no", "timestamp", "order_id"],
+        f", {DAY} AS last_updated",
+    ),
+    "products_bucketed": _latest(
+        "product_id",
+        ["category", "price"],
+        ["line_no", "timestamp", "order_id"],
+        f", {DAY} AS last_updated",
+    ),
     "all_topics_counts": _tx(
         "SELECT counted, kind, accepted, rejected "
         f"FROM ({TOPIC_COUNTS}), (VALUES ('metrics'), ('log')) AS c(counted)"

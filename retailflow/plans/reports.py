@@ -40,6 +40,31 @@ def daily_summary(transactions: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
+def daily_summary_merged(keys: DataFrame, as_of: datetime) -> DataFrame:
+    """The row of :func:`daily_summary` from the keys and sums stored with each batch.
+
+    A key that many batches hold counts once: the union of the batches is exact. What is
+    shuffled are the batches' different keys, not the day's rows, and nothing is expanded.
+    All rows logged count, whether or not the archive has taken them.
+    """
+    recent = keys.filter(F.col("day") >= F.to_date(day_start(as_of)))
+    different = recent.groupBy("kind", "key").agg(
+        F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue")
+    )
+    return different.agg(
+        F.count_if(F.col("kind") == "orders").alias("orders"),
+        F.sum("quantity").cast("bigint").alias("total_quantity"),
+        F.sum("revenue").cast("decimal(31,2)").alias("total_revenue"),
+        F.count_if(F.col("kind") == "users").alias("users"),
+    ).select(
+        F.to_date(day_start(as_of)).alias("date"),
+        "orders",
+        "total_quantity",
+        "total_revenue",
+        "users",
+    )
+
+
 def export_row(summary: DataFrame) -> DataFrame:
     """The summary in the types a spreadsheet takes: date as text, revenue as float."""
     return summary.withColumns(

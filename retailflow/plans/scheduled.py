@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from retailflow.catalog import Catalog
 from retailflow.functions.timing import in_utc, instant
 from retailflow.operators.coordinates import new_coordinates
 from retailflow.plans.reports import (
@@ -43,6 +44,21 @@ def load_coordinates(tables: Tables, csv_path: str) -> int:
     return inserted
 
 
+def load_coordinates_once(catalog: Catalog, csv_path: str) -> int:
+    """Load the file if the catalog has no table of loads yet; the number inserted.
+
+    The gate of the one-time load: a catalog that knows the table has been loaded. In a
+    catalog that only lives in one process, the stored marker decides as well.
+    """
+    tables = catalog.tables
+    if catalog.exists("coordinate_loads") or tables.committed("coordinates") >= 0:
+        return 0
+    inserted = load_coordinates(tables, csv_path)
+    catalog.create()
+    catalog.refresh()
+    return inserted
+
+
 def export_daily_summary(tables: Tables, transactions: DataFrame, as_of: datetime) -> DataFrame:
     """Publish the day's summary row, which replaces that day's, and return it.
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retailflow import fixtures
+from retailflow.catalog import Catalog
 from retailflow.functions.parsing import accepted, parse_events, rejected
 from retailflow.operators import latest, totals
 from retailflow.plans import archive, reports, scheduled
 from retailflow.schemas import EVENTS, columns
 from retailflow.session import configure, scratch_folder
 from retailflow.sources.events import read_files
+from retailflow.snapshots import Snapshots
 from retailflow.streaming import jobs
+from retailflow.streaming.progress import Progress
 from retailflow.tables import GATHERED, RUNNING, TRANSACTION_COLUMNS, Tables
 
 AS_OF = datetime(2001, 7, 1)
@@ -223,6 +228,118 @@ def _old_files(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read("transaction_data").select(*TRANSACTION_COLUMNS)
 
 
+def _archived_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches whose files move away once they are read."""
+    tables = _tables(spark)
+    for pattern in fixtures.land_batches(spark, sf, "transactions"):
+        source = lambda s: read_files(s, pattern, archive=tables.read_folder("transactions"))
+        jobs.wait([jobs.start_events(tables, "transactions", source, _clock)])
+    return tables.read("transaction_data").select(*TRANSACTION_COLUMNS)
+
+
+def _catalog(tables: Tables) -> Catalog:
+    """A database of its own for each run, created a second time as a later job would."""
+    catalog = Catalog(tables, f"shop_{uuid.uuid4().hex}")
+    catalog.create()
+    catalog.create()
+    catalog.refresh()
+    return catalog
+
+
+def _catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of the catalog's tables, and the rows a drained topic left in them."""
+    tables = _streamed(spark, sf, "transactions")
+    for name in ("transactions_log", "quantity_totals"):
+        tables.gather(name)
+    catalog = _catalog(tables)
+    return catalog.describe().join(catalog.counts(), "table", "left")
+
+
+def _transaction_log_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The transactions by a name of the catalog, half gathered and partly archived."""
+    tables = _tables(spark)
+    for number, pattern in enumerate(fixtures.land_batches(spark, sf, "transactions")):
+        source = lambda s: read_files(s, pattern)
+        jobs.wait([jobs.start_events(tables, "transactions", source, _clock)])
+        if number == 3:
+            tables.gather("transactions_log")
+    archive.archive_transactions(tables, AS_OF)
+    name = _catalog(tables).name("transaction_data")
+    return spark.sql(f"SELECT {', '.join(TRANSACTION_COLUMNS)} FROM {name}")
+
+
+def _stream_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """One topic of three cannot be read: what is told of each query's end, and its rows."""
+    tables = _tables(spark)
+    landed = {k: fixtures.land(fixtures.records(spark, sf, k), k) for k in EVENTS}
+
+    def source(kind: str) -> jobs.Source:
+        # The files of one topic are not of the format they are announced in.
+        fmt = "parquet" if kind == "inventory" else "text"
+        return lambda s: read_files(s, landed[kind], fmt)
+
+    progress = Progress(tables, _clock)
+    every = {"processingTime": "1 second"}
+    sound = {k: source(k) for k in EVENTS if k != "inventory"}
+    started = jobs.start_all(tables, sound, clock=_clock, trigger=every, progress=progress)
+    for query in started:
+        query.processAllAvailable()
+    started += jobs.start_all(
+        tables, {"inventory": source("inventory")}, clock=_clock, trigger=every, progress=progress
+    )
+    try:
+        jobs.wait(started, progress=progress)
+    except StreamingQueryException:
+        pass  # it is a row now
+    told = tables.read("stream_progress")
+    return told.groupBy("stream").agg(
+        F.max(F.when(F.col("event").isin("failed", "stopped"), F.col("event"))).alias("ended"),
+        F.max("error_class").alias("error_class"),
+        F.coalesce(F.sum("accepted"), F.lit(0)).alias("accepted"),
+    )
+
+
+def _running_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The totals by payment and shipping method in the state store."""
+    tables = _run_totals(spark, sf)
+    frames = [
+        jobs.running_state(tables, dimension).toDF("method", "quantity").select(
+            F.lit(dimension).alias("dimension"), "method", "quantity"
+        )
+        for dimension in ("payment", "shipping")
+    ]
+    return frames[0].unionByName(frames[1])
+
+
+def _daily_summary_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary from the keys of batches, some of them gathered."""
+    tables = _tables(spark)
+    for number, pattern in enumerate(fixtures.land_batches(spark, sf, "transactions")):
+        source = lambda s: read_files(s, pattern)
+        jobs.wait([jobs.start_events(tables, "transactions", source, _clock, daily=True)])
+        if number in (2, 4):
+            tables.gather("daily_keys")
+    return reports.daily_summary_merged(tables.read("daily_keys"), AS_OF)
+
+
+def _bucketed(name: str, *names: str) -> Query:
+    """A current table over a bucketed snapshot, renewed twice, and the changes since."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        tables = _tables(spark)
+        catalog = _catalog(tables)
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        snapshots = Snapshots(catalog, buckets)
+        for number, pattern in enumerate(fixtures.land_batches(spark, sf, "transactions")):
+            source = lambda s: read_files(s, pattern)
+            jobs.wait([jobs.start_events(tables, "transactions", source, _clock)])
+            if number in (1, 3):
+                snapshots.compact(name)
+        return snapshots.current(name).select(*names)
+
+    return query
+
+
 def _all_topics(spark: SparkSession, sf: str) -> DataFrame:
     """The three topics drained side by side: what their metrics and their logs count."""
     tables = _tables(spark)
@@ -411,6 +528,20 @@ QUERIES: dict[str, Query] = {
     "shipping_methods_stored": _from_stream(
         "transactions", "shipping_methods", "shipping_method", "last_updated"
     ),
+    # S6, W5, S5: the session catalog
+    "catalog_tables": _catalog_tables,
+    "transaction_log_sql": _transaction_log_sql,
+    # S1-S3: read files move away
+    "transaction_log_archived_source": _archived_source,
+    # C8
+    "stream_failures": _stream_failures,
+    # T5: the state store read back
+    "running_state": _running_state,
+    # A5, R1 by union of keys
+    "daily_summary_merged": _daily_summary_merged,
+    # K1, K2 over bucketed snapshots
+    "users_bucketed": _bucketed("users", *latest.USER, "last_updated"),
+    "products_bucketed": _bucketed("products", *latest.PRODUCT, "last_updated"),
     # T7, C7, C8
     "all_topics_counts": _all_topics,
 }

@@ -74,6 +74,7 @@ TYPES = {
     "decimal(10,2)": T.DecimalType(10, 2),
     "decimal(10,8)": T.DecimalType(10, 8),
     "decimal(11,8)": T.DecimalType(11, 8),
+    "decimal(31,2)": T.DecimalType(31, 2),
     "variant": T.VariantType(),
 }
 
@@ -147,6 +148,8 @@ PARTITION_TYPES = {
     "batch_id": "bigint",
     "status": "string",
     "dimension": "string",
+    "kind": "string",
+    "event": "string",
     "through": "bigint",
 }
 
@@ -212,6 +215,31 @@ STORED: dict[str, Layout] = {
     "archived_transactions": Layout(
         {**event_types("transactions"), "processed_at": "timestamp"}, (PERIOD,)
     ),
+    # The different keys and the sums of a day in a batch; ``key`` is NULL for sums.
+    "daily_keys": Layout(
+        {
+            "day": "date",
+            "key": "string",
+            "quantity": "bigint",
+            "revenue": "decimal(31,2)",
+            "processed_at": "timestamp",
+        },
+        ("kind", PERIOD),
+    ),
+    "stream_progress": Layout(
+        {
+            "stream": "string",
+            "run_id": "string",
+            "batch": "bigint",
+            "input_rows": "bigint",
+            "accepted": "bigint",
+            "rejected": "bigint",
+            "error_class": "string",
+            "message": "string",
+            "at": "timestamp",
+        },
+        ("event", PERIOD),
+    ),
     "archive_runs": Layout({"cutoff": "timestamp", "through_batch": "bigint"}),
     "daily_reports": Layout(
         {

@@ -39,19 +39,27 @@ def read_topic(
 
 
 def read_files(
-    spark: SparkSession, path: str, fmt: str = "text", stream: bool = True, **options: str
+    spark: SparkSession,
+    path: str,
+    fmt: str = "text",
+    stream: bool = True,
+    archive: str | None = None,
+    **options: str,
 ) -> DataFrame:
     """One JSON record per text line, or a ``value`` column of Parquet files.
 
     On a stream, ``path`` may be a pattern such as ``landing/*`` and
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a batch. No file is too old to
-    be read (``maxFileAge``), so the stream remembers every file it has read; give
-    ``cleanSource="archive"`` with ``sourceArchiveDir`` to move read files away, or a
-    ``maxFileAge`` longer than any backlog, where that list grows too long.
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a batch. Files of finished batches
+    move to the folder ``archive``, on the same file system and outside ``path``, so what a
+    batch lists does not grow with what has been read. No file is too old to be read
+    (``maxFileAge``), so the stream remembers the names of all it has read; give a
+    ``maxFileAge`` longer than any backlog to bound that list.
     """
     if fmt not in FILE_FORMATS:
         raise ValueError(f"format must be one of {FILE_FORMATS}, not {fmt!r}")
     reader = spark.readStream if stream else spark.read
     if stream:
         options.setdefault("maxFileAge", MAX_FILE_AGE)
+        if archive:
+            options.update(cleanSource="archive", sourceArchiveDir=archive)
     return reader.format(fmt).schema("value string").options(**options).load(path)

@@ -16,8 +16,10 @@ from retailflow import files
 from retailflow.functions.parsing import accepted, parse_events
 from retailflow.functions.timing import instant, period_start
 from retailflow.operators.latest import latest_products, latest_users
-from retailflow.operators.totals import quantity_totals
+from retailflow.operators import totals
+from retailflow.operators.totals import daily_keys, quantity_totals
 from retailflow.session import stateful_session
+from retailflow.streaming.progress import Progress
 from retailflow.tables import RUNNING, Tables
 
 Clock = Callable[[], datetime]
@@ -52,12 +54,16 @@ def _stamped(tables: Tables, rows: DataFrame, now: datetime) -> DataFrame:
     return rows.withColumns({"processed_at": instant(now), tables.period_column: period})
 
 
-def derive_tables(tables: Tables, batch_id: int, now: datetime) -> None:
+def derive_tables(
+    tables: Tables, batch_id: int, now: datetime, daily: bool = False
+) -> None:
     """Fill the totals and the current tables from the transactions just logged.
 
+    With ``daily``, the keys and sums of each day as well, for ``daily_summary_merged``.
+
     They read the few columns they need from the written batch: the source is read
     and parsed once, nothing is cached, and a lost executor costs a re-read. The
-    three jobs run side by side, so one's last tasks leave no cores idle.
+    jobs run side by side, so one's last tasks leave no cores idle.
     """
     events = tables.read_batch("transactions_log", batch_id).filter(
         F.col("status") == "accepted"
@@ -69,6 +75,9 @@ def derive_tables(tables: Tables, batch_id: int, now: datetime) -> None:
         "product_changes": latest_products(events, updated),
     }
 
+    if daily:
+        derived["daily_keys"] = _stamped(tables, daily_keys(events), now)
+
     @inheritable_thread_target(tables.spark)
     def write(table: str) -> None:
         tables.write_batch(table, derived[table], batch_id)
@@ -77,7 +86,13 @@ def derive_tables(tables: Tables, batch_id: int, now: datetime) -> None:
         list(pool.map(write, derived))
 
 
-def handle_batch(tables: Tables, kind: str, clock: Clock = utc_now, owner: str | None = None):
+def handle_batch(
+    tables: Tables,
+    kind: str,
+    clock: Clock = utc_now,
+    owner: str | None = None,
+    daily: bool = False,
+):
     """The foreachBatch function of one topic; repeating a batch changes nothing.
 
     A batch is claimed for ``owner`` before anything is written. A stream is one owner over
@@ -93,7 +108,7 @@ def handle_batch(tables: Tables, kind: str, clock: Clock = utc_now, owner: str |
             now = clock()
             write_log(tables, kind, parsed, batch_id, now)
             if kind == "transactions":
-                derive_tables(tables, batch_id, now)
+                derive_tables(tables, batch_id, now, daily)
             tables.commit(kind, batch_id)
         finally:
             tables.release(kind, batch_id)
@@ -142,6 +157,7 @@ def start_events(
     source: Source,
     clock: Clock = utc_now,
     trigger: dict | None = None,
+    daily: bool = False,
 ) -> StreamingQuery:
     """Start the query of one topic; by default it drains what is there and stops.
 
@@ -158,7 +174,7 @@ def start_events(
         .outputMode("append")
         .option("checkpointLocation", _checkpoint(tables, kind))
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(handle_batch(tables, kind, clock, f"stream {kind}"))
+        .foreachBatch(handle_batch(tables, kind, clock, f"stream {kind}", daily))
         .start()
     )
 
@@ -173,6 +189,7 @@ def start_running_totals(
     clock: Clock = utc_now,
     trigger: dict | None = None,
     partitions: int = STATE_PARTITIONS,
+    progress: Progress | None = None,
 ) -> StreamingQuery:
     """Start the stateful query that logs the all-time total of each key a batch touches.
 
@@ -182,14 +199,16 @@ def start_running_totals(
     of keys.
     """
     session = stateful_session(tables.spark, partitions)
+    if progress:
+        progress.attach(session)
     events = accepted(parse_events(source(session), "transactions"))
 
-    def handle(totals: DataFrame, batch_id: int) -> None:
+    def handle(rows: DataFrame, batch_id: int) -> None:
         if batch_id <= tables.committed(RUNNING):
             # A repetition: its state must be computed again, its rows are there.
-            totals.write.format("noop").mode("overwrite").save()
+            rows.write.format("noop").mode("overwrite").save()
             return
-        tables.write_batch(RUNNING, _stamped(tables, totals, clock()), batch_id)
+        tables.write_batch(RUNNING, _stamped(tables, rows, clock()), batch_id)
         tables.commit(RUNNING, batch_id)
 
     return (
@@ -203,6 +222,23 @@ def start_running_totals(
     )
 
 
+def running_state(tables: Tables, dimension: str) -> DataFrame:
+    """The totals as the stateful query's state store holds them, after its last batch.
+
+    Read from the checkpoint, whether or not the query runs: what the next batch will add to.
+    """
+    keys = totals.DIMENSIONS[dimension]
+    state = tables.spark.read.format("statestore").load(tables.checkpoint(RUNNING))
+    bits = totals.grouping_bits(dimension)
+    # The keys of the state are the grouping columns, then the grouping's number.
+    number = state.schema["key"].dataType.names[-1]
+    total = state.schema["value"].dataType.names[0]
+    return state.filter(F.col(f"key.{number}") == bits).select(
+        *[F.col(f"key.{key}").alias(key) for key in keys],
+        F.col(f"value.{total}").cast("bigint").alias("quantity"),
+    )
+
+
 def start_all(
     tables: Tables,
     sources: dict[str, Source],
@@ -210,25 +246,57 @@ def start_all(
     clock: Clock = utc_now,
     trigger: dict | None = None,
     partitions: int = STATE_PARTITIONS,
+    progress: Progress | None = None,
+    daily: bool = False,
 ) -> list[StreamingQuery]:
     """Start the query of every topic in ``sources`` and, if asked for, the running totals."""
+    if progress:
+        progress.attach(tables.spark)
     started = [
-        start_events(tables, kind, source, clock, trigger) for kind, source in sources.items()
+        start_events(tables, kind, source, clock, trigger, daily)
+        for kind, source in sources.items()
     ]
     if running:
         orders = sources["transactions"]
-        started.append(start_running_totals(tables, orders, clock, trigger, partitions))
+        started.append(
+            start_running_totals(tables, orders, clock, trigger, partitions, progress)
+        )
     return started
 
 
-def wait(queries: Iterable[StreamingQuery], seconds: float | None = None) -> None:
-    """Wait for all queries, or stop them after ``seconds``; any failure stops all."""
+# How often what the queries report is stored, in seconds, and how long a look at them is apart
+# without a listener.
+FLUSH, LOOK = 60, 0.2
+
+
+def wait(
+    queries: Iterable[StreamingQuery],
+    seconds: float | None = None,
+    progress: Progress | None = None,
+) -> None:
+    """Wait for all queries, or stop them after ``seconds``; any failure stops all.
+
+    All queries are looked at together: with ``progress``, as soon as it hears that one has
+    ended. It is flushed on the way and at the end, so a failure is a row of
+    ``stream_progress`` by the time it is raised here.
+    """
     queries = list(queries)
     end = None if seconds is None else time.monotonic() + seconds
+    flushed = time.monotonic()
     try:
         while any(query.isActive for query in queries):
-            for query in queries:
-                query.awaitTermination(timeout=0.2)
+            if any(query.exception() is not None for query in queries):
+                break
+            left = FLUSH if end is None else max(0.0, end - time.monotonic())
+            if progress:
+                # Queries that started unseen are still looked at now and then.
+                progress.ended.wait(min(left, 1.0))
+                progress.ended.clear()
+                if time.monotonic() - flushed >= FLUSH:
+                    progress.flush()
+                    flushed = time.monotonic()
+            else:
+                time.sleep(min(left, LOOK))
             if end is not None and time.monotonic() >= end:
                 break
         for query in queries:
@@ -237,3 +305,7 @@ def wait(queries: Iterable[StreamingQuery], seconds: float | None = None) -> Non
     finally:
         for query in queries:
             query.stop()
+        if progress:
+            progress.settle()
+            progress.flush()
+            progress.detach()

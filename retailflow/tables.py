@@ -32,6 +32,8 @@ GATHERED = {
     **{f"{kind}_log": (kind, "timestamp") for kind in EVENTS},
     "quantity_totals": ("transactions", "processed_at"),
     RUNNING: (RUNNING, "processed_at"),
+    "daily_keys": ("transactions", "day"),
+    "stream_progress": ("stream_progress", "at"),
 }
 
 
@@ -124,6 +126,14 @@ class Tables:
 
     # -- writing
 
+    def filed(self, rows: DataFrame, time: str) -> DataFrame:
+        """``rows`` with the folder column of the period of a time."""
+        return rows.withColumn(self.period_column, period_start(F.col(time), self.period))
+
+    def read_folder(self, kind: str) -> str:
+        """Where the files that a topic's stream has read are moved to."""
+        return f"{self.root}/_read/{kind}"
+
     def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
         """Replace one batch of ``table`` by ``rows``, matched to its columns by name."""
         layout = self.layout(table)
@@ -480,6 +490,15 @@ READERS: dict[str, Callable[[Tables], DataFrame]] = {
         *(c for c in STORED["daily_reports"].types if c != "as_of")
     ),
     "alerts": lambda tables: tables.read_stored("alerts", "alerts").drop("batch_id"),
+    "daily_keys": lambda tables: tables.read_stored("daily_keys", "transactions").drop(
+        "batch_id", tables.period_column
+    ),
+    "stream_progress": lambda tables: tables.read_stored(
+        "stream_progress", "stream_progress"
+    ).drop("batch_id", tables.period_column),
+    "stream_failures": lambda tables: tables.read_stored("stream_progress", "stream_progress")
+    .filter(F.col("event") == "failed")
+    .select("stream", "run_id", "error_class", "message", "at"),
     "coordinate_rejects": lambda tables: tables.read_stored(
         "coordinate_rejects", "coordinates"
     ),

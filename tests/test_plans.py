@@ -93,8 +93,13 @@ FORBIDDEN = {
     "mapPartitions", "applyInPandas", "mapInPandas", "cache", "persist", "isEmpty",
     "isEmpty",
 }
-# One-row or per-row-iterator uses: the archive's state row, and printing a report.
-ALLOWED = {("__main__.py", "toLocalIterator"), ("tables.py", "first")}
+# One-row, per-row-iterator or bounded uses.
+ALLOWED = {
+    ("__main__.py", "toLocalIterator"),  # printing a report
+    ("tables.py", "first"),  # the archive's state row
+    ("tables.py", "collect"),  # the period folders that new batches touch
+    ("catalog.py", "collect"),  # the partitions of a table
+}
 
 
 def test_nothing_leaves_spark():
@@ -109,3 +114,72 @@ def test_nothing_leaves_spark():
             ):
                 found_calls.add((path.name, node.attr))
     assert found_calls <= ALLOWED
+
+
+def test_merged_summary_expands_nothing(spark, stored):
+    rows = [order(order_id=f"o{k}", user_id=f"u{k % 3}", quantity=k) for k in range(1, 20)]
+    for batch in (rows[:12], rows[6:]):
+        number = stored.committed("transactions") + 1
+        parsed = jobs.parse_events(raw(spark, batch), "transactions")
+        jobs.handle_batch(stored, "transactions", lambda: NOW, daily=True)(parsed, number)
+    merged = reports.daily_summary_merged(stored.read("daily_keys"), NOW)
+    assert "Expand" not in plan(merged)
+    direct = reports.daily_summary(stored.read("transaction_data").filter("order_id <> 'o1' OR user_id = 'u1'"), NOW)
+    own, other = merged.first(), direct.first()
+    assert (own["orders"], own["users"]) == (19, 3)
+    assert own["total_quantity"] == sum(range(1, 13)) + sum(range(7, 20))
+    assert own["total_revenue"] == own["total_quantity"] * 12.5 and own["date"] == other["date"]
+
+
+def test_folding_a_bucketed_snapshot_moves_changes_only(spark, tmp_path):
+    from retailflow.catalog import Catalog
+    from retailflow.snapshots import Snapshots
+    from retailflow.tables import Tables
+
+    tables = Tables(spark, str(tmp_path / "t"))
+    tables.create()
+    catalog = Catalog(tables, "bucketed")
+    catalog.create()
+    snapshots = Snapshots(catalog, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for batch in range(4):
+        rows = [order(user_id=f"u{k}", user_name=f"n{batch}") for k in range(batch, 40, batch + 1)]
+        jobs.ingest(tables, "transactions", raw(spark, rows), lambda: NOW)
+        if batch in (0, 2):
+            snapshots.compact("users")
+            snapshots.compact("users")
+        folded = snapshots.current("users")
+        assert sorted(folded.collect()) == sorted(tables.read("users").select(folded.columns).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = snapshots.current("users")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    (scan,) = [k for k, line in enumerate(lines) if "Bucketed: true" in line]
+    # What stands above the scan of the snapshot: the lines before it that are less indented.
+    depth, above = lines[scan].index("FileScan"), []
+    for line in reversed(lines[:scan]):
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            above.append(line)
+            depth = at
+    assert any("Join" in line for line in above) and not any("Exchange" in line for line in above)
+    spark.sql("DROP DATABASE bucketed CASCADE")
+
+
+def test_a_bucketed_snapshot_outlives_its_catalog(spark, tmp_path):
+    from retailflow.catalog import Catalog
+    from retailflow.snapshots import Snapshots
+    from retailflow.tables import Tables
+
+    tables = Tables(spark, str(tmp_path / "t"))
+    tables.create()
+    catalog = Catalog(tables, "first_process")
+    catalog.create()
+    jobs.ingest(tables, "transactions", raw(spark, [order(), order(user_id="u2")]), lambda: NOW)
+    Snapshots(catalog, 8).compact("users")
+    spark.sql("DROP DATABASE first_process CASCADE")
+    again = Catalog(tables, "second_process")
+    again.create()
+    assert Snapshots(again, 8).current("users").count() == 2
+    spark.sql("DROP DATABASE second_process CASCADE")

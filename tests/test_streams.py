@@ -12,6 +12,7 @@ from retailflow import files
 from retailflow.schemas import DIMENSIONS, TOPICS, columns
 from retailflow.sources.events import kafka_options, read_files
 from retailflow.streaming import jobs
+from retailflow.streaming.progress import Progress
 from retailflow.tables import RUNNING
 
 
@@ -150,7 +151,7 @@ def test_click_and_inventory_logs(tables, tmp_path):
     assert found(tables.read("inventory_updates"), "product_id", "quantity_change") == [("p1", 3)]
     assert found(tables.read("rejects"), "kind", "reject_reason") == [
         ("clickstream", "unreadable"),
-        ("inventory", "missing:quantity_change"),
+        ("inventory", "invalid:quantity_change"),
     ]
 
 
@@ -197,6 +198,70 @@ def test_running_and_batch_streams_side_by_side(tables, tmp_path):
     assert found(tables.read("sales_by_payment"), "quantity") == [(2,)]
 
 
+def test_read_files_move_away(tables, tmp_path):
+    inbox, archive = tmp_path / "in", tables.read_folder("transactions")
+    source = lambda s: read_files(s, str(inbox), archive=archive)
+    for number in range(3):
+        land(inbox, str(number), [order(order_id=f"o{number}")])
+        jobs.wait([jobs.start_events(tables, "transactions", source, lambda: NOW)])
+    moved = [path.name for path in (tmp_path / "tables/_read").rglob("[0-9]") if path.is_file()]
+    # A batch's files move once the next one is planned.
+    assert {"0", "1"} <= set(moved) and not {"0", "1"} & {p.name for p in inbox.iterdir()}
+    assert tables.read("transaction_data").count() == 3
+
+
+def test_progress_and_failures_are_rows(tables, tmp_path, monkeypatch):
+    clicks, orders = tmp_path / "clicks", tmp_path / "orders"
+    land(clicks, "1", [json.dumps(CLICK), "{bad"])
+    land(orders, "1", [order()])
+    progress = Progress(tables, lambda: NOW)
+    source = lambda folder: lambda s: read_files(s, str(folder))
+    endless = {"processingTime": "1 second"}
+    started = jobs.start_all(
+        tables, {"clickstream": source(clicks)}, clock=lambda: NOW, trigger=endless, progress=progress
+    )
+    started[0].processAllAvailable()
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(jobs, "derive_tables", fail)
+    started += jobs.start_all(
+        tables, {"transactions": source(orders)}, running=True, clock=lambda: NOW, trigger=endless,
+        partitions=2, progress=progress,
+    )
+    begin = time.monotonic()
+    with pytest.raises(Exception, match="lost"):
+        jobs.wait(started, progress=progress)
+    assert time.monotonic() - begin < 60 and not any(query.isActive for query in started)
+    told = tables.read("stream_progress")
+    batches = told.filter("event = 'progress' AND input_rows > 0 AND stream = 'clickstream'")
+    assert found(batches, "batch", "input_rows", "accepted", "rejected") == [(0, 2, 1, 1)]
+    ends = told.filter("event IN ('stopped', 'failed')")
+    assert found(ends, "stream", "event") == [
+        ("clickstream", "stopped"), ("running_totals", "stopped"), ("transactions", "failed"),
+    ]
+    (failure,) = tables.read("stream_failures").collect()
+    assert failure["error_class"] == "FOREACH_BATCH_USER_FUNCTION_ERROR"
+    assert "lost" in failure["message"] and failure["stream"] == "transactions"
+    assert failure["run_id"] == str(started[1].runId)
+    tables.gather("stream_progress")
+    assert tables.read("stream_progress").count() == told.count()
+
+
+def test_state_is_read_back(tables, tmp_path):
+    inbox = tmp_path / "in"
+    for name, quantity in (("1", 2), ("2", 5)):
+        land(inbox, name, [order(quantity=quantity), order(quantity=1, city="Waco")])
+        source = lambda s: read_files(s, str(inbox))
+        jobs.wait([jobs.start_running_totals(tables, source, lambda: NOW, partitions=2)])
+    for dimension in DIMENSIONS:
+        assert found(jobs.running_state(tables, dimension)) == found(
+            tables.running(dimension).drop("processed_at")
+        )
+    assert found(jobs.running_state(tables, "city"), "city", "quantity") == [("Austin", 7), ("Waco", 2)]
+
+
 def test_any_failure_stops_all(tables, tmp_path, monkeypatch):
     inbox = tmp_path / "in"
     land(inbox, "1", [json.dumps(CLICK)])
