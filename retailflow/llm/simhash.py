@@ -118,6 +118,8 @@ def links(fingerprints: DataFrame, distance: int = DISTANCE, pairs: int = PAIRS)
     )
     rows = fingerprints.select("fp", F.explode(keys).alias("k")).select("fp", "k.*")
     sizes = rows.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Stored, so that the join splits a hot key.
+    sizes = stored(sizes, "simhash-sizes")
     crowded = stored(rows.join(sizes, ["kind", "key"]), "simhash-keys")
     few = crowded.filter(F.col("n") <= pairs)
     left = few.select("kind", "key", F.col("fp").alias("a"))
