@@ -2,6 +2,9 @@
 
 import functools
 import random
+import time
+
+import pytest
 
 from retailflow.llm import common, token_counts
 
@@ -26,13 +29,26 @@ def test_messy_rows(messy, messy_rows):
 def test_chunks_splice_to_the_whole():
     rng = random.Random(3)
     counts = token_counts.WordCounts(library())
-    alphabets = ["ab é'st\n\t.!", "abc", "ab1 ", "漢字 。", "a\x1c \x85é́", "<|endoftext|> "]
+    alphabets = ["ab é'st\n\t.!", "abc", "ab1 ", "漢字 。", "漢かカ한。，ﾞ\u3099", "か\u3099カ、！'s<|", "a\x1c \x85é́", "<|endoftext|> "]
     for n in range(400):
         text = "".join(rng.choices(rng.choice(alphabets), k=rng.randrange(30, 400)))
         found = token_counts.count(text, counts, chunk=rng.choice((20, 50, 90)), overlap=8)
         assert found == plain(text), (n, text)
 
 
+@pytest.mark.parametrize("part", ["漢字かな", "漢字、かな。", "абв", "a!", "ไทย", "é"])
+def test_long_texts_without_ascii_space(part):
+    """At the real chunk size, equal to the library and within a few times its own time."""
+    text = part * (1_000_000 // len(part))
+    begin = time.monotonic()
+    wanted = plain(text)
+    alone = time.monotonic() - begin
+    counts = token_counts.WordCounts(library())
+    begin = time.monotonic()
+    assert token_counts.count(text, counts) == wanted
+    assert time.monotonic() - begin < 5 * alone + 1
+
+
 def test_words_of_every_space():
     counts = token_counts.WordCounts(library())
     for code in (*range(0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x2010), 0x2028, 0x202F, 0x3000):
