@@ -4,27 +4,35 @@ Texts are sequences of words in lower case, as 64-bit hashes. A document and a t
 compared if they share a seed, ``MATCH`` words in a row. For such a pair, tiling repeatedly marks
 the longest matches that overlap no marked word of either side, found by running Karp-Rabin
 hashes at falling lengths; the item's share of marked words is its coverage. Tiles may stand in
-any order, so a passage with its sentences reordered is covered like the original.
+any order, so a passage with its sentences reordered is covered like the original. One tile of
+``LONG`` words is an excerpt and condemns a document too, however long the item is.
 
-The documents are read once. Their seeds pass a Bloom filter of the items' seeds, whose size is
-a parameter and does not grow with either table; what it lets through by chance is dropped by
-the join with the seeds. So few words of clean documents are shuffled, and no text. A row of
+The documents are read once. Their seeds pass a Bloom filter of the items' seeds, of 16 bits a
+seed and 2 ** ``BLOOM_BITS`` at most; what it lets through by chance is dropped by the join with
+the seeds. So few words of clean documents are shuffled, and no text. A row of
 the tiling holds the passing stretches of one document and one item.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import heapq
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from retailflow.llm.common import checkpointed, row_number, stored
-
-#: Words of a seed and of the shortest tile; share of an item's words that condemns a document.
-MATCH, COVERAGE = 5, 0.6
-#: Bits of the Bloom filter: 2 MB, whatever the benchmark's size.
-BLOOM_BITS = 24
+from retailflow.llm.common import (
+    bloom_filter,
+    bloom_hits,
+    checkpointed,
+    row_number,
+    stored,
+)
+
+#: Words of a seed and of the shortest tile; share of an item's words that condemns a document,
+#: and words of a single tile that do.
+MATCH, COVERAGE, LONG = 5, 0.6, 30
+#: The largest Bloom filter has 2 ** BLOOM_BITS bits: 32 MB.
+BLOOM_BITS = 28
 #: Words whose hashes a worker keeps, and characters it works on at a time.
 CACHE, SLICE = 300_000, 1 << 20
 
@@ -63,86 +71,79 @@ def rolling(words, length: int):
         return (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def bloom_places(seeds, bits: int):
-    """Two places in the filter for each seed."""
+def _maximal(left, right, shortest: int) -> list[tuple[int, int, int]]:
+    """(-length, place in left, place in right) of every match of ``shortest`` words or more
+    that no equal words before or behind would make longer.
+
+    A word of the right side is compared with all places of the left that have its window's
+    hash. Places that go on a match are left out, so a word repeated on both sides is as many
+    matches as the sides have words, not as many as their product.
+    """
     import numpy as np
 
-    mask = np.uint64((1 << bits) - 1)
-    return seeds & mask, (seeds >> np.uint64(64 - bits)) & mask
+    one, two = rolling(left, shortest), rolling(right, shortest)
+    order = np.argsort(one, kind="stable")
+    ranked = one[order]
+    first = np.searchsorted(ranked, two, side="left")
+    behind = np.searchsorted(ranked, two, side="right")
+    places, others = [], []
+    for other in np.flatnonzero(behind > first).tolist():
+        own = order[first[other] : behind[other]]
+        if other:
+            before = np.where(own > 0, left[own - 1] == right[other - 1], False)
+            own = own[~before]
+        places.append(own)
+        others.append(np.full(len(own), other))
+    if not places:
+        return []
+    place, other = np.concatenate(places), np.concatenate(others)
+    length = np.full(len(place), shortest)
+    going = np.arange(len(place))
+    while len(going):
+        a, b = place[going] + length[going], other[going] + length[going]
+        inside = (a < len(left)) & (b < len(right))
+        going, a, b = going[inside], a[inside], b[inside]
+        going = going[left[a] == right[b]]
+        length[going] += 1
+    # A window's hash may agree by chance.
+    good = [
+        np.array_equal(left[a : a + shortest], right[b : b + shortest])
+        for a, b in zip(place, other, strict=True)
+    ]
+    rows = zip((-length).tolist(), place.tolist(), other.tolist(), good, strict=True)
+    return [(n, a, b) for n, a, b, same in rows if same]
 
 
 def tiles(left, right, shortest: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (place in left, place in right, length) of the marked matches."""
+    """Greedy string tiling: (place in left, place in right, length) of the marked matches.
+
+    The longest match is marked, then the longest that overlaps no marked word, and so on;
+    ties by place. What marked words leave of a match waits as matches of its own.
+    """
     import numpy as np
 
     free = [np.ones(len(left), dtype=bool), np.ones(len(right), dtype=bool)]
+    waiting = _maximal(left, right, shortest)
+    heapq.heapify(waiting)
     marked = []
-
-    def windows(words, open_, size):
-        """Windows of ``size`` words that hold no marked word: (place, hash)."""
-        hashes = rolling(words, size)
-        sums = np.concatenate(([0], np.cumsum(open_)))
-        places = np.flatnonzero(sums[size:] - sums[:-size] == size) if len(hashes) else ()
-        return [(int(p), int(hashes[p])) for p in places]
-
-    size = max(shortest, min(len(left), len(right)) // 2)
-    while True:
-        by_hash = defaultdict(list)
-        for place, value in windows(right, free[1], size):
-            by_hash[value].append(place)
-        matches = []
-        for place, value in windows(left, free[0], size) if by_hash else ():
-            for other in by_hash.get(value, ()):
-                length = 0
-                while (
-                    place + length < len(left)
-                    and other + length < len(right)
-                    and left[place + length] == right[other + length]
-                    and free[0][place + length]
-                    and free[1][other + length]
-                ):
-                    length += 1
-                if length >= size:
-                    matches.append((-length, place, other))
-        matches.sort()
-        again = False
-        for length, place, other in matches:
-            length = -length
-            if free[0][place : place + length].all() and free[1][other : other + length].all():
-                free[0][place : place + length] = False
-                free[1][other : other + length] = False
-                marked.append((place, other, length))
-            else:
-                again = True
-        # A match cut by a longer one may still hold a shorter one of this size or more.
-        if again and any(
-            free[0][p : p + size].all() and free[1][o : o + size].all() for _, p, o in matches
-        ):
+    while waiting:
+        length, place, other = heapq.heappop(waiting)
+        length = -length
+        open_ = free[0][place : place + length] & free[1][other : other + length]
+        if open_.all():
+            free[0][place : place + length] = False
+            free[1][other : other + length] = False
+            marked.append((place, other, length))
             continue
-        if size == shortest:
-            return sorted(marked)
-        size = max(shortest, size // 2)
+        if open_.any():
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], open_, [False]))))
+            for start, end in edges.reshape(-1, 2).tolist():
+                if end - start >= shortest:
+                    heapq.heappush(waiting, (start - end, place + start, other + start))
+    return sorted(marked)
 
 
-def _bloom(seeds: DataFrame, bits: int) -> bytes:
-    """The filter's bits, gathered on the executors; at most 2 ** bits of them."""
-    import numpy as np
-
-    pieces = (
-        seeds.select(F.explode(F.array("bloom1", "bloom2")).alias("at"))
-        .select((F.col("at") + 1).alias("at"))  # buckets count from 1
-        .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-    )
-    bitmap = np.zeros((1 << bits) // 8 + 4096, dtype=np.uint8)
-    width = 4096  # bytes of a bucket
-    for row in pieces.collect():
-        start = (row["bucket"] - 1) * width
-        bitmap[start : start + width] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return bitmap.tobytes()
-
-
-def _items(benchmark: DataFrame, match: int, bits: int) -> tuple[DataFrame, DataFrame]:
+def _items(benchmark: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
     """The items with their words' hashes, and a row for each of their seeds."""
 
     def read(batches):
@@ -150,7 +151,7 @@ def _items(benchmark: DataFrame, match: int, bits: int) -> tuple[DataFrame, Data
         import numpy as np
 
         for batch in batches:
-            words, seeds, times, one, two = [], [], [], [], []
+            words, seeds, times = [], [], []
             for text in batch.column(2):
                 found = find((text.as_py() or "").lower())
                 words.append(np.array([hashes[w] for w in found], dtype=np.uint64).view(np.int64))
@@ -158,14 +159,11 @@ def _items(benchmark: DataFrame, match: int, bits: int) -> tuple[DataFrame, Data
                     rolling(words[-1].view(np.uint64), match), return_counts=True
                 )
                 times.append(count)
-                places = bloom_places(seed, bits)
                 seeds.append(seed.view(np.int64))
-                one.append(places[0].view(np.int64))
-                two.append(places[1].view(np.int64))
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (words, seeds, times, one, two)]
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (words, seeds, times)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *lists],
-                names=["item", "item_id", "words", "seeds", "times", "bloom1", "bloom2"],
+                names=["item", "item_id", "words", "seeds", "times"],
             )
 
     rows = benchmark.select(
@@ -173,13 +171,11 @@ def _items(benchmark: DataFrame, match: int, bits: int) -> tuple[DataFrame, Data
         F.col("item_id").cast("string").alias("item_id"),
         F.col("text").cast("string").alias("text"),
     )
-    types = "item long, item_id string, words array<long>, " + ", ".join(
-        f"{c} array<long>" for c in ("seeds", "times", "bloom1", "bloom2")
-    )
+    types = "item long, item_id string, words array<long>, seeds array<long>, times array<long>"
     items = stored(rows.mapInArrow(read, types), "benchmark-items")
-    zipped = F.explode(F.arrays_zip("seeds", "times", "bloom1", "bloom2")).alias("s")
+    zipped = F.explode(F.arrays_zip("seeds", "times")).alias("s")
     seeds = items.select("item", F.size("words").alias("n"), zipped).select(
-        "item", "n", F.col("s.seeds").alias("seed"), "s.times", "s.bloom1", "s.bloom2"
+        "item", "n", F.col("s.seeds").alias("seed"), "s.times"
     )
     return items, seeds
 
@@ -194,14 +190,6 @@ def _stretches(rows: DataFrame, bloom: bytes, match: int, bits: int) -> DataFram
         hashes, find = WordHashes(), word_finder()
         bitmap = np.frombuffer(bloom, dtype=np.uint8)
 
-        def passing(seeds):
-            kept = np.flatnonzero(hit(seeds, 0))
-            return kept[hit(seeds[kept], 1)] if len(kept) else kept
-
-        def hit(seeds, which):
-            at = bloom_places(seeds, bits)[which]
-            return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
         def slices(texts):
             part, size = [], 0
             for text in texts:
@@ -221,7 +209,7 @@ def _stretches(rows: DataFrame, bloom: bytes, match: int, bits: int) -> DataFram
                 )
                 firsts = np.concatenate(([0], np.cumsum(sizes)))
                 rolled = rolling(every, match)
-                hits = passing(rolled)
+                hits = bloom_hits(bitmap, bits, rolled)
                 owner = np.searchsorted(firsts, hits, side="right") - 1
                 inside = hits + match <= firsts[owner + 1]  # not across two texts
                 hits, owner = hits[inside], owner[inside]
@@ -272,15 +260,18 @@ def _tiled(words: pa.Array, places: pa.Array, item: pa.Array, match: pa.Array) -
 
 
 def _verdicts(
-    rows: DataFrame, benchmark: DataFrame, match: int, coverage: float, bits: int
+    rows: DataFrame, benchmark: DataFrame, match: int, coverage: float, long: int, bits: int | None
 ) -> tuple[DataFrame, DataFrame]:
-    """The documents' stretches, and their pairs with items covered enough."""
-    items, item_seeds = _items(benchmark, match, bits)
-    bloom = _bloom(item_seeds, bits)
+    """The documents' stretches, and their pairs with items that condemn them."""
+    items, item_seeds = _items(benchmark, match)
+    if bits is None:
+        bits = min(BLOOM_BITS, max(16, (16 * item_seeds.count()).bit_length()))
+    bloom = bloom_filter(item_seeds.select("seed"), bits)
     stretches = stored(_stretches(rows, bloom, match, bits), "stretches")
     seeds = stretches.select("row", F.explode("seeds").alias("seed"))
     # A tile of n words starts n - match + 1 seeds of the item, so at least n / match of them.
-    need = F.ceil(F.col("n") * coverage / match)
+    # A long tile starts all of its own.
+    need = F.least(F.ceil(F.col("n") * coverage / match), F.lit(max(1, long - match + 1)))
     pairs = (
         seeds.join(item_seeds.select("item", "n", "seed", "times"), "seed")
         .groupBy("row", "item", "n")
@@ -299,7 +290,10 @@ def _verdicts(
             (F.col("found.covered") / F.size("item_words")).alias("coverage"),
             "found.spans",
         )
-        .filter(F.col("coverage") >= coverage)
+        .filter(
+            (F.col("coverage") >= coverage)
+            | F.exists("spans", lambda s: s["end"] - s["start"] >= long)
+        )
     )
     return stretches, tiled
 
@@ -309,10 +303,11 @@ def contamination(
     benchmark: DataFrame,
     match: int = MATCH,
     coverage: float = COVERAGE,
-    bits: int = BLOOM_BITS,
+    long: int = LONG,
+    bits: int | None = None,
 ) -> DataFrame:
     """A row for each of ``docs``: ``doc_id``, ``n_words``, ``n_items`` (test items with enough
-    coverage), ``item_id`` and ``coverage`` of the one covered most (ties: the least id),
+    coverage or a long tile), ``item_id`` and ``coverage`` of the one covered most (ties: the least id),
     ``spans`` (start:end of its tiles in words, comma-joined) and ``contaminated``.
 
     Null texts have no words. An item of fewer than ``match`` words, null texts included, has no
@@ -326,7 +321,7 @@ def contamination(
         F.col("text").cast("string").alias("text"),
     )
     # The rows are numbered in the one scan that writes the stretches.
-    stretches, tiled = _verdicts(rows, benchmark, match, coverage, bits)
+    stretches, tiled = _verdicts(rows, benchmark, match, coverage, long, bits)
     best = F.struct((-F.col("coverage")).alias("c"), "item_id", "spans")
     span = F.transform("best.spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
     worst = tiled.groupBy("row").agg(F.count(F.lit(1)).alias("n_items"), F.min(best).alias("best"))
@@ -350,14 +345,15 @@ def drop_contaminated(
     benchmark: DataFrame,
     match: int = MATCH,
     coverage: float = COVERAGE,
-    bits: int = BLOOM_BITS,
+    long: int = LONG,
+    bits: int | None = None,
 ) -> DataFrame:
-    """The rows of ``docs`` that cover no test item enough, with all their columns."""
+    """The rows of ``docs`` that no test item condemns, with all their columns."""
     rows = checkpointed(docs.select(row_number().alias("row"), F.struct("*").alias("doc")))
     texts = rows.select(
         "row",
         F.col("doc.doc_id").cast("long").alias("doc_id"),
         F.col("doc.text").cast("string").alias("text"),
     )
-    _, tiled = _verdicts(texts, benchmark, match, coverage, bits)
+    _, tiled = _verdicts(texts, benchmark, match, coverage, long, bits)
     return rows.join(tiled.select("row").distinct(), "row", "left_anti").select("doc.*")

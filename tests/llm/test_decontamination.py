@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 
@@ -41,16 +42,26 @@ def test_tiles():
             np.array(left, dtype=np.uint64), np.array(right, dtype=np.uint64), 3
         )
         wanted = plain_tiles(left, right, 3)
-        for a, b, n in found:
-            assert left[a : a + n] == right[b : b + n] and n >= 3
-        assert len({p for a, _, n in found for p in range(a, a + n)}) == sum(n for *_, n in found)
-        assert len({p for _, b, n in found for p in range(b, b + n)}) == sum(n for *_, n in found)
-        # nothing of the least length is left, and the longest was taken
-        if wanted:
-            assert max(n for *_, n in found) == max(n for *_, n in wanted)
-        rest_l = [None if any(a <= k < a + n for a, _, n in found) else x for k, x in enumerate(left)]
-        rest_r = [0 if any(b <= k < b + n for _, b, n in found) else x for k, x in enumerate(right)]
-        assert plain_tiles(rest_l, rest_r, 3) == []
+        assert found == wanted
+
+
+def test_repeated_words_do_not_stall():
+    for left, right in (([7] * 20_000, [7] * 500), ([7, 8] * 10_000, [8, 7] * 250), ([7] * 500, [7] * 20_000)):
+        begin = time.monotonic()
+        found = decontamination.tiles(np.array(left, dtype=np.uint64), np.array(right, dtype=np.uint64), 5)
+        assert time.monotonic() - begin < 4
+        assert sum(n for *_, n in found) >= 499
+
+
+def test_an_excerpt_of_a_long_item_condemns(spark):
+    item = [f"w{k}" for k in range(500)]
+    docs = [(n, " ".join(["before"] + item[100 : 100 + n] + ["after"])) for n in (29, 30, 250)]
+    found = decontamination.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"),
+    )
+    assert {r["doc_id"] for r in found.filter("contaminated").collect()} == {30, 250}
+    assert rows(found) == wanted(docs, [(1, " ".join(item))])
 
 
 def words(text):
@@ -66,8 +77,9 @@ def brute(docs, items):
         for item_id, item in items:
             right = words(item)
             if any(tuple(right[k : k + 5]) in grams for k in range(len(right) - 4)):
-                covered = sum(n for *_, n in plain_tiles(own, right, 5)) / len(right)
-                if covered >= decontamination.COVERAGE:
+                tiles = [n for *_, n in plain_tiles(own, right, 5)]
+                covered = sum(tiles) / len(right)
+                if covered >= decontamination.COVERAGE or max(tiles) >= decontamination.LONG:
                     best.append((-covered, "" if item_id is None else str(item_id)))
         found[row] = (len(own), len(best), min(best, default=(0, None)))
     return sorted(
