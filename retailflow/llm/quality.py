@@ -18,9 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retailflow.llm.common import row_number, stored
 
-#: ``SHARE`` is for callers who also want a share of the host, such as the SQL check: up to 200
-#: documents of a host it changes nothing, as ``LEAST`` is the higher bound there.
-SHARE, LEAST, LEFT = 0.1, 20, 0.5
+#: Documents of a host that may hold a line; share of its words that a document must keep.
+LEAST, LEFT = 20, 0.5
 #: Hosts of up to ``LEAST`` documents: share and least number of them that hold a boilerplate line.
 SMALL_SHARE, SMALL_LEAST = 0.5, 3
 #: Base rules: least words; words of a window; percent of words in repeated windows.

@@ -23,7 +23,7 @@ def numbers(text):
     )
 
 
-def brute(rows, share=quality.SHARE, least=quality.LEAST):
+def brute(rows, share=0.0, least=quality.LEAST):
     """rows: doc_id, text, host."""
     def key(line):
         return tuple(WORD.findall(re.sub("[0-9]", "0", line.lower())))
@@ -37,9 +37,17 @@ def brute(rows, share=quality.SHARE, least=quality.LEAST):
     found = []
     for doc_id, text, host in rows:
         n, *rest = numbers(text or "")
-        limit = max(least, share * len(texts[host]))
+        size = len(texts[host])
+
+        def boilerplate(n, size=size):
+            if n > least and n > share * size:
+                return True
+            return size <= least and n >= quality.SMALL_LEAST and n > quality.SMALL_SHARE * size
+
         gone = sum(
-            len(key(x)) for x in (text or "").split("\n") if key(x) and len(held[host, key(x)]) > limit
+            len(key(x))
+            for x in (text or "").split("\n")
+            if key(x) and boilerplate(len(held[host, key(x)]))
         )
         failed = n < 20 or 100 * rest[-1] > 30 * n
         found.append(str((doc_id, n, *rest, failed, not failed and n - gone >= 0.5 * n, gone)))
@@ -103,6 +111,8 @@ def test_small_hosts(spark):
     assert {0, 4} == set(wanted.values())
     data += [(len(data) + k, f"{line}\n" + own_words(0), "copies") for k in range(15)]
     assert removed(spark, data) == wanted | {k: 0 for k in range(len(wanted), len(data))}
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    assert rows(quality.assess(docs)) == brute(data)
 
 
 def test_repeated_windows(spark):
