@@ -43,7 +43,7 @@ def brute(rows):
     found = []
     for doc_id, text, _ in rows:
         of_base = base(text or "")
-        spans = of_base + [s for s in mixed(text or "") if len(owners[s[3]]) == 1]
+        spans = of_base + [s for s in mixed(text or "") if len(owners[s[3]]) < secrets.WIDE]
         kinds = [s[1] for s in of_base]
         live = sum(len(owners[s[3]]) < secrets.WIDE for s in spans)
         digest = hashlib.sha256(join(of_base).encode()).hexdigest()
