@@ -68,6 +68,14 @@ TEMPLATES = {
     ],
 }
 
+# Function words, which say nothing about a license.
+COMMON = (
+    "a and any are as by following for in is it may met not of on or subject that the to under "
+    "v with without you"
+).split()
+#: Words of a notice as it may stand in a text, against its template.
+STRETCH = 1.25
+
 #: Between words: ASCII that is neither a digit nor a letter.
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -117,6 +125,27 @@ def _template_rows(templates: dict[str, list[str]]) -> list[tuple[int, str, list
     return [(k, label, sorted(set(text.split()))) for k, (label, text) in enumerate(flat)]
 
 
+def reach(templates: list[str]) -> int:
+    """The words that the longest template may take in a text."""
+    return math.ceil(STRETCH * max(len(text.split()) for text in templates))
+
+
+def _cut(blocks: Column, size: int) -> Column:
+    """``blocks`` (arrays of words), the long ones as blocks of ``2 * size`` words that overlap
+    by half, in which any ``size`` words in a row are together."""
+    return F.flatten(
+        F.transform(
+            blocks,
+            lambda words: F.when(F.size(words) <= 2 * size, F.array(words)).otherwise(
+                F.transform(
+                    F.sequence(F.lit(0), F.size(words) - size - 1, F.lit(size)),
+                    lambda k: F.slice(words, k + 1, F.lit(2 * size)),
+                )
+            ),
+        )
+    )
+
+
 def _need(words: list, share: float) -> int:
     """How many of a template's different words meet it."""
     return math.ceil(share * len(words) - 1e-9)
@@ -183,11 +212,17 @@ def _scan(
     anywhere = "(?i)" + "|".join(f"(?:{_phrase_pattern(p)})" for p in phrases)
     places = F.when(F.col("words").isNotNull(), _places(F.col("words"), phrases))
     known = F.array(*[F.lit(w) for w in sorted({w for words in sets for w in words})])
+    size = reach(texts)
+
+    whole = F.transform(
+        F.split(F.lower("text"), "\n", -1),
+        lambda line: F.when(
+            # 2 * size words have as many letters and a sign between each: no cut is needed.
+            F.length(line) < 4 * size, F.array(F.split(line, _BETWEEN, -1))
+        ).otherwise(_cut(F.array(F.array_remove(F.split(line, _BETWEEN, -1), "")), size)),
+    )
     blocks = F.filter(
-        F.transform(
-            F.split(F.lower("text"), "\n", -1),
-            lambda line: F.array_intersect(F.split(line, _BETWEEN, -1), known),
-        ),
+        F.transform(F.flatten(whole), lambda words: F.array_intersect(words, known)),
         lambda words: F.size(words) > 0,
     )
     # A text with too few words of every template has no run that meets one.
@@ -201,7 +236,10 @@ def _scan(
     )
     runs = F.when(
         F.col("lines").isNotNull(),
-        F.transform(_runs(F.col("lines"), _pairs(texts)), lambda x: F.array_intersect(x, known)),
+        F.transform(
+            _cut(_runs(F.col("lines"), _pairs(texts)), size),
+            lambda x: F.array_intersect(x, known),
+        ),
     )
     split = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")
@@ -275,8 +313,15 @@ def _meeting(
     # Fixed tables: their size follows from the templates alone.
     ranks = F.create_map(*[F.lit(x) for w, k in order.items() for x in (w, k)])
     sets = spark.createDataFrame(
-        [(k, sorted(order[w] for w in words)) for k, _, words in templates],
-        "template int, set array<int>",
+        [
+            (
+                k,
+                sorted(order[w] for w in words),
+                sorted(order[w] for w in words if w not in COMMON),
+            )
+            for k, _, words in templates
+        ],
+        "template int, set array<int>, telling array<int>",
     )
     sized = (
         blocks.filter(F.size("words") >= least)
@@ -297,10 +342,13 @@ def _meeting(
         .groupBy("row", "block", "template")
         .agg(F.first("set").alias("block_set"), F.first("label").alias("label"))
     )
-    shared = F.size(F.array_intersect("block_set", "set")) / F.size("set")
+    def held(words: str) -> Column:
+        return F.size(F.array_intersect("block_set", words))
+
     return (
         candidates.join(F.broadcast(sets), "template")
-        .select("row", "block", "label", shared.alias("containment"))
+        .filter(held("telling") >= share * F.size("telling") - 1e-9)
+        .select("row", "block", "label", (held("set") / F.size("set")).alias("containment"))
         .filter(F.col("containment") >= share - 1e-9)
     )
 

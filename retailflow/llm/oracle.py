@@ -32,6 +32,16 @@ def _licenses() -> str:
             (label, text) for label, texts in licenses.TEMPLATES.items() for text in texts
         )
     )
+    texts = [text for label in licenses.TEMPLATES.values() for text in label]
+    reach, edge = licenses.reach(texts), range(licenses.EDGE)
+    quoted = [f"'{word}'" for word in licenses.COMMON]
+    common = ", ".join(quoted)
+    pairs = ", ".join(f"'{pair}'" for pair in licenses._pairs(texts))
+    beside = ", ".join(
+        f"'{i} {j} ' || before[len(before) - {i}] || ' ' || words[{j + 1}]"
+        for i in edge
+        for j in edge
+    )
     return rf"""
 WITH {_ROWS},
 worded AS (
@@ -45,18 +55,43 @@ base_rows AS (
         list(DISTINCT label) AS base_labels
     FROM base GROUP BY r
 ),
+lines AS (
+    SELECT r, k, regexp_extract_all(lower(line), '{word}') AS words
+    FROM (SELECT r, unnest(string_split(text, chr(10))) AS line,
+        unnest(range(len(string_split(text, chr(10))))) AS k FROM docs)
+),
+broken AS (
+    SELECT r, k, words, coalesce(list_has_any([{beside}], [{pairs}]), false) AS goes_on
+    FROM (SELECT *, lag(words) OVER (PARTITION BY r ORDER BY k) AS before FROM lines)
+),
+numbered AS (
+    SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY k) AS run
+    FROM broken
+),
+runs AS (
+    SELECT r, flatten(list(words ORDER BY k)) AS words FROM numbered
+    GROUP BY r, run HAVING count(*) > 1
+),
+whole AS (SELECT r, words FROM lines UNION ALL SELECT r, words FROM runs),
 blocks AS (
-    SELECT r, list_distinct(regexp_extract_all(lower(line), '{word}')) AS block
-    FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)
+    SELECT r, list_distinct(words) AS block FROM whole WHERE len(words) <= {2 * reach}
+    UNION ALL
+    SELECT r, list_distinct(words[k + 1:k + {2 * reach}]) FROM (
+        SELECT r, words, unnest(range(0, len(words) - {reach}, {reach})) AS k
+        FROM whole WHERE len(words) > {2 * reach}
+    )
 ),
 templates AS (
-    SELECT label, list_distinct(string_split(template, ' ')) AS wanted
+    SELECT label, list_distinct(string_split(template, ' ')) AS wanted,
+        list_filter(list_distinct(string_split(template, ' ')),
+            lambda w: NOT list_contains([{common}], w)) AS telling
     FROM (VALUES {templates}) AS t(n, label, template)
 ),
 met AS (
     SELECT r, label, len(list_intersect(block, wanted)) / len(wanted) AS containment
     FROM blocks, templates
     WHERE len(list_intersect(block, wanted)) >= {licenses.CONTAINMENT} * len(wanted) - 1e-9
+        AND len(list_intersect(block, telling)) >= {licenses.CONTAINMENT} * len(telling) - 1e-9
 ),
 met_rows AS (
     SELECT r, list(DISTINCT label) AS met, max(containment) AS containment FROM met GROUP BY r
@@ -106,7 +141,8 @@ boilerplate AS (
     FROM keyed JOIN sizes ON keyed.host IS NOT DISTINCT FROM sizes.host
     GROUP BY keyed.host, line, documents
     HAVING count(DISTINCT text) > {quality.LEAST}
-        AND count(DISTINCT text) > {quality.SHARE} * documents
+        OR (documents <= {quality.LEAST} AND count(DISTINCT text) >= {quality.SMALL_LEAST}
+            AND count(DISTINCT text) > {quality.SMALL_SHARE} * documents)
 ),
 gone AS (
     SELECT r, CAST(sum(n) AS BIGINT) AS words_removed
@@ -162,7 +198,7 @@ owned AS (
 ),
 spans AS (
     SELECT r, kind, owners, start, format('{{}}:{{}}:{{}}', name, start, stop) AS span
-    FROM matches JOIN owned USING (value) WHERE kind NOT IN ({added}) OR owners = 1
+    FROM matches JOIN owned USING (value) WHERE kind NOT IN ({added}) OR owners < {secrets.WIDE}
 ),
 joined AS (
     SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,

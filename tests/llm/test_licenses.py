@@ -1,5 +1,7 @@
 """License scans against words counted one by one."""
 
+import math
+import random
 import re
 import textwrap
 
@@ -12,6 +14,41 @@ def ascii_lower(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
 
 
+TEXTS = [t for label in licenses.TEMPLATES.values() for t in label]
+
+
+def goes_on(before, line):
+    """Whether some template has a word near the end of one line, then one near the start of the next."""
+    for text in TEXTS:
+        words = text.split()
+        for i in range(2):
+            for j in range(2):
+                if len(before) <= i or len(line) <= j:
+                    continue
+                for k, word in enumerate(words):
+                    if word == before[-1 - i] and line[j] in words[k + i + 1 : k + i + j + 4]:
+                        return True
+    return False
+
+
+def blocks(text):
+    lines = [WORD.findall(line) for line in text.lower().split("\n")]
+    runs = []
+    for k, line in enumerate(lines):
+        if k and goes_on(lines[k - 1], line):
+            runs[-1].append(line)
+        else:
+            runs.append([line])
+    whole = lines + [sum(run, []) for run in runs if len(run) > 1]
+    size = math.ceil(1.25 * max(len(t.split()) for t in TEXTS))
+    for words in whole:
+        if len(words) <= 2 * size:
+            yield words
+        else:
+            for k in range(0, len(words) - size, size):
+                yield words[k : k + 2 * size]
+
+
 def brute(doc_id, text, share=licenses.CONTAINMENT):
     words = WORD.findall(ascii_lower(text or ""))
     places, base = [], set()
@@ -22,13 +59,13 @@ def brute(doc_id, text, share=licenses.CONTAINMENT):
                 places.append(k)
                 base.add(label)
     labels, best = set(base), 1.0 if places else 0.0
-    for line in (text or "").split("\n"):
-        block = set(WORD.findall(line.lower()))
+    for block in map(set, blocks(text or "")):
         for label, texts in licenses.TEMPLATES.items():
             for template in texts:
                 wanted = set(template.split())
                 held = len(block & wanted) / len(wanted)
-                if held >= share - 1e-9:
+                telling = wanted - set(licenses.COMMON)
+                if held >= share - 1e-9 and len(block & telling) >= share * len(telling) - 1e-9:
                     labels.add(label)
                     best = max(best, held)
     ends = (min(places), max(places)) if places else (None, None)
@@ -93,6 +130,36 @@ def test_wrapped_notices(spark):
     assert missed == []
     assert (found[0]["labels"], found[0]["score"], found[0]["n_base"]) == ("bsd", 1.0, 0)
     assert found[-1]["labels"] == found[-2]["labels"] == ""
+    assert rows(licenses.scan_licenses(docs)) == sorted(str(brute(i, t)) for i, t in data)
+
+
+def test_plain_english_gets_no_label(spark):
+    """Precision: texts without a notice, made of the notices' own function words and more."""
+    rng = random.Random(9)
+    sentence = "if you use this file you may see that it is not in the list except with the owner"
+    page = ("you may find in this file what is not in use except with the help of others and "
+            "the list that any of the people in the office are to read by the end of the day ") * 5
+    words = licenses.COMMON + "file use this work program version software people day house".split()
+    texts = [sentence, page, sentence.replace(" ", "\n", 9)]
+    texts += [" ".join(rng.choices(words, k=rng.randrange(10, 300))) for _ in range(300)]
+    data = list(enumerate(texts))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = licenses.scan_licenses(docs)
+    assert found.filter("labels <> ''").count() == 0
+    assert rows(found) == sorted(str(brute(i, t)) for i, t in data)
+
+
+def test_notices_in_long_lines(spark):
+    rng = random.Random(10)
+    words = "alpha beta gamma license file use the of and to".split()
+    data = []
+    for text in TEXTS * 3:
+        before, after = (" ".join(rng.choices(words, k=rng.randrange(0, 250))) for _ in range(2))
+        data.append((len(data), f"{before} {text} {after}"))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = licenses.scan_licenses(docs)
+    assert found.filter("labels = ''").count() == 0
+    assert rows(found) == sorted(str(brute(i, t)) for i, t in data)
 
 
 def test_query(spark, small_documents):
