@@ -39,7 +39,7 @@ START = "▁"
 
 
 def read_pieces(path: str) -> list[str]:
-    """The vocabulary's pieces of letters, with the mark of a word's start."""
+    """The vocabulary's pieces of letters and marks, with the mark of a word's start."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -48,7 +48,7 @@ def read_pieces(path: str) -> list[str]:
         for k in range(model.get_piece_size())
         if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k))
     }
-    kept = {p for p in pieces if (p.removeprefix(START) or "x").isalpha() and p == p.lower()}
+    kept = {p for p in pieces if _LETTERS(p.removeprefix(START)) and p == p.lower()}
     return sorted(kept | {START})
 
 
@@ -63,7 +63,13 @@ def _find():
     return regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 
 
-_WORDS = _find()
+def _letters():
+    import regex
+
+    return regex.compile(r"[\p{L}\p{M}]+").fullmatch
+
+
+_WORDS, _LETTERS = _find(), _letters()
 
 
 class Lattice:
@@ -130,23 +136,55 @@ class Lattice:
         return np.bincount(own[self.ends] * size + self.pieces, weights=flow)
 
 
-def _long_word(automaton, strange: int, word: str, logs):
-    """The forward pass of one long word in logarithms."""
+def _long_arcs(automaton, strange: int, word: str) -> list[tuple]:
+    """For each place of one word behind its start, where the pieces that end there begin, and
+    which they are, as arrays."""
     import numpy as np
 
     marked = START + word
     arcs: list[list[tuple[int, int]]] = [[] for _ in range(len(marked) + 1)]
     for end, (piece, size) in automaton.iter(marked):
         arcs[end + 1].append((end + 1 - size, piece))
-    alpha = np.full((len(marked) + 1, logs.shape[1]), -np.inf)
-    alpha[0] = 0
-    for end in range(1, len(alpha)):
+    made = []
+    for end in range(1, len(arcs)):
         ways = arcs[end]
         if not any(end - start == 1 for start, _ in ways):
             ways = [*ways, (end - 1, strange)]
-        starts, pieces = np.array(ways).T
+        made.append(tuple(np.array(ways).T))
+    return made
+
+
+def _long_forward(arcs: list[tuple], logs):
+    """The forward pass of one long word in logarithms, a row for each place."""
+    import numpy as np
+
+    alpha = np.full((len(arcs) + 1, logs.shape[1]), -np.inf)
+    alpha[0] = 0
+    for end, (starts, pieces) in enumerate(arcs, 1):
         alpha[end] = np.logaddexp.reduce(alpha[starts] + logs[pieces], axis=0)
-    return alpha[-1]
+    return alpha
+
+
+def _long_word(automaton, strange: int, word: str, logs):
+    return _long_forward(_long_arcs(automaton, strange, word), logs)[-1]
+
+
+def _long_expected(automaton, strange: int, word: str, logs):
+    """Expected pieces in a random segmentation of one long word, by one language's ``logs``."""
+    import numpy as np
+
+    arcs = _long_arcs(automaton, strange, word)
+    alpha = _long_forward(arcs, logs[:, None])[:, 0]
+    beta = np.full(len(alpha), -np.inf)
+    beta[-1] = 0
+    found = np.zeros(len(logs))
+    for end in range(len(arcs), 0, -1):
+        starts, pieces = arcs[end - 1]
+        ways = logs[pieces] + beta[end]
+        # The starts of the pieces that end at one place differ.
+        beta[starts] = np.logaddexp(beta[starts], ways)
+        found[pieces] += np.exp(alpha[starts] + ways - alpha[-1])
+    return found
 
 
 class Scorer:
@@ -272,7 +310,6 @@ def train(
     words = (
         rows.select("text", "lang")
         .mapInArrow(count, "lang string, word string, n long")
-        .filter(F.length("word") <= LONG)
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
     )
@@ -289,8 +326,17 @@ def train(
                 texts, counts = batch.column(1).to_pylist(), batch.column(2).to_numpy()
                 if not len(texts):
                     continue
-                made = scorer.lattice(texts)
-                found = made.expected(scorer.probability, langs, counts, size)
+                for lang, word, n in zip(langs, texts, counts, strict=True):
+                    if len(word) > LONG:
+                        found = _long_expected(
+                            scorer.automaton, scorer.strange, word, scorer.logs[:, lang]
+                        )
+                        total[lang * size : (lang + 1) * size] += n * found
+                short = [k for k, word in enumerate(texts) if len(word) <= LONG]
+                if not short:
+                    continue
+                made = scorer.lattice([texts[k] for k in short])
+                found = made.expected(scorer.probability, langs[short], counts[short], size)
                 total[: len(found)] += found
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(

@@ -66,6 +66,41 @@ def test_expected_pieces():
     assert np.allclose(found, wanted[: len(found)])
 
 
+def test_expected_pieces_of_long_words():
+    pieces, probability = model()
+    scorer = language.Scorer(pieces, probability)
+    size = len(pieces) + 1
+    for word in ("abab", "xab", "abcabaabba"):
+        made = scorer.lattice([word])
+        for k in range(3):
+            wanted = made.expected(scorer.probability, np.array([k]), np.array([1]), size)
+            found = language._long_expected(
+                scorer.automaton, scorer.strange, word, scorer.logs[:, k]
+            )
+            assert np.allclose(found[: len(wanted) - k * size], wanted[k * size :])
+            assert np.allclose(found[len(wanted) - k * size :], 0)
+
+
+def test_long_words_teach(spark):
+    """A language written without spaces is learned from its long words alone."""
+    thai, lao = "ภาษาไทยเป็นภาษาที่มีระดับเสียงของคำแน่นอน", "ພາສາລາວເປັນພາສາທາງການຂອງສາທາລະນະລັດ"
+    assert min(len(thai), len(lao)) > language.LONG
+    rows = [(k, t, l) for k, (t, l) in enumerate([(thai, "th"), (lao, "lo")] * 5)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trained = language.train(labelled)
+    texts = spark.createDataFrame([(1, thai[5:35]), (2, lao[5:35])], "doc_id long, text string")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(texts, trained).collect()}
+    assert found[1][0] == "th" and found[2][0] == "lo" and min(s for _, s in found.values()) > 0.9
+
+
+def test_pieces_keep_marks():
+    from retailflow.llm import common
+
+    pieces = language.read_pieces(common.vocabulary("piece_bpe_32k.model"))
+    assert any(language._LETTERS(p) and not p.isalpha() for p in pieces)
+    assert all(language._LETTERS(p.removeprefix(language.START)) for p in pieces if p != language.START)
+
+
 def test_cache_reset_gives_the_same(monkeypatch):
     pieces, probability = model()
     texts = ["ab ba a", "c ab", "", "12", "aba ab abab " * 5, "ba" * 30]
