@@ -51,6 +51,30 @@ def test_the_seed_shuffles(spark):
     assert order[0] == order[1] != order[2]
 
 
+@pytest.mark.parametrize("shards, seed", [(7, 42), (40, 3)])
+def test_order_by_brute_force(spark, shards, seed):
+    """Fractional ranks, their order and the cuts, computed one by one."""
+    rows = [(k, f"t{k % 50}", (None, "hot", "hot", f"s{k % 9}")[k % 4]) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    columns = "doc_id", "source", "crc32(CAST(text AS BINARY)) AS c", "CAST(length(text) + 16 AS BIGINT) AS s"
+    hashed = docs.selectExpr(*columns).selectExpr(
+        "doc_id", "source", f"xxhash64({seed}, doc_id, c, s) AS shuffled"
+    )
+    by_source = defaultdict(list)
+    for r in hashed.collect():
+        by_source[r["source"] or ""].append((r["shuffled"], r["doc_id"]))
+    placed = []
+    for source, members in by_source.items():
+        for k, (shuffled, doc_id) in enumerate(sorted(members)):
+            placed.append(((k + 0.5) / len(members), source, shuffled, doc_id))
+    total, wanted, starts = len(placed), {}, {}
+    for n, (*_, doc_id) in enumerate(sorted(placed)):
+        shard = n * shards // total
+        wanted[doc_id] = (shard, n - starts.setdefault(shard, n))
+    found = sharding.interleave(docs, shards, seed).collect()
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in found} == wanted
+
+
 def test_empty_table(nothing):
     assert sharding.interleave(nothing).count() == 0
 
