@@ -36,10 +36,11 @@ def _lines(text: Column) -> Column:
 def _lined(row: Column, doc_id: Column, text: Column) -> list[Column]:
     """``row``, ``doc_id`` and ``lines``: of each line with a word its place among all lines,
     its id and its number of words."""
-    outer = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+    # Not by a pattern: one that looks for the end tries every place of a long inner run.
+    outer = F.lit(" \t\n\x0b\f\r")
     trimmed = F.transform(
         _lines(text),
-        lambda x, k: F.struct(k.alias("line"), F.regexp_replace(x, outer, "").alias("value")),
+        lambda x, k: F.struct(k.alias("line"), F.btrim(x, outer).alias("value")),
     )
     lines = F.transform(
         F.filter(trimmed, lambda x: x["value"] != ""),
