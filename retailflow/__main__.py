@@ -52,7 +52,11 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--limit", help="records (topics) or files per batch; bounds a backlog")
     load = commands.add_parser("load-coordinates", parents=[common])
     load.add_argument("--csv", required=True)
-    for name in ("summary", "activity", "archive"):
+    summary = commands.add_parser("summary", parents=[timed])
+    summary.add_argument(
+        "--merged", action="store_true", help="from the keys that stream --daily-keys stores"
+    )
+    for name in ("activity", "archive"):
         commands.add_parser(name, parents=[timed])
     alert = commands.add_parser("alert", parents=[timed])
     alert.add_argument("--threshold", type=int, default=scheduled.LARGE_ORDER)
@@ -67,7 +71,9 @@ def stream(tables: Tables, given: argparse.Namespace) -> None:
             limit = {"maxOffsetsPerTrigger": given.limit} if given.limit else {}
             return lambda spark: read_topic(spark, kind, given.servers, **limit)
         limit = {"maxFilesPerTrigger": given.limit} if given.limit else {}
-        archive = None if given.keep_files else tables.read_folder(kind)
+        # Two queries read the transactions then: neither may move what the other has to read.
+        shared = given.running and kind == "transactions"
+        archive = None if given.keep_files or shared else tables.read_folder(kind)
         return lambda spark: read_files(
             spark, f"{given.files}/{kind}", archive=archive, **limit
         )
@@ -105,7 +111,8 @@ def main(words: list[str] | None = None) -> None:
         case "load-coordinates":
             print(scheduled.load_coordinates(tables, given.csv))
         case "summary":
-            show(scheduled.export_daily_summary(tables, tables.read("transaction_data"), as_of))
+            rows = tables.read("transaction_data")
+            show(scheduled.export_daily_summary(tables, rows, as_of, given.merged))
         case "activity":
             show(scheduled.activity_update(tables, as_of))
         case "alert":

@@ -14,6 +14,7 @@ from retailflow.plans.reports import (
     LINES_PER_MESSAGE,
     activity_message,
     daily_summary,
+    daily_summary_merged,
     export_row,
     large_order_alert,
     large_orders,
@@ -59,13 +60,22 @@ def load_coordinates_once(catalog: Catalog, csv_path: str) -> int:
     return inserted
 
 
-def export_daily_summary(tables: Tables, transactions: DataFrame, as_of: datetime) -> DataFrame:
+def export_daily_summary(
+    tables: Tables, transactions: DataFrame, as_of: datetime, merged: bool = False
+) -> DataFrame:
     """Publish the day's summary row, which replaces that day's, and return it.
 
+    ``merged`` takes it from the keys that the stream stored with each batch, instead of
+    from the transactions.
+
     A row is a run of its own, there for readers once its marker is: they see the day's
     former row until then.
     """
-    row = export_row(daily_summary(transactions, as_of)).withColumn("as_of", instant(as_of))
+    if merged:
+        summary = daily_summary_merged(tables.read("daily_keys"), as_of)
+    else:
+        summary = daily_summary(transactions, as_of)
+    row = export_row(summary).withColumn("as_of", instant(as_of))
     run = tables.committed("daily_reports") + 1
     tables.write_batch("daily_reports", row, run)
     tables.commit("daily_reports", run)

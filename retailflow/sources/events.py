@@ -51,7 +51,8 @@ def read_files(
     On a stream, ``path`` may be a pattern such as ``landing/*`` and
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a batch. Files of finished batches
     move to the folder ``archive``, on the same file system and outside ``path``, so what a
-    batch lists does not grow with what has been read. No file is too old to be read
+    batch lists does not grow with what has been read; no other stream may read ``path`` then,
+    it would miss them. No file is too old to be read
     (``maxFileAge``), so the stream remembers the names of all it has read; give a
     ``maxFileAge`` longer than any backlog to bound that list.
     """

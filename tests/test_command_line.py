@@ -22,6 +22,7 @@ def test_a_day_of_jobs(spark, tmp_path, capsys):
 
     inputs = ("--files", str(tmp_path / "inbox"), "--kinds", "transactions", "--limit", "1")
     run("stream", *inputs, "--running", "--state-partitions", "2")
+    assert (inbox / "1").exists()  # two queries read it
     assert run("load-coordinates", "--csv", str(places)) == "1"
     as_of = ("--as-of", "2024-03-01T15:00:00")
     assert run("summary", *as_of) == "2024-03-01\t1\t150\t1875.0\t1"
@@ -38,6 +39,20 @@ def test_a_day_of_jobs(spark, tmp_path, capsys):
     assert run("summary", *as_of) == "2024-03-01\t1\t150\t1875.0\t1"
 
 
+def test_files_move_and_the_merged_summary(spark, tmp_path, capsys):
+    root, inbox = str(tmp_path / "tables"), tmp_path / "inbox" / "transactions"
+    inbox.mkdir(parents=True)
+    for number in range(3):
+        (inbox / str(number)).write_text(order(order_id=f"o{number % 2}", quantity=number + 1))
+        main(["stream", "--root", root, "--files", str(tmp_path / "inbox"), "--kinds", "transactions", "--daily-keys"])
+    assert not (inbox / "0").exists() and not (inbox / "1").exists()
+    for more in ([], ["--merged"]):
+        main(["summary", "--root", root, "--as-of", "2024-03-01T15:00:00", *more])
+    first, second = capsys.readouterr().out.strip().splitlines()
+    assert first == second == "2024-03-01\t2\t6\t75.0\t1"
+    assert Tables(spark, root).read("stream_progress").filter("event = 'stopped'").count() == 3
+
+
 def test_a_source_is_needed():
     with pytest.raises(SystemExit):
         arguments(["stream", "--root", "x"])
