@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retailflow import files
 from retailflow.llm import decontamination, language, line_dedup, packing, simhash
 from retailflow.session import scratch_folder
 
@@ -53,10 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over ``documents``."""
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Every stage over ``documents``; a stage's rows are deleted once the next one's are
+    written, so two copies of the corpus are there at a time."""
+    rows, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_folder(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, rows, sf_dir).write.parquet(path)
         rows = spark.read.parquet(path)
+        if before:
+            files.delete(spark, before)
+        before = path
     return rows

@@ -1,5 +1,7 @@
 """The pipeline against the brute-force versions of its stages, one after the other."""
 
+import os
+
 import corpus_pipeline
 from llm import test_decontamination, test_line_dedup, test_packing, test_simhash
 from retailflow.llm import line_dedup
@@ -36,6 +38,9 @@ def test_run_equals_the_stages_by_brute_force(spark, small_documents):
     found = corpus_pipeline.run(spark, tables).collect()
     assert {r["doc_id"] for r in found} == set(wanted) and 0 < len(wanted) < len(rows)
     test_packing.checked(found, wanted, 2048)
+    shared = f"{spark.conf.get('spark.checkpoint.dir')}/retailflow"
+    stages = [p for p in os.listdir(shared) if p.startswith("pipeline-")]
+    assert {p.split("-")[1] for p in stages} == {"packing"}  # the others' rows are deleted
 
 
 def test_every_stage_but_the_last_keeps_the_columns(spark, messy, tmp_path):
