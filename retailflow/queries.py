@@ -194,6 +194,11 @@ def _archive_live(spark: SparkSession, sf: str, gathered: bool = False) -> DataF
 # -- streams
 
 def _streamed(spark: SparkSession, sf: str, kind: str) -> Tables:
+    """What a drained topic leaves behind."""
+    return _drained(spark, sf, kind)
+
+
+def _drained(spark: SparkSession, sf: str, kind: str) -> Tables:
     """Drain the batches of a topic one by one, starting anew on the same checkpoint."""
     tables = _tables(spark)
     for pattern in fixtures.land_batches(spark, sf, kind):
@@ -248,7 +253,7 @@ def _catalog(tables: Tables) -> Catalog:
 
 def _catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
     """The columns of the catalog's tables, and the rows a drained topic left in them."""
-    tables = _streamed(spark, sf, "transactions")
+    tables = _drained(spark, sf, "transactions")
     for name in ("transactions_log", "quantity_totals"):
         tables.gather(name)
     catalog = _catalog(tables)
