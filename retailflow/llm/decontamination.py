@@ -5,7 +5,16 @@ compared if they share a seed, ``MATCH`` words in a row. For such a pair, tiling
 the longest matches that overlap no marked word of either side, found by running Karp-Rabin
 hashes at falling lengths; the item's share of marked words is its coverage. Tiles may stand in
 any order, so a passage with its sentences reordered is covered like the original. One tile of
-``LONG`` words is an excerpt and condemns a document too, however long the item is.
+``LONG`` words is an excerpt and condemns a document too, however long the item is. An item of
+fewer than ``MATCH`` words is one seed, and so is a document of so few: such an item condemns the
+documents that consist of its words, in its order, and nothing longer.
+
+A seed that many items share, such as the words a question begins with, would be joined with
+every document that holds it. So each item leaves out its costliest seeds, by documents times
+items, as many as could not condemn a document alone: their windows cover too few of its words
+and no ``LONG`` of them in a row. Whatever it condemns has one of its other seeds, and so many of
+them as are needed to make up the rest. A seed of one item is never left out. That is exact, and
+pairs are listed only for telling seeds.
 
 The documents are read once. Their seeds pass a Bloom filter of the items' seeds, of 16 bits a
 seed and 2 ** ``BLOOM_BITS`` at most; what it lets through by chance is dropped by the join with
@@ -71,6 +80,51 @@ def rolling(words, length: int):
         return (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def seed_hashes(words, match: int):
+    """The hash of every ``match`` words in a row; of fewer words, one hash of them all."""
+    return rolling(words, min(match, max(1, len(words))))
+
+
+def reach(windows, match: int) -> tuple[int, int]:
+    """How many words the marked windows of ``match`` words cover, and how many in one row of
+    windows, which is the longest tile they allow."""
+    import numpy as np
+
+    if not windows.any():
+        return 0, 0
+    covered = np.convolve(windows, np.ones(match, dtype=np.int64)) > 0
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], windows, [0]))))
+    return int(covered.sum()), int((edges[1::2] - edges[::2]).max()) + match - 1
+
+
+def may_condemn(windows, match: int, coverage: float, long: int) -> bool:
+    """Whether tiles inside the marked windows of an item could condemn a document."""
+    covered, longest = reach(windows, match)
+    return covered >= coverage * (len(windows) + match - 1) - 1e-9 or longest >= long
+
+
+def left_out(words, costly, match: int, coverage: float, long: int) -> tuple[int, int]:
+    """How many of the ``costly`` seeds of an item, the costliest first, are left out, and how
+    many seeds, counting repeats, a condemned document shares of the others at least."""
+    import math
+
+    import numpy as np
+
+    windows = seed_hashes(words, match)
+    match = min(match, len(words))
+    low, high = 0, len(costly)
+    while low < high:  # more seeds never condemn less
+        middle = (low + high + 1) // 2
+        if may_condemn(np.isin(windows, costly[:middle]), match, coverage, long):
+            high = middle - 1
+        else:
+            low = middle
+    gone = np.isin(windows, costly[:low])
+    rest = coverage * len(words) - reach(gone, match)[0]
+    need = min(math.ceil(rest / match - 1e-9), long - match + 1 - int(gone.sum()))
+    return low, max(1, need)
+
+
 def _maximal(left, right, shortest: int) -> list[tuple[int, int, int]]:
     """(-length, place in left, place in right) of every match of ``shortest`` words or more
     that no equal words before or behind would make longer.
@@ -156,7 +210,7 @@ def _items(benchmark: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
                 found = find((text.as_py() or "").lower())
                 words.append(np.array([hashes[w] for w in found], dtype=np.uint64).view(np.int64))
                 seed, count = np.unique(
-                    rolling(words[-1].view(np.uint64), match), return_counts=True
+                    seed_hashes(words[-1].view(np.uint64), match), return_counts=True
                 )
                 times.append(count)
                 seeds.append(seed.view(np.int64))
@@ -174,9 +228,7 @@ def _items(benchmark: DataFrame, match: int) -> tuple[DataFrame, DataFrame]:
     types = "item long, item_id string, words array<long>, seeds array<long>, times array<long>"
     items = stored(rows.mapInArrow(read, types), "benchmark-items")
     zipped = F.explode(F.arrays_zip("seeds", "times")).alias("s")
-    seeds = items.select("item", F.size("words").alias("n"), zipped).select(
-        "item", "n", F.col("s.seeds").alias("seed"), "s.times"
-    )
+    seeds = items.select("item", zipped).select("item", F.col("s.seeds").alias("seed"), "s.times")
     return items, seeds
 
 
@@ -214,9 +266,19 @@ def _stretches(rows: DataFrame, bloom: bytes, match: int, bits: int) -> DataFram
                 inside = hits + match <= firsts[owner + 1]  # not across two texts
                 hits, owner = hits[inside], owner[inside]
                 bounds = np.searchsorted(owner, np.arange(len(part) + 1))
+                short = np.flatnonzero((sizes > 0) & (sizes < match))
+                wholes = [seed_hashes(every[firsts[k] : firsts[k + 1]], match)[0] for k in short]
+                wholes = np.array(wholes, dtype=np.uint64)
+                passed = bloom_hits(bitmap, bits, wholes)
+                whole = dict(zip(short[passed].tolist(), wholes[passed], strict=True))
                 for k in range(len(part)):
                     own = hits[bounds[k] : bounds[k + 1]]
                     counts.append(int(sizes[k]))
+                    if k in whole:
+                        words.append(every[firsts[k] : firsts[k + 1]].view(np.int64))
+                        places.append(np.arange(sizes[k]))
+                        seeds.append(np.array([whole[k]], dtype=np.uint64).view(np.int64))
+                        continue
                     if not len(own):
                         words.append([])
                         places.append([])
@@ -244,21 +306,84 @@ def _stretches(rows: DataFrame, bloom: bytes, match: int, bits: int) -> DataFram
     return rows.select("row", "doc_id", "text").mapInArrow(read, types)
 
 
-def _tiled(words: pa.Array, places: pa.Array, item: pa.Array, match: pa.Array) -> pa.Array:
-    """Of each pair the item's words in tiles, and the tiles' places in the text."""
+def _tiled(
+    words: pa.Array, places: pa.Array, item: pa.Array, match: pa.Array, coverage: pa.Array,
+    long: pa.Array,
+) -> pa.Array:
+    """Of each pair the item's words in tiles, and the tiles' places in the text; nothing where
+    the shared windows cannot condemn."""
     import numpy as np
 
     found = []
-    for w, p, i, m in zip(words, places, item, match, strict=True):
+    for w, p, i, m, c, n in zip(words, places, item, match, coverage, long, strict=True):
         left, right = (np.array(x.as_py(), dtype=np.int64).view(np.uint64) for x in (w, i))
-        at = p.as_py()
-        marked = tiles(left, right, m.as_py())
+        at, least, marked = p.as_py(), min(m.as_py(), len(right)), []
+        shared = np.isin(rolling(right, least), rolling(left, least))
+        if may_condemn(shared, least, c.as_py(), n.as_py()):
+            marked = tiles(left, right, least)
         spans = [{"start": at[a], "end": at[a] + n} for a, _, n in marked]
         found.append({"covered": sum(n for _, _, n in marked), "spans": spans})
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     return pa.array(found, pa.struct([("covered", pa.int64()), ("spans", pa.list_(span))]))
 
 
+def _telling(
+    items: DataFrame, item_seeds: DataFrame, seeds: DataFrame, match: int, coverage: float, long: int
+) -> DataFrame:
+    """``item``, ``need``, ``seed``, ``times`` of the seeds that items do not leave out."""
+
+    def choose(words: pa.Array, costly: pa.Array) -> pa.Array:
+        import numpy as np
+
+        found = []
+        for w, c in zip(words, costly, strict=True):
+            own, most = (np.array(x.as_py(), dtype=np.int64).view(np.uint64) for x in (w, c))
+            gone, need = left_out(own, most, match, coverage, long) if len(own) else (0, 1)
+            found.append({"gone": most[:gone].view(np.int64).tolist(), "need": need})
+        return pa.array(found, pa.struct([("gone", pa.list_(pa.int64())), ("need", pa.int64())]))
+
+    # Both counts combine in the tasks; stored, so that the join splits a seed of many items.
+    shared = item_seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("items")).filter("items > 1")
+    held = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("docs"))
+    costs = shared.join(held, "seed").select("seed", (F.col("docs") * F.col("items")).alias("cost"))
+    costs = stored(costs, "seed-costs")
+    # One list for each item, of its own seeds: no longer than its text.
+    costly = (
+        item_seeds.join(costs, "seed")
+        .groupBy("item")
+        .agg(F.sort_array(F.collect_list(F.struct("cost", "seed")), asc=False).alias("costly"))
+    )
+    none = F.array().cast("array<bigint>")
+    chosen = (
+        items.join(costly, "item", "left")
+        .withColumn("costly", F.coalesce("costly.seed", none))
+        .withColumn("c", F.arrow_udf(choose, "struct<gone:array<long>,need:long>")("words", "costly"))
+    )
+    kept = F.filter(
+        F.arrays_zip("seeds", "times"), lambda s: ~F.array_contains("c.gone", s["seeds"])
+    )
+    chosen = stored(chosen.select("item", F.col("c.need").alias("need"), kept.alias("kept")), "telling")
+    return chosen.select("item", "need", F.explode("kept").alias("s")).select(
+        "item", "need", F.col("s.seeds").alias("seed"), "s.times"
+    )
+
+
+def candidates(
+    items: DataFrame, item_seeds: DataFrame, stretches: DataFrame, match: int, coverage: float,
+    long: int,
+) -> DataFrame:
+    """``row`` and ``item`` of the pairs that share enough telling seeds."""
+    seeds = stretches.select("row", F.explode("seeds").alias("seed"))
+    telling = _telling(items, item_seeds, seeds, match, coverage, long)
+    return (
+        seeds.join(telling, "seed")
+        .groupBy("row", "item", "need")
+        .agg(F.sum("times").alias("shared"))
+        .filter(F.col("shared") >= F.col("need"))
+        .select("row", "item")
+    )
+
+
 def _verdicts(
     rows: DataFrame, benchmark: DataFrame, match: int, coverage: float, long: int, bits: int | None
 ) -> tuple[DataFrame, DataFrame]:
@@ -268,22 +393,13 @@ def _verdicts(
         bits = min(BLOOM_BITS, max(16, (16 * item_seeds.count()).bit_length()))
     bloom = bloom_filter(item_seeds.select("seed"), bits)
     stretches = stored(_stretches(rows, bloom, match, bits), "stretches")
-    seeds = stretches.select("row", F.explode("seeds").alias("seed"))
-    # A tile of n words starts n - match + 1 seeds of the item, so at least n / match of them.
-    # A long tile starts all of its own.
-    need = F.least(F.ceil(F.col("n") * coverage / match), F.lit(max(1, long - match + 1)))
-    pairs = (
-        seeds.join(item_seeds.select("item", "n", "seed", "times"), "seed")
-        .groupBy("row", "item", "n")
-        .agg(F.sum("times").alias("shared"))
-        .filter(F.col("shared") >= need)
-    )
+    pairs = candidates(items, item_seeds, stretches, match, coverage, long)
     tiling = F.arrow_udf(_tiled, "struct<covered:long,spans:array<struct<start:long,end:long>>>")
+    limits = [F.lit(match), F.lit(float(coverage)), F.lit(long)]
     tiled = (
-        pairs.select("row", "item")
-        .join(stretches.select("row", "words", "places"), "row")
+        pairs.join(stretches.select("row", "words", "places"), "row")
         .join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
-        .withColumn("found", tiling("words", "places", "item_words", F.lit(match)))
+        .withColumn("found", tiling("words", "places", "item_words", *limits))
         .select(
             "row",
             "item_id",
@@ -310,8 +426,8 @@ def contamination(
     coverage or a long tile), ``item_id`` and ``coverage`` of the one covered most (ties: the least id),
     ``spans`` (start:end of its tiles in words, comma-joined) and ``contaminated``.
 
-    Null texts have no words. An item of fewer than ``match`` words, null texts included, has no
-    seed and condemns nothing. Null and repeated ids are rows of their own; repeated items count
+    Null texts have no words, and an item without words condemns nothing. An item of fewer than
+    ``match`` words condemns the documents that are its words and no more. Null and repeated ids are rows of their own; repeated items count
     each. Further columns are ignored. Without documents the result is empty; without items
     nothing is contaminated.
     """

@@ -76,6 +76,8 @@ def brute(docs, items):
         best = []
         for item_id, item in items:
             right = words(item)
+            if 0 < len(right) < 5 and own == right:
+                best.append((-1.0, "" if item_id is None else str(item_id)))
             if any(tuple(right[k : k + 5]) in grams for k in range(len(right) - 4)):
                 tiles = [n for *_, n in plain_tiles(own, right, 5)]
                 covered = sum(tiles) / len(right)
@@ -155,6 +157,66 @@ def test_query(spark, small_documents):
     assert rows(found) == wanted([(d["doc_id"], d["text"]) for d in small_documents], items)
 
 
+def test_items_of_few_words_are_compared_whole(spark):
+    docs = [(1, "Forty-two!"), (2, "the answer is forty-two"), (3, "forty"), (4, "two forty"),
+            (5, "FORTY two"), (6, ""), (7, None), (8, "forty two forty two forty two"), (9, "a b c d e")]
+    items = [(1, "forty two"), (2, ""), (3, None), (4, "forty"), (5, "a b c d"), (6, "...")]
+    found = decontamination.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert {r["doc_id"]: r["item_id"] for r in found.filter("contaminated").collect()} == {
+        1: "1", 3: "4", 5: "1"
+    }
+    assert rows(found) == wanted(docs, items)
+    assert {r["spans"] for r in found.filter("contaminated").collect()} == {"0:2", "0:1"}
+
+
+def test_a_condemned_document_shares_what_is_needed():
+    rng = random.Random(9)
+    for _ in range(600):
+        item = np.array([rng.randrange(1, 9) for _ in range(rng.randrange(5, 40))], dtype=np.uint64)
+        windows = decontamination.seed_hashes(item, 5)
+        costly = np.array(rng.sample(sorted(set(windows.tolist())), k=rng.randrange(len(set(windows.tolist())) + 1)),
+                          dtype=np.uint64)
+        gone, need = decontamination.left_out(item, costly, 5, 0.6, 12)
+        # Pieces of the item in any order, between other words.
+        doc, at = [], 0
+        while at < len(item):
+            n = rng.randrange(1, 16)
+            if rng.random() < 0.8:
+                doc = [*item[at : at + n].tolist(), 100 + at, *doc]
+            at += n
+        marked = [n for *_, n in plain_tiles(doc, item.tolist(), 5)]
+        shared = np.isin(windows, decontamination.rolling(np.array(doc, dtype=np.uint64), 5))
+        if sum(marked) / len(item) >= 0.6 or max(marked, default=0) >= 12:
+            assert decontamination.may_condemn(shared, 5, 0.6, 12)
+            assert (shared & ~np.isin(windows, costly[:gone])).sum() >= need
+        assert not gone or not decontamination.may_condemn(np.isin(windows, costly[:gone]), 5, 0.6, 12)
+
+
+def test_words_that_many_items_begin_with_list_no_pairs(spark, monkeypatch):
+    rng = random.Random(10)
+    stem = "which of the following is the best answer to this question about".split()
+    items = [(k, " ".join(stem + [f"w{rng.randrange(10**6)}" for _ in range(12)])) for k in range(150)]
+    docs = [(k, " ".join([f"v{k}", *stem, f"u{k}"])) for k in range(120)]
+    docs += [(1000, "before " + items[7][1] + " after"), (1001, items[9][1].replace(stem[5], "x")),
+             (1002, " ".join(items[11][1].split()[6:])), (1003, " ".join(stem * 3))]
+    listed, pairs = [], decontamination.candidates
+    monkeypatch.setattr(
+        decontamination, "candidates", lambda *a: (listed.append(pairs(*a).count()), pairs(*a))[1]
+    )
+    found = decontamination.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert {r["doc_id"]: r["item_id"] for r in found.filter("contaminated").collect()} == {
+        1000: "7", 1001: "9", 1002: "11"
+    }
+    assert listed == [3]
+    assert rows(found) == wanted(docs, items)
+
+
 def test_empty_tables(spark, nothing, messy):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contamination(nothing, none).count() == 0
