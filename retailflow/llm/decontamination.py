@@ -393,11 +393,12 @@ def _verdicts(
         bits = min(BLOOM_BITS, max(16, (16 * item_seeds.count()).bit_length()))
     bloom = bloom_filter(item_seeds.select("seed"), bits)
     stretches = stored(_stretches(rows, bloom, match, bits), "stretches")
-    pairs = candidates(items, item_seeds, stretches, match, coverage, long)
+    # Stored, so that their size is known before the stretches are moved: few are broadcast.
+    pairs = stored(candidates(items, item_seeds, stretches, match, coverage, long), "pairs")
     tiling = F.arrow_udf(_tiled, "struct<covered:long,spans:array<struct<start:long,end:long>>>")
     limits = [F.lit(match), F.lit(float(coverage)), F.lit(long)]
     tiled = (
-        pairs.join(stretches.select("row", "words", "places"), "row")
+        pairs.join(stretches.filter("size(words) > 0").select("row", "words", "places"), "row")
         .join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
         .withColumn("found", tiling("words", "places", "item_words", *limits))
         .select(
@@ -427,9 +428,9 @@ def contamination(
     ``spans`` (start:end of its tiles in words, comma-joined) and ``contaminated``.
 
     Null texts have no words, and an item without words condemns nothing. An item of fewer than
-    ``match`` words condemns the documents that are its words and no more. Null and repeated ids are rows of their own; repeated items count
-    each. Further columns are ignored. Without documents the result is empty; without items
-    nothing is contaminated.
+    ``match`` words condemns the documents that are its words and no more. Null and repeated ids
+    are rows of their own; repeated items count each. Further columns are ignored. Without
+    documents the result is empty; without items nothing is contaminated.
     """
     rows = docs.select(
         row_number().alias("row"),
