@@ -87,6 +87,12 @@ def files_below(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().toString() for s in system.listStatus(location) if s.isFile()]
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder."""
+    system, location = _open(spark, path)
+    return system.getContentSummary(location).getLength()
+
+
 def set_modified(spark: SparkSession, path: str, milliseconds: int) -> None:
     system, location = _open(spark, path)
     system.setTimes(location, milliseconds, -1)

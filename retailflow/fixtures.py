@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retailflow import files
 from retailflow.schemas import columns
-from retailflow.session import scratch_folder
+from retailflow.session import scratch_folder, setting
 
 # Each transaction column as an expression over the joined tables, and the last
 # table of the chain lineitem > orders > customer > nation > region it needs.
@@ -40,6 +40,12 @@ CHAIN = (
     ("region", "n_regionkey = r_regionkey"),
 )
 
+# A table of so many bytes for each core is read in parts by all of them.
+SPLIT = 32 << 20
+
+# Landed files cannot be split, as they are compressed; each has so many records at most.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+
 CLICK = {
     "event_id": "CAST(event_id AS STRING)",
     "user_id": "CAST(user_id AS STRING)",
@@ -74,12 +80,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows for costly per-row work, such as JSON, on every core.
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of a table for costly per-row work, such as JSON, on every core.
 
-    A test table is one file, which may be a single row group that one task scans.
+    A test table is one file, which may be a single row group that one task scans. A large
+    one has many, so its scan is spread as it is and moves no rows.
     """
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    rows, cores = table(spark, sf_dir, name), spark.sparkContext.defaultParallelism
+    if files.size(spark, f"{sf_dir}/{name}.parquet") >= cores * SPLIT:
+        return rows
+    return rows.repartition(cores)
 
 
 def transactions(
@@ -92,27 +102,29 @@ def transactions(
     """
     names = names or tuple(columns("transactions"))
     needed = {TRANSACTION[name][1] for name in names}
-    rows = table(spark, sf_dir, "lineitem")
-    if costly:
-        rows = spread(rows)
-    chain = [name for name, _ in CHAIN]
-    reach = max((chain.index(name) + 1 for name in needed if name in chain), default=0)
-    for name, on in CHAIN[:reach]:
-        rows = rows.join(table(spark, sf_dir, name), F.expr(on))
+    rows = (spread if costly else table)(spark, sf_dir, "lineitem")
     if "part" in needed:
         rows = rows.join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+    chain = [name for name, _ in CHAIN]
+    reach = max((chain.index(name) + 1 for name in needed if name in chain), default=0)
+    if reach:
+        # Orders get their customer's columns first: they are fewer than the line items.
+        orders = table(spark, sf_dir, CHAIN[0][0])
+        for name, on in CHAIN[1:reach]:
+            orders = orders.join(table(spark, sf_dir, name), F.expr(on))
+        rows = rows.join(orders, F.expr(CHAIN[0][1]))
     return rows.selectExpr(*[f"{TRANSACTION[name][0]} AS {name}" for name in names])
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events")).selectExpr(
+    return spread(spark, sf_dir, "events").selectExpr(
         *[f"{expression} AS {name}" for name, expression in CLICK.items()]
     )
 
 
 def inventory(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     names = names or tuple(columns("inventory"))
-    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
+    return spread(spark, sf_dir, "lineitem").selectExpr(
         *[f"{INVENTORY[name]} AS {name}" for name in names]
     )
 
@@ -147,7 +159,7 @@ NOW = 1_700_000_000_000  # when the newest of the dated files was written
 def land(rows: DataFrame, name: str) -> str:
     """Write records where a stream can read them, all at once."""
     folder = scratch_folder(rows.sparkSession, f"landing-{name}")
-    rows.select("value").write.text(folder)
+    rows.select("value").write.options(**LANDED).text(folder)
     return folder
 
 
@@ -161,7 +173,9 @@ def land_batches(
     """
     folder = scratch_folder(spark, f"landing-{kind}")
     rows = to_records(events(spark, sf_dir, kind), kind, "batch")
-    rows.write.partitionBy("batch").text(f"{folder}/staged")
+    # A file open for each of the few batches, so the rows are not sorted by batch.
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "16"):
+        rows.write.options(**LANDED).partitionBy("batch").text(f"{folder}/staged")
     files.create_folder(spark, f"{folder}/landed")
     staged = [name for name in files.names(spark, f"{folder}/staged") if "=" in name]
     for number, name in enumerate(sorted(staged, key=lambda name: int(name.partition("=")[2]))):

@@ -7,14 +7,17 @@ changes, folded on read and folded for good by :meth:`Tables.compact`.
 
 Logs gather their closed batches by period (:meth:`Tables.gather`): a job rewrites the period
 folders that have new rows, and a marker publishes them all. A reader lists a folder for each
-period and the batches since, however many batches there have been.
+period, those of it that are full, and the batches since, however many batches there have been.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Iterable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,8 +25,14 @@ from retailflow import files
 from retailflow.functions.timing import PERIODS, instant, period_start
 from retailflow.operators.latest import latest
 from retailflow.schemas import DIMENSIONS, EVENTS, STORED, Layout, columns
+from retailflow.session import sized_files
 
 MARKERS_KEPT = 100
+COMPRESSION = "zstd"
+
+# A gathered folder made from so many bytes is full: it is not rewritten, what comes later goes
+# to a folder beside it.
+FULL = 16 << 20
 RUNNING = "running_totals"
 
 # The tables whose batches are gathered: the stream that numbers them, and the time their rows
@@ -150,7 +159,9 @@ class Tables:
             # Sized files per partition; adaptive execution splits a hot partition.
             rows = rows.hint("rebalance", *layout.partitions)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*layout.partitions).parquet(self.batch_path(table, batch_id))
+        writer = writer.option("compression", COMPRESSION).partitionBy(*layout.partitions)
+        with sized_files(self.spark) if self.rebalance else nullcontext():
+            writer.parquet(self.batch_path(table, batch_id))
 
     # -- reading
 
@@ -189,7 +200,8 @@ class Tables:
         return f"{self.path(table)}_gathered"
 
     def gathered(self, table: str) -> list[tuple[str, int]]:
-        """Folder and last batch of each period's rows as published: the one written last.
+        """Folder and last batch of each period's rows as published: the one written last, and
+        those that are full.
 
         Folders of later batches are of a run that is not published, or never will be.
         """
@@ -200,7 +212,16 @@ class Tables:
         for period, through in self._written(table):
             if newest.get(period, -1) < through <= last:
                 newest[period] = through
-        return [(f"{period}/through={through}", through) for period, through in newest.items()]
+        found = {(f"{period}/through={through}", through) for period, through in newest.items()}
+        for folder in self._full(table):
+            through = int(folder.rpartition("=")[2])
+            if through <= last:
+                found.add((folder, through))
+        return sorted(found, key=lambda pair: pair[1])
+
+    def _full(self, table: str) -> list[str]:
+        found = files.matches(self.spark, f"{self.gathered_path(table)}/*/*/through=*/_full")
+        return [path.removesuffix("/_full") for path in found]
 
     def _written(self, table: str) -> list[tuple[str, int]]:
         """Period folder and last batch of all that gathering has written."""
@@ -213,9 +234,10 @@ class Tables:
 
         A folder gets its former rows and the new ones, sorted by time, as a new folder
         beside the former: replacing files in place could lose rows when a run dies, or
-        change them under a reader. What the state before this one used stays until the next
-        run, for readers that have started; what is older is deleted. A run that fails before
-        its marker has changed nothing; the next run's folders are later in all its periods.
+        change them under a reader. A former folder that is full stays as it is, so what a row
+        costs does not grow with the rows before it. What the state before this one used stays
+        until the next run, for readers that have started; what is older is deleted. A run that
+        fails before its marker has changed nothing; the next one deletes what it left.
         ``options`` go to the writer.
         """
         stream, time = GATHERED[table]
@@ -224,29 +246,54 @@ class Tables:
         if last <= previous:
             return
         layout, root = self.layout(table), self.gathered_path(table)
-        used = self.gathered(table)
+        for period, through in self._written(table):
+            if through > previous:
+                files.delete(self.spark, f"{period}/through={through}")
+        used, full = self.gathered(table), self._full(table)
         rows = self._recent(table, previous, last)
         # As many as there are period folders.
         touched = {
             "/".join(f"{c}={row[c]}" for c in layout.partitions)
             for row in rows.select(*layout.partitions).distinct().collect()
         }
-        former = [path for path, _ in used if "/".join(path.split("/")[-3:-1]) in touched]
-        if former:
-            rows = rows.unionByName(self._read_gathered(table, former))
-        rows = rows.select(*layout.types, "batch_id", *layout.partitions)
-        (
-            rows.withColumn("through", F.lit(last))
+        former = {
+            "/".join(path.split("/")[-3:-1]): path for path, _ in used if path not in full
+        }
+        large = self._large(table, previous, last, former)
+        wanted = [*layout.types, "batch_id", *layout.partitions]
+
+        def with_former(rows: DataFrame, periods: Iterable[str]) -> DataFrame:
+            paths = [former[period] for period in periods if period in former]
+            if paths:
+                rows = rows.unionByName(self._read_gathered(table, paths))
+            return rows.select(*wanted).withColumn("through", F.lit(last))
+
+        # A period with many rows fills files by itself: its rows are read together, not shuffled.
+        parts = [
+            with_former(self._read_batches(table, paths), [period]).coalesce(parts)
+            for period, (paths, parts) in large.items()
+        ]
+        small = touched - set(large)
+        if small or not large:
+            if large:
+                period = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in layout.partitions])
+                rows = rows.filter(period.isin(*small))
             # Sized files; adaptive execution splits a hot period.
-            .hint("rebalance", *layout.partitions)
-            # Row groups that hold a stretch of time each are skipped by their statistics.
-            .sortWithinPartitions(*layout.partitions, "through", time)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .options(**options)
-            .partitionBy(*layout.partitions, "through")
-            .parquet(root)
-        )
+            parts.append(with_former(rows, small).hint("rebalance", *layout.partitions))
+        # Row groups that hold a stretch of time each are skipped by their statistics.
+        order = (*layout.partitions, "through", time)
+        with sized_files(self.spark):
+            (
+                reduce(DataFrame.unionByName, [part.sortWithinPartitions(*order) for part in parts])
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("compression", COMPRESSION)
+                .options(**options)
+                .partitionBy(*layout.partitions, "through")
+                .parquet(root)
+            )
+        for period in large:
+            files.create_marker(self.spark, f"{root}/{period}/through={last}/_full")
         self.commit(name, last)
         kept = {path for path, _ in used}
         for period, through in self._written(table):
@@ -257,6 +304,43 @@ class Tables:
             if number.isdigit() and int(number) <= previous:
                 files.delete(self.spark, f"{self.path(table)}/{folder}")
 
+    def _large(
+        self, table: str, after: int, last: int, former: dict[str, str]
+    ) -> dict[str, tuple[list[str], int]]:
+        """The periods whose new rows and former folder fill one: the folders of the new rows,
+        and in how many parts, each less than full, they are written.
+
+        There are two parts at least; a union of single ones would be one task.
+        """
+        given = [self.path(table), *former.values()]
+        if sum(files.size(self.spark, path) for path in given) < FULL:
+            return {}
+        depth = "/*=*" * len(self.layout(table).partitions)
+        found: dict[str, list[str]] = {}
+        for path in files.matches(self.spark, f"{self.path(table)}/batch_id=*{depth}"):
+            batch, period = re.search(r"/batch_id=(\d+)/(.+)$", path).groups()
+            if after < int(batch) <= last:
+                found.setdefault(period, []).append(path)
+        sizes = {
+            period: sum(
+                files.size(self.spark, path)
+                for path in (*paths, *([former[period]] if period in former else ()))
+            )
+            for period, paths in found.items()
+        }
+        return {
+            period: (found[period], size // FULL + 1)
+            for period, size in sizes.items()
+            if size >= FULL
+        }
+
+    def _read_batches(self, table: str, folders: list[str]) -> DataFrame:
+        return (
+            self.spark.read.schema(self.layout(table).read_schema)
+            .option("basePath", self.path(table))
+            .parquet(*folders)
+        )
+
     def read(self, name: str) -> DataFrame:
         """A table by the name reports use; see :data:`READERS`."""
         return READERS[name](self)
@@ -338,7 +422,8 @@ class Tables:
         # A stream may commit meanwhile; its batch belongs to the next snapshot.
         rows = self.changes(name).filter(F.col("batch_id") <= last)
         folded = CURRENT[name].fold(rows)
-        folded.write.mode("overwrite").parquet(f"{self._snapshot(name)}/through={last}")
+        writer = folded.write.mode("overwrite").option("compression", COMPRESSION)
+        writer.parquet(f"{self._snapshot(name)}/through={last}")
         self.commit(snapshot, last)
         for old in files.matches(self.spark, f"{self._snapshot(name)}/through=*"):
             if int(old.rpartition("=")[2]) < previous:
