@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from retailflow import files
 from retailflow.functions.timing import RETENTION, archive_cutoff, instant, older_than, period_end
+from retailflow.session import setting
 from retailflow.tables import Tables
 
+READ_PART = "32m"
+
 
 def archive_transactions(
     tables: Tables, as_of: datetime, retention: timedelta = RETENTION
@@ -34,7 +37,9 @@ def archive_transactions(
     moved = older_than(tables.live_transactions(), instant(cutoff)).filter(
         F.col("batch_id") <= through
     )
-    tables.write_batch("archived_transactions", moved.drop("batch_id"), run)
+    # Rows are sorted by period as they are written: parts this small stay in memory.
+    with setting(tables.spark, "spark.sql.files.maxPartitionBytes", READ_PART):
+        tables.write_batch("archived_transactions", moved.drop("batch_id"), run)
     state = tables.spark.range(1).select(
         instant(cutoff).alias("cutoff"), F.lit(through).alias("through_batch")
     )

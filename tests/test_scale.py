@@ -2,6 +2,7 @@
 
 import gzip
 import re
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from samples import order, raw
 
 from retailflow import files, fixtures, tables as stored
+from retailflow.plans import archive
+from retailflow.plans.archive import archive_transactions
 from retailflow.session import PART, SMALL_PART, configure, sized_files
 from retailflow.streaming import jobs
 from retailflow.tables import Tables
@@ -165,3 +168,21 @@ def test_stored_rows_are_compressed_well(tables):
     pattern = tables.root + "/transactions_log*/*/*/*/part-*"
     found = files.matches(tables.spark, pattern)
     assert len(found) > 1 and all(".zstd." in path for path in found)
+
+
+# -- archive
+
+def test_the_archive_reads_small_parts(tables, monkeypatch):
+    name, write, seen = "spark.sql.files.maxPartitionBytes", Tables.write_batch, {}
+
+    def spy(self, table, rows, batch_id):
+        seen[table] = self.spark.conf.get(name)
+        write(self, table, rows, batch_id)
+
+    before = tables.spark.conf.get(name)
+    ingest(tables, "a", month=1)
+    monkeypatch.setattr(Tables, "write_batch", spy)
+    archive_transactions(tables, datetime(2026, 1, 1))
+    assert seen["archived_transactions"] == archive.READ_PART
+    assert tables.spark.conf.get(name) == before
+    assert tables.read("archived_transaction_data").count() == 1
