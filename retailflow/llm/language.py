@@ -14,6 +14,7 @@ and expectation run on the executors; the driver gets one number per language an
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,6 +36,8 @@ LONG = 24
 CACHE, SLICE = 250_000, 1 << 20
 #: Words whose segmentations are in memory at a time when scoring.
 LATTICE = 4000
+#: A piece's number and size are one integer, with so many bits for the size.
+SIZE_BITS = 16
 START = "▁"
 
 
@@ -88,8 +91,9 @@ class Lattice:
         self.last = self.first + lengths
         self.places = int(self.last[-1]) + 1
         # A line feed ends each word: no piece holds one.
-        found = [(e, k, n) for e, (k, n) in automaton.iter("\n".join(marked))]
-        ends, pieces, sizes = np.array(found, dtype=np.int64).reshape(-1, 3).T
+        found = chain.from_iterable(automaton.iter("\n".join(marked)))
+        ends, values = np.fromiter(found, np.int64).reshape(-1, 2).T
+        pieces, sizes = values >> SIZE_BITS, values & ((1 << SIZE_BITS) - 1)
         covered = np.zeros(self.places, dtype=bool)
         covered[ends[sizes == 1]] = True
         covered[self.last] = True
@@ -143,7 +147,8 @@ def _long_arcs(automaton, strange: int, word: str) -> list[tuple]:
 
     marked = START + word
     arcs: list[list[tuple[int, int]]] = [[] for _ in range(len(marked) + 1)]
-    for end, (piece, size) in automaton.iter(marked):
+    for end, value in automaton.iter(marked):
+        piece, size = value >> SIZE_BITS, value & ((1 << SIZE_BITS) - 1)
         arcs[end + 1].append((end + 1 - size, piece))
     made = []
     for end in range(1, len(arcs)):
@@ -194,9 +199,9 @@ class Scorer:
         import ahocorasick
         import numpy as np
 
-        self.automaton = ahocorasick.Automaton()
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for k, piece in enumerate(pieces):
-            self.automaton.add_word(piece, (k, len(piece)))
+            self.automaton.add_word(piece, k << SIZE_BITS | len(piece))
         self.automaton.make_automaton()
         self.strange = len(pieces)
         bare = np.full((1, probability.shape[1]), STRANGE)

@@ -93,6 +93,16 @@ def test_long_words_teach(spark):
     assert found[1][0] == "th" and found[2][0] == "lo" and min(s for _, s in found.values()) > 0.9
 
 
+def test_pieces_are_found_as_integers():
+    """A number and a size in one integer: arcs are made without a tuple for each."""
+    pieces, probability = model()
+    scorer = language.Scorer(pieces, probability)
+    found = [value for _, value in scorer.automaton.iter(language.START + "abac")]
+    assert all(isinstance(value, int) for value in found)
+    sizes = {(v >> language.SIZE_BITS, v & ((1 << language.SIZE_BITS) - 1)) for v in found}
+    assert sizes == {(pieces.index(p), len(p)) for p in pieces if p in language.START + "abac"}
+
+
 def test_pieces_keep_marks():
     from retailflow.llm import common
 
