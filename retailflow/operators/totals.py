@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from retailflow.schemas import DIMENSIONS
 
@@ -46,28 +46,25 @@ def daily_keys(events: DataFrame) -> DataFrame:
 
     Rows of ``kind`` orders and users hold a ``key`` each, rows of kind sums the ``quantity``
     and ``revenue`` of all events of the day. One scan and one shuffle; keys are combined per
-    task before it.
+    task before it, and carry no sums through it.
     """
     day = F.to_date("timestamp").alias("day")
-    rows = events.select(
-        day, "order_id", "user_id", "quantity", (F.col("price") * F.col("quantity")).alias("_revenue")
+    none = F.lit(None)
+
+    def part(kind: str, key: Column, quantity: Column = none, revenue: Column = none) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            key.cast("string").alias("key"),
+            quantity.cast("bigint").alias("quantity"),
+            revenue.cast("decimal(21,2)").alias("revenue"),
+        )
+
+    parts = F.array(
+        part("orders", F.col("order_id")),
+        part("users", F.col("user_id")),
+        part("sums", none, F.col("quantity"), F.col("price") * F.col("quantity")),
     )
-    kinds = {0b01: "orders", 0b10: "users", 0b11: "sums"}
-    grouped = rows.groupingSets(
-        [["day", "order_id"], ["day", "user_id"], ["day"]], "day", "order_id", "user_id"
-    ).agg(
+    return events.select(day, F.inline(parts)).groupBy("kind", "day", "key").agg(
         F.sum("quantity").cast("bigint").alias("quantity"),
-        F.sum("_revenue").cast("decimal(31,2)").alias("revenue"),
-        F.grouping_id().alias("_grouping"),
-    )
-    kind = F.coalesce(
-        *[F.when(F.col("_grouping") == bits, F.lit(name)) for bits, name in kinds.items()]
-    )
-    sums = F.col("_grouping") == 0b11
-    return grouped.select(
-        kind.alias("kind"),
-        "day",
-        F.coalesce("order_id", "user_id").alias("key"),
-        F.when(sums, F.col("quantity")).alias("quantity"),
-        F.when(sums, F.col("revenue")).alias("revenue"),
+        F.sum("revenue").cast("decimal(31,2)").alias("revenue"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from samples import order, raw
 
 from retailflow import files, fixtures, tables as stored
+from retailflow.operators.totals import daily_keys
 from retailflow.plans import archive
 from retailflow.plans.archive import archive_transactions
 from retailflow.session import PART, SMALL_PART, configure, sized_files
@@ -93,6 +94,28 @@ def test_shuffles_are_read_in_small_parts_but_files_are_not(spark):
         spark.conf.set(PART, SMALL_PART)
 
 
+# -- batches
+
+def test_daily_keys_carry_no_sums(spark):
+    rows = [
+        ("o1", "u1", 2, 1.5), ("o1", "u1", 2, 1.5), ("o2", "u1", None, 1.0), (None, "u2", 1, None),
+    ]
+    schema = "order_id string, user_id string, quantity int, price double"
+    events = spark.createDataFrame(rows, schema).selectExpr(
+        "order_id", "user_id", "quantity", "CAST(price AS DECIMAL(10,2)) AS price",
+        "TIMESTAMP '2024-03-01 08:00:00' AS timestamp",
+    )
+    keys = daily_keys(events)
+    assert "Expand" not in plan(keys)  # every group of which would carry both sums
+    found = {(r["kind"], r["key"]): (r["quantity"], r["revenue"]) for r in keys.collect()}
+    assert found.pop(("sums", None)) == (5, 6)
+    assert found == dict.fromkeys(
+        [("orders", "o1"), ("orders", "o2"), ("orders", None), ("users", "u1"), ("users", "u2")],
+        (None, None),
+    )
+    assert keys.count() == 6
+
+
 # -- gathering
 
 def folders(tables):
