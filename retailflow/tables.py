@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from retailflow import files
 from retailflow.functions.timing import PERIODS, instant, period_start
@@ -260,7 +260,14 @@ class Tables:
             "/".join(path.split("/")[-3:-1]): path for path, _ in used if path not in full
         }
         large = self._large(table, previous, last, former)
-        wanted = [*layout.types, "batch_id", *layout.partitions]
+        # No text is null, which is the same folder: the writer would replace such columns by
+        # its own, not see that the rows are sorted by them, and sort once more.
+        texts = {f.name for f in layout.read_schema if f.dataType == T.StringType()}
+        wanted = [
+            *layout.types,
+            "batch_id",
+            *[F.coalesce(c, F.lit("")).alias(c) if c in texts else c for c in layout.partitions],
+        ]
 
         def with_former(rows: DataFrame, periods: Iterable[str]) -> DataFrame:
             paths = [former[period] for period in periods if period in former]
@@ -280,11 +287,13 @@ class Tables:
                 rows = rows.filter(period.isin(*small))
             # Sized files; adaptive execution splits a hot period.
             parts.append(with_former(rows, small).hint("rebalance", *layout.partitions))
-        # Row groups that hold a stretch of time each are skipped by their statistics.
+        # Row groups that hold a stretch of time each are skipped by their statistics. The parts
+        # are sorted together: a union of sorted ones does not count as sorted.
         order = (*layout.partitions, "through", time)
         with sized_files(self.spark):
             (
-                reduce(DataFrame.unionByName, [part.sortWithinPartitions(*order) for part in parts])
+                reduce(DataFrame.unionByName, parts)
+                .sortWithinPartitions(*order)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .option("compression", COMPRESSION)

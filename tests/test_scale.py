@@ -193,6 +193,41 @@ def test_stored_rows_are_compressed_well(tables):
     assert len(found) > 1 and all(".zstd." in path for path in found)
 
 
+def test_gathered_parts_are_sorted_once(tables, monkeypatch):
+    """What is written is sorted by its folders already, so the writer does not sort it again."""
+    for month in (2, 3):
+        ingest(tables, "a", "b", month=month)
+    monkeypatch.setattr(stored, "FULL", 1)  # two parts, one for each period
+    kind, seen = type(tables.spark.range(1)), []
+    write = kind.write
+    with monkeypatch.context() as patch:
+        patch.setattr(kind, "write", property(lambda rows: seen.append(rows) or write.fget(rows)))
+        tables.gather("transactions_log")
+    (rows,) = seen
+    assert "Union" in plan(rows) and plan(rows).count("Sort [") == 1
+    order = rows._jdf.queryExecution().optimizedPlan().outputOrdering().mkString(" ")
+    names = re.findall(r"(\w+)#\d+L? ASC", order)
+    assert names[:4] == ["status", "event_date", "through", "timestamp"]
+    # The writer replaces text that may be null, and with it the order.
+    assert not rows.schema["status"].nullable
+    assert ids(tables) == ["a", "a", "b", "b"]
+
+
+@pytest.mark.parametrize("full", [1, stored.FULL])
+def test_a_folder_column_that_is_null_stays_null(tables, monkeypatch, full):
+    monkeypatch.setattr(stored, "FULL", full)
+    ingest(tables, "a")
+    (row,) = tables.read_stored("transactions_log", "transactions").collect()
+    batch = tables.spark.createDataFrame([row], tables.layout("transactions_log").read_schema)
+    tables.write_batch("transactions_log", batch.withColumn("status", F.lit(None)), 1)
+    tables.commit("transactions", 1)
+    before = tables.read_stored("transactions_log", "transactions").collect()
+    tables.gather("transactions_log")
+    after = tables.read_stored("transactions_log", "transactions").select(*before[0].__fields__)
+    assert sorted(map(str, after.collect())) == sorted(map(str, before))
+    assert sorted(str(r["status"]) for r in before) == ["None", "accepted"]
+
+
 # -- archive
 
 def test_the_archive_reads_small_parts(tables, monkeypatch):
